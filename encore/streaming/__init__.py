@@ -1,0 +1,5 @@
+"""No streaming jobs are defined: the work this package covers is batch only.
+
+The row-level rules in ``encore.functions`` and ``encore.operators.filters`` hold no table
+statistic, so they can be applied to a streaming DataFrame as they are.
+"""
