@@ -1,9 +1,13 @@
-"""Lazy access to the fixture views and the job results over them."""
+"""Access to the fixture views and the job results over them.
+
+Results that several jobs read are written once per application and read back, like the
+layers of a catalog; the query of a job itself always runs that job.
+"""
 
 from __future__ import annotations
 
 import re
-from functools import cached_property
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,90 +46,97 @@ class Fixture:
             return self.view(f"fx_{name}")
         raise AttributeError(name)
 
-    def written(self, name: str, df: DataFrame) -> DataFrame:
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Write a shared result once per application and read it back."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _WRITTEN:
             path = scratch_folder(self.spark, name)
-            df.write.parquet(path)
+            build().write.parquet(path)
             _WRITTEN[key] = path
         return self.spark.read.parquet(_WRITTEN[key])
 
-    @cached_property
+    def stored(self, name: str) -> DataFrame:
+        """A job's result as its consumers read it: from the files of its layer."""
+        return self.written(name, lambda: getattr(self, name))
+
+    @property
     def clean_orders(self) -> DataFrame:
         return cleaning.clean_orders(self.orders, SETTINGS)
 
-    @cached_property
+    @property
     def clean_items(self) -> DataFrame:
         return cleaning.clean_items(self.items, SETTINGS)
 
-    @cached_property
+    @property
     def clean_payments(self) -> DataFrame:
         return cleaning.clean_payments(self.payments, SETTINGS)
 
-    @cached_property
+    @property
     def clean_customers(self) -> DataFrame:
         return cleaning.clean_customers(self.customers)
 
-    @cached_property
+    @property
     def clean_sellers(self) -> DataFrame:
         return cleaning.clean_sellers(self.sellers)
 
-    @cached_property
+    @property
     def clean_geolocation(self) -> DataFrame:
         return cleaning.clean_geolocation(self.geolocation, SETTINGS)
 
-    @cached_property
+    @property
     def clean_reviews(self) -> DataFrame:
         return cleaning.clean_reviews(self.reviews, SETTINGS)
 
-    @cached_property
+    @property
     def clean_products(self) -> DataFrame:
         return cleaning.clean_products(self.products)
 
-    @cached_property
+    @property
     def labels(self) -> DataFrame:
-        return cleaning.mega_id_labels(self.clean_orders, self.clean_items, self.clean_customers)
+        return cleaning.mega_id_labels(
+            self.stored("clean_orders"), self.stored("clean_items"), self.clean_customers
+        )
 
-    @cached_property
+    @property
     def tagged_customers(self) -> DataFrame:
         return features.tagged_customers(self.clean_customers, SETTINGS)
 
-    @cached_property
+    @property
     def product_features(self) -> DataFrame:
         return features.product_features(self.clean_products, self.translation)
 
-    @cached_property
+    @property
     def review_features(self) -> DataFrame:
         return features.review_features(self.clean_reviews)
 
-    @cached_property
+    @property
     def transactions(self) -> DataFrame:
         return features.transaction_features(
-            self.clean_orders, self.clean_items, self.clean_payments, self.labels, SETTINGS
+            self.stored("clean_orders"), self.stored("clean_items"), self.clean_payments,
+            self.stored("labels"), SETTINGS,
         )
 
-    @cached_property
+    @property
     def distances(self) -> DataFrame:
         return features.order_distances(
-            self.clean_items, self.clean_orders, self.tagged_customers, self.clean_sellers,
-            self.clean_geolocation, self.labels,
+            self.stored("clean_items"), self.stored("clean_orders"), self.tagged_customers,
+            self.clean_sellers, self.clean_geolocation, self.stored("labels"),
         )
 
-    @cached_property
+    @property
     def seller_stats(self) -> DataFrame:
-        return features.distance_seller_stats(self.distances)
+        return features.distance_seller_stats(self.stored("distances"))
 
-    @cached_property
+    @property
     def model_inputs(self) -> DataFrame:
         return features.model_inputs(
             self.transactions, self.product_features, self.review_features, self.seller_stats
         )
 
-    @cached_property
+    @property
     def model_table(self) -> DataFrame:
         """The model table from files, as the training jobs read it."""
-        return self.written("model_inputs", self.model_inputs)
+        return self.stored("model_inputs")
 
 
 def comparable(df: DataFrame) -> DataFrame:

@@ -209,7 +209,7 @@ register(
 )
 register(
     "day_difference",
-    lambda f: f.clean_orders.select(
+    lambda f: f.stored("clean_orders").select(
         "order_id",
         times.whole_days(
             F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
@@ -406,14 +406,14 @@ register(
 
 register(
     "join_orders_customers",
-    lambda f: f.clean_orders.select("order_id", "customer_id").join(
+    lambda f: f.stored("clean_orders").select("order_id", "customer_id").join(
         f.customers.select("customer_id", "customer_unique_id"), "customer_id", "left"
     ),
     "select order_id, customer_id, customer_unique_id from tw_persons",
 )
 register(
     "join_repeat_flags_back",
-    lambda f: cleaning.repeat_labels(f.clean_orders, f.clean_customers).select(
+    lambda f: cleaning.repeat_labels(f.stored("clean_orders"), f.clean_customers).select(
         "order_id", "customer_unique_id", "num_orders", "is_repeat_buyer"
     ),
     "select order_id, customer_unique_id, num_orders, num_orders > 1 as is_repeat_buyer "
@@ -431,7 +431,7 @@ register(
 register(
     "join_items_orders",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        f.clean_orders.select("order_id", "order_approved_at", "order_delivered_customer_date"),
+        f.stored("clean_orders").select("order_id", "order_approved_at", "order_delivered_customer_date"),
         "order_id", "left",
     ),
     "select order_id, order_item_id, product_id, order_approved_at, order_delivered_customer_date "
@@ -441,7 +441,7 @@ register(
 register(
     "join_items_labels",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        f.labels.select("order_id", "customer_unique_id", "is_repeat_buyer"), "order_id", "left"
+        f.stored("labels").select("order_id", "customer_unique_id", "is_repeat_buyer"), "order_id", "left"
     ),
     "select i.order_id, i.order_item_id, i.product_id, customer_unique_id, is_repeat_buyer "
     "from fx_items i left join tw_labels l using (order_id)",
@@ -469,7 +469,7 @@ PAY_COLUMNS = "credit_card voucher debit_card boleto total_spent"
 register(
     "join_payments_wide",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        aggregates.payments_per_order(f.clean_payments, SETTINGS.payment_types, False)
+        aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types, False)
         .drop("installment"), "order_id", "left"
     ),
     "select i.order_id, i.order_item_id, i.product_id, credit_card, voucher, debit_card, boleto, "
@@ -478,7 +478,7 @@ register(
 register(
     "join_installments",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        aggregates.payments_per_order(f.clean_payments, SETTINGS.payment_types)
+        aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types)
         .select("order_id", "installment"), "order_id", "left"
     ).withColumn("installment", F.coalesce("installment", F.lit(0))),
     "select i.order_id, i.order_item_id, i.product_id, coalesce(installment, 0) as installment "
@@ -516,7 +516,7 @@ def _order_details(f: Fixture) -> DataFrame:
     return (
         f.items.select("order_id", "order_item_id", "product_id", "seller_id")
         .join(shops, "seller_id")
-        .join(f.clean_orders.select("order_id", "customer_id"), "order_id")
+        .join(f.stored("clean_orders").select("order_id", "customer_id"), "order_id")
         .join(buyers, "customer_id")
         .select("order_id", "order_item_id", "product_id", "seller_id", "customer_lat",
                 "seller_lat", "high_density_customer_area")
@@ -613,7 +613,7 @@ register(
 register(
     "agg_count_distinct",
     lambda f: aggregates.distinct_per_key(
-        f.clean_orders.join(f.customers, "customer_id"), "customer_unique_id", "order_id",
+        f.stored("clean_orders").join(f.customers, "customer_id"), "customer_unique_id", "order_id",
         "num_orders",
     ).withColumn("is_repeat_buyer", F.col("num_orders") > 1),
     "select customer_unique_id, count(distinct order_id) as num_orders, "
@@ -643,7 +643,7 @@ register(
 )
 register(
     "agg_pivot_sum",
-    lambda f: aggregates.payments_per_order(f.clean_payments, SETTINGS.payment_types, False)
+    lambda f: aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types, False)
     .drop("total_spent", "installment"),
     "select order_id, credit_card, voucher, debit_card, boleto from tw_order_payments",
     "credit_card voucher debit_card boleto",
@@ -654,7 +654,7 @@ SHARES = ", ".join(
 )
 register(
     "agg_row_total_ratio",
-    lambda f: aggregates.payments_per_order(f.clean_payments, SETTINGS.payment_types)
+    lambda f: aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types)
     .drop("installment"),
     f"select order_id, {SHARES}, total_spent from tw_order_payments", PAY_COLUMNS,
 )
@@ -675,12 +675,12 @@ register(
 )
 register(
     "agg_sum_per_order",
-    lambda f: aggregates.payments_per_order(f.clean_payments, SETTINGS.payment_types)
+    lambda f: aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types)
     .select("order_id", "installment"),
     "select order_id, installment from tw_order_payments",
 )
 register(
-    "agg_ratio_of_distincts", lambda f: aggregates.repeat_rate_per_seller(f.distances),
+    "agg_ratio_of_distincts", lambda f: aggregates.repeat_rate_per_seller(f.stored("distances")),
     "select distinct seller_id, seller_repeat_buyer_rate from tw_seller_stats",
     "seller_repeat_buyer_rate",
 )

@@ -9,11 +9,9 @@ can be accumulated, and only the rows of one narrow bin are ever sorted together
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
-from operator import or_
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bits per unit of log1p(|value|): a coarse bin spans about 1/4096 of its value and a double
@@ -22,12 +20,14 @@ COARSE_BITS = 12
 FINE_BITS = 24
 
 
-def order_bin(value: Column, bits: int) -> Column:
-    """Whole-number bin that never decreases as ``value`` grows."""
-    scaled = F.floor(F.log1p(F.abs(value)) * F.lit(float(1 << bits)))
-    placed = F.when(value < 0, -scaled - 1).otherwise(scaled)
-    # Never null, so that joins on bins add no null filter and plans share one exchange.
-    return F.coalesce(placed, F.lit(0))
+def order_bin(value: str, bits: int) -> str:
+    """SQL for a whole-number bin that never decreases as ``value`` grows.
+
+    It is never null, so joins on bins add no null filter and the plan keeps one exchange of
+    the counted values for all its levels.
+    """
+    scaled = f"floor(log1p(abs({value})) * {float(1 << bits)!r}D)"
+    return f"coalesce(case when {value} < 0 then -{scaled} - 1 else {scaled} end, 0)"
 
 
 def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     return (
         df.select(*by, v.alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        .where("_v is not null and not isnan(_v)")
         .groupBy(*by, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -44,67 +44,64 @@ def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()
 def order_statistics(
     df: DataFrame,
     value: str | Column,
-    ranks: Mapping[str, Callable[[Column], Column]],
+    ranks: Mapping[str, str],
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Values at given ranks (1 = smallest), exactly, one row per group.
 
-    ``ranks`` maps an output name to a function of the group's row count. For every name the
-    result has the value there and ``<name>_below``, the number of rows with a smaller value;
-    ``n`` is the row count. A rank below 1 gives null. ``by`` must be non-null columns with
-    few distinct values (a label, a column name): bin totals are kept per group.
+    ``ranks`` maps an output name to SQL over ``n``, the group's row count. For every name the
+    result has the value there and ``<name>_below``, the number of rows with a smaller value.
+    A rank below 1 gives null. ``by`` must be non-null columns with few distinct values (a
+    label, a column name): bin totals are kept per group.
     """
-    by = list(by)
-    counts = value_frequencies(df, value, by).withColumns(
-        {
-            "_coarse": order_bin(F.col("_v"), COARSE_BITS),
-            "_fine": order_bin(F.col("_v"), FINE_BITS),
-        }
-    )
+    keys = "".join(f"{c}, " for c in by)
+    same = "".join(f" and l.{c} = r.{c}" for c in by)
+    partition = f"partition by {', '.join(by)}" if by else ""
 
-    def hits(total: Column, before: Column, after: Column) -> Column:
-        return reduce(
-            or_, [(rank(total) > before) & (rank(total) <= after) for rank in ranks.values()]
-        )
-
-    # Level 1: the coarse bins that hold a wanted rank. At most len(ranks) per group remain.
-    in_order = Window.partitionBy(*by).orderBy("_coarse")
-    coarse = (
-        counts.groupBy(*by, "_coarse")
-        .agg(F.sum("_n").alias("_m"))
-        .withColumn("_after", F.sum("_m").over(in_order))
-        .withColumn("n", F.sum("_m").over(Window.partitionBy(*by)))
-        .withColumn("_start", F.col("_after") - F.col("_m"))
-        .where(hits(F.col("n"), F.col("_start"), F.col("_after")))
-        .select(*by, "_coarse", "_start", "n")
-    )
-    kept = counts.join(F.broadcast(coarse), [*by, "_coarse"])
-
-    # Level 2: the fine bins inside those.
-    in_order = Window.partitionBy(*by, "_coarse").orderBy("_fine")
-    fine = (
-        kept.groupBy(*by, "_coarse", "_fine", "_start", "n")
-        .agg(F.sum("_n").alias("_m"))
-        .withColumn("_after", F.col("_start") + F.sum("_m").over(in_order))
-        .withColumn("_from", F.col("_after") - F.col("_m"))
-        .where(hits(F.col("n"), F.col("_from"), F.col("_after")))
-        .select(*by, "_fine", "_from")
-    )
+    def hits(before: str, after: str) -> str:
+        return " or ".join(f"(({r}) > {before} and ({r}) <= {after})" for r in ranks.values())
 
-    # Level 3: the distinct values of those fine bins, in order.
-    in_order = Window.partitionBy(*by, "_fine").orderBy("_v")
-    placed = kept.join(F.broadcast(fine), [*by, "_fine"]).withColumn(
-        "_after", F.col("_from") + F.sum("_n").over(in_order)
+    outputs = []
+    for name, r in ranks.items():
+        reached = f"({r}) >= 1 and _upto >= ({r})"
+        outputs.append(f"min(case when {reached} then _v end) as {name}")
+        outputs.append(f"min(case when {reached} then _upto - _n end) as {name}_below")
+
+    # Each level keeps the bins that hold a wanted rank: at most len(ranks) per group, which
+    # bounds the broadcast sides. The last level orders the distinct values of one fine bin.
+    return df.sparkSession.sql(
+        f"""
+with binned as (
+  select *, {order_bin("_v", COARSE_BITS)} as _coarse, {order_bin("_v", FINE_BITS)} as _fine
+  from {{counts}}),
+coarse_totals as (
+  select {keys} _coarse, sum(_n) as _m from binned group by {keys} _coarse),
+coarse_running as (
+  select *, sum(_m) over ({partition} order by _coarse) as _after, sum(_m) over ({partition}) as n
+  from coarse_totals),
+coarse as (
+  select {keys} _coarse, n, _after - _m as _start from coarse_running
+  where {hits("(_after - _m)", "_after")}),
+kept as (
+  select /*+ broadcast(r) */ l.*, r.n, r._start
+  from binned l join coarse r on l._coarse = r._coarse{same}),
+fine_totals as (
+  select {keys} _coarse, _fine, _start, n, sum(_n) as _m
+  from kept group by {keys} _coarse, _fine, _start, n),
+fine_running as (
+  select *, _start + sum(_m) over (partition by {keys} _coarse order by _fine) as _after
+  from fine_totals),
+fine as (
+  select {keys} _fine, _after - _m as _from from fine_running
+  where {hits("(_after - _m)", "_after")}),
+placed as (
+  select /*+ broadcast(r) */ l.*,
+    r._from + sum(l._n) over (partition by {"".join(f"l.{c}, " for c in by)} l._fine order by l._v) as _upto
+  from kept l join fine r on l._fine = r._fine{same})
+select {keys} max(n) as n, {", ".join(outputs)} from placed
+{"group by " + ", ".join(by) if by else ""}""",
+        counts=value_frequencies(df, value, by),
     )
-    outputs = [F.max("n").alias("n")]
-    for name, rank in ranks.items():
-        wanted = rank(F.col("n"))
-        reached = (wanted >= 1) & (F.col("_after") >= wanted)
-        outputs.append(F.min(F.when(reached, F.col("_v"))).alias(name))
-        outputs.append(
-            F.min(F.when(reached, F.col("_after") - F.col("_n"))).alias(f"{name}_below")
-        )
-    return placed.groupBy(*by).agg(*outputs)
 
 
 def quantiles(
@@ -114,29 +111,41 @@ def quantiles(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Exact quantiles with linear interpolation; one row (per group), one column per name."""
-    for p in probabilities.values():
+    ranks = {}
+    outputs = []
+    for name, p in probabilities.items():
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"a quantile lies between 0 and 1, not {p}")
+        position = f"({float(p)!r}D * (n - 1))"
+        ranks[f"{name}_lo"] = f"floor({position}) + 1"
+        ranks[f"{name}_hi"] = f"ceil({position}) + 1"
+        outputs.append(
+            f"{name}_lo + ({name}_hi - {name}_lo) * ({position} - floor({position})) as {name}"
+        )
+    return order_statistics(df, value, ranks, by).selectExpr(*by, *outputs)
 
-    def position(p: float, n: Column) -> Column:
-        return F.lit(float(p)) * (n - 1)
 
-    ranks: dict[str, Callable[[Column], Column]] = {}
-    for name, p in probabilities.items():
-        ranks[f"{name}_lo"] = lambda n, p=p: F.floor(position(p, n)) + 1
-        ranks[f"{name}_hi"] = lambda n, p=p: F.ceil(position(p, n)) + 1
-    found = order_statistics(df, value, ranks, by)
-    outputs = []
-    for name, p in probabilities.items():
-        pos = position(p, F.col("n"))
-        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        outputs.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return found.select(*by, *outputs)
+def quantile(df: DataFrame, value: str | Column, p: float) -> float | None:
+    """One exact quantile as a number (runs a job, like ``approxQuantile``); None if empty.
+
+    Jobs use such bounds as literals: the statistic is computed once, and plans that use it
+    in several places stay small.
+    """
+    return quantiles(df, value, {"q": p}).first()["q"]
+
+
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]
+) -> dict[str, dict[str, float]]:
+    """Exact quantiles of several columns in one job: {column: {name: number}}."""
+    found = quantiles(long_format(df, columns), "value", probabilities, by=["column"]).collect()
+    return {row["column"]: {name: row[name] for name in probabilities} for row in found}
 
 
-def quantile(df: DataFrame, value: str | Column, p: float) -> Column:
-    """One exact quantile as a scalar subquery, for use in any expression."""
-    return quantiles(df, value, {"q": p}).scalar()
+def long_format(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) rows, so that all columns share one scan and one aggregation."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "column", "value")
 
 
 def running_totals(
@@ -148,33 +157,30 @@ def running_totals(
     the totals of earlier coarse bins, plus of earlier fine bins in its coarse bin, plus of
     earlier values in its fine bin; each part is a window over a small group.
     """
-    key = -F.col(value) if descending else F.col(value)
-    rows = df.withColumn("_k", key.cast("double")).withColumns(
-        {
-            "_coarse": order_bin(F.col("_k"), COARSE_BITS),
-            "_fine": order_bin(F.col("_k"), FINE_BITS),
-        }
-    )
-    fine = rows.groupBy("_coarse", "_fine").agg(*[F.sum(m).alias(m) for m in measures])
-    coarse = fine.groupBy("_coarse").agg(*[F.sum(m).alias(m) for m in measures])
-
-    in_order = Window.orderBy("_coarse")
-    coarse = coarse.select(
-        "_coarse", *[(F.sum(m).over(in_order) - F.col(m)).alias(f"_{m}_c") for m in measures]
-    )
-    in_order = Window.partitionBy("_coarse").orderBy("_fine")
-    fine = fine.select(
-        "_coarse",
-        "_fine",
-        *[(F.sum(m).over(in_order) - F.col(m)).alias(f"_{m}_f") for m in measures],
-    )
-    offsets = fine.join(coarse, "_coarse").select(
-        "_fine", *[(F.col(f"_{m}_c") + F.col(f"_{m}_f")).alias(f"_{m}_o") for m in measures]
-    )
-    in_order = Window.partitionBy("_fine").orderBy("_k")
-    return (
-        rows.withColumns({f"{m}_to": F.sum(m).over(in_order) for m in measures})
-        .join(offsets, "_fine")
-        .withColumns({f"{m}_to": F.col(f"{m}_to") + F.col(f"_{m}_o") for m in measures})
-        .select(*df.columns, *[f"{m}_to" for m in measures])
+    sign = "-" if descending else ""
+
+    def each(pattern: str) -> str:
+        return ", ".join(pattern.format(m=m) for m in measures)
+
+    return df.sparkSession.sql(
+        f"""
+with binned as (
+  select *, {order_bin("_k", COARSE_BITS)} as _coarse, {order_bin("_k", FINE_BITS)} as _fine
+  from (select *, cast({sign}{value} as double) as _k from {{rows}})),
+fine_totals as (
+  select _coarse, _fine, {each("sum({m}) as {m}")} from binned group by _coarse, _fine),
+coarse_totals as (
+  select _coarse, {each("sum({m}) as {m}")} from fine_totals group by _coarse),
+coarse as (
+  select _coarse, {each("sum({m}) over (order by _coarse) - {m} as {m}")} from coarse_totals),
+fine as (
+  select _coarse, _fine,
+    {each("sum({m}) over (partition by _coarse order by _fine) - {m} as {m}")} from fine_totals),
+offsets as (
+  select f._fine, {each("f.{m} + c.{m} as {m}_o")} from fine f join coarse c using (_coarse)),
+inside as (
+  select *, {each("sum({m}) over (partition by _fine order by _k) as {m}_i")} from binned)
+select {", ".join(f"i.{c}" for c in df.columns)}, {each("i.{m}_i + o.{m}_o as {m}_to")}
+from inside i join offsets o on i._fine = o._fine""",
+        rows=df,
     )

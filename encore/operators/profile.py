@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from encore.functions.times import hours_apart
 from encore.operators.filters import any_null
-from encore.operators.order_stats import quantile, quantiles, value_frequencies
+from encore.operators.order_stats import long_format, quantile, quantiles, value_frequencies
 from encore.operators.ranking import value_counts
 
 
@@ -63,12 +63,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def long_format(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) rows, so that all columns share one scan and one aggregation."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column", "value")
-
-
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
     values = long_format(df, columns or numeric_columns(df)).where(F.col("value").isNotNull())
@@ -145,7 +139,7 @@ def duration_summary(df: DataFrame, start: str, end: str) -> DataFrame:
     )
     return hours.agg(F.avg("hours").alias("mean_hours")).select(
         "mean_hours",
-        quantile(hours, "hours", 0.5).alias("median_hours"),
+        F.lit(quantile(hours, "hours", 0.5)).cast("double").alias("median_hours"),
         commonest.scalar().alias("mode_hours"),
     )
 

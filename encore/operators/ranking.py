@@ -65,11 +65,11 @@ def hash_fraction(key: Column, seed: int) -> Column:
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly n rows (or all, if fewer), the same ones for the same seed."""
+    if n <= 0:
+        return df.limit(0)
     draw = hash_fraction(F.col(key), seed)
-    cut = order_statistics(
-        df, draw, {"cut": lambda total: F.least(F.lit(n), total)}
-    ).select("cut")
-    return df.where(draw <= cut.scalar()) if n > 0 else df.limit(0)
+    cut = order_statistics(df, draw, {"cut": f"least({int(n)}, n)"}).first()["cut"]
+    return df.where(draw <= F.lit(cut).cast("double"))
 
 
 def top_share(df: DataFrame, score: str, key: str, share: float = 0.1) -> DataFrame:
@@ -78,17 +78,17 @@ def top_share(df: DataFrame, score: str, key: str, share: float = 0.1) -> DataFr
     The cut is found as an order statistic instead of sorting, because the number of rows
     kept grows with the table. ``key`` must be a unique number.
     """
-    k = "k"
-    wanted = {"cut": lambda total: F.floor(total * F.lit(share))}
     ranked = df.where(F.col(score).isNotNull())
-    cut = order_statistics(ranked, -F.col(score), wanted).select(
-        (-F.col("cut")).alias("cut"),
-        (F.floor(F.col("n") * F.lit(share)) - F.col("cut_below")).alias(k),
-    )
-    bound = cut.select(F.struct("cut", k).alias("cut")).scalar()
-    tied = ranked.where(F.col(score) == bound["cut"])
-    last_key = order_statistics(tied, key, {"last": lambda total: bound[k]}).select("last")
+    wanted = f"floor(n * {float(share)!r}D)"
+    cut = order_statistics(ranked, -F.col(score), {"cut": wanted}).selectExpr(
+        "-cut as score", f"{wanted} - cut_below as tied_rows"
+    ).first()
+    if cut["score"] is None:  # too few rows for even one
+        return df.limit(0)
+    at_cut = F.col(score) == F.lit(cut["score"])
+    last = order_statistics(
+        ranked.where(at_cut), key, {"last": str(cut["tied_rows"])}
+    ).first()["last"]
     return ranked.where(
-        (F.col(score) > bound["cut"])
-        | ((F.col(score) == bound["cut"]) & (F.col(key) <= last_key.scalar()))
+        (F.col(score) > F.lit(cut["score"])) | (at_cut & (F.col(key) <= F.lit(last)))
     )

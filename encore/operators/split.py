@@ -37,7 +37,7 @@ def stratified_split(
     draw = hash_fraction(key, seed)
     by = [label] if stratify else []
     cuts = order_statistics(
-        df, draw, {"cut": lambda n: F.round(n * F.lit(test_share)).cast("bigint")}, by
+        df, draw, {"cut": f"cast(round(n * {float(test_share)!r}D) as bigint)"}, by
     )
     if stratify:  # one row per label
         placed = df.join(F.broadcast(cuts.select(label, "cut")), label, "left")
@@ -56,13 +56,7 @@ def assign_folds(
     key = F.col(key) if isinstance(key, str) else key
     draw = hash_fraction(key, seed)
     edges = order_statistics(
-        df,
-        draw,
-        {
-            f"e{i}": (lambda n, i=i: F.floor(n * F.lit(i) / F.lit(folds)))
-            for i in range(1, folds)
-        },
-        [label],
+        df, draw, {f"e{i}": f"(n * {i}) div {folds}" for i in range(1, folds)}, [label]
     ).select(label, *[f"e{i}" for i in range(1, folds)])
     placed = df.join(F.broadcast(edges), label, "left")
     fold = sum(
