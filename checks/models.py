@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,8 +197,6 @@ BIAS = (
 
 
 def _bias(f: Fixture) -> DataFrame:
-    from dataclasses import replace
-
     masked = weak_labels.weak_positive_mask(f.model_table, SETTINGS)
     labelled = masked.withColumn("is_repeat_buyer", F.col("weak_positive").cast("int"))
     return weak_labels.bias_report(labelled, replace(SETTINGS, weak_categories=3))
@@ -223,15 +224,8 @@ register(
 # --------------------------------------------------------------------------------------- models
 
 
-class Prepared:
-    """Train and test parts with features, as the training jobs take them."""
-
-    def __init__(self, f: Fixture):
-        train, test = preprocessing.split_train_test(f.model_table, SETTINGS)
-        self.preprocessor = preprocessing.fit_preprocessor(train, SETTINGS)
-        self.names = preprocessing.feature_names(self.preprocessor)
-        self.train = preprocessing.apply_preprocessor(self.preprocessor, train)
-        self.test = preprocessing.apply_preprocessor(self.preprocessor, test)
+def _prepared(f: Fixture) -> preprocessing.Prepared:
+    return preprocessing.prepare(f.model_table, SETTINGS)
 
 
 def _scored(trained: training.Trained) -> DataFrame:
@@ -240,7 +234,7 @@ def _scored(trained: training.Trained) -> DataFrame:
 
 def _train(name: str):
     def query(f: Fixture) -> DataFrame:
-        p = Prepared(f)
+        p = _prepared(f)
         trained = training.TRAINERS[name](p.train, p.test, p.names, SETTINGS)
         return training.metrics_frame(p.test, trained).drop("feature_importance", "best_params")
 
@@ -248,8 +242,6 @@ def _train(name: str):
 
 
 def _vectors(df: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     array = vector_to_array(F.col("features"))
     return df.select(
         "row_key", "label", F.size(array).alias("n_features"),
@@ -258,13 +250,13 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 
 def _importance(f: Fixture) -> DataFrame:
-    p = Prepared(f)
+    p = _prepared(f)
     trained = training.train_logistic(p.train, p.test, p.names, SETTINGS)
     return f.spark.createDataFrame(list(trained.importance.items()), "feature string, importance double")
 
 
 def _saved_model(f: Fixture) -> DataFrame:
-    p = Prepared(f)
+    p = _prepared(f)
     catalog = Catalog(f.spark, scratch_folder(f.spark, "models"))
     catalog.save_model(p.preprocessor, "preprocessor")
     loaded: PipelineModel = catalog.load_model("preprocessor")
@@ -273,15 +265,13 @@ def _saved_model(f: Fixture) -> DataFrame:
 
 
 def _skipped(f: Fixture) -> DataFrame:
-    from dataclasses import replace
-
-    p = Prepared(f)
+    p = _prepared(f)
     settings = replace(SETTINGS, skip=frozenset({"logistic"}))
     return training.metrics_frame(p.test, training.train_logistic(p.train, p.test, p.names, settings))
 
 
 def _grid(f: Fixture) -> DataFrame:
-    p = Prepared(f)
+    p = _prepared(f)
     found = tuning.grid_search(p.train, SETTINGS)
     return f.spark.createDataFrame(
         [(c.c, c.iterations, c.weighting, s) for c, s in found],
@@ -290,7 +280,7 @@ def _grid(f: Fixture) -> DataFrame:
 
 
 def _pseudo(f: Fixture) -> DataFrame:
-    p = Prepared(f)
+    p = _prepared(f)
     trained = training.train_logistic(p.train, p.test, p.names, SETTINGS)
     masked = weak_labels.weak_positive_mask(f.model_table, SETTINGS)
     return weak_labels.pseudo_labels(masked, p.preprocessor, trained.model, SETTINGS)
@@ -303,11 +293,11 @@ def _retrained(f: Fixture) -> DataFrame:
 
 Fixture.pseudo_labelled = property(_pseudo)
 
-register("fit_transform_train", lambda f: _vectors(Prepared(f).train))
-register("transform_test", lambda f: _vectors(Prepared(f).test))
+register("fit_transform_train", lambda f: _vectors(_prepared(f).train))
+register("transform_test", lambda f: _vectors(_prepared(f).test))
 register(
     "feature_names",
-    lambda f: f.spark.createDataFrame(list(enumerate(Prepared(f).names)), "position int, name string"),
+    lambda f: f.spark.createDataFrame(list(enumerate(_prepared(f).names)), "position int, name string"),
 )
 register("model_save_load", _saved_model)
 register("train_generic", _skipped)
@@ -315,7 +305,7 @@ for _name in training.TRAINERS:
     register(f"train_{_name}", _train(_name))
 register(
     "predictions_table",
-    lambda f: (lambda p: _scored(training.train_logistic(p.train, p.test, p.names, SETTINGS)))(Prepared(f)),
+    lambda f: (lambda p: _scored(training.train_logistic(p.train, p.test, p.names, SETTINGS)))(_prepared(f)),
 )
 register("feature_importance", _importance)
 register("sort_importances", lambda f: _importance(f).orderBy(F.desc("importance"), "feature"))

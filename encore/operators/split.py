@@ -15,6 +15,14 @@ def content_key(df: DataFrame) -> Column:
     return F.concat_ws("\x1f", *parts)
 
 
+def _per_label(label: str, values: dict) -> Column:
+    """The number that belongs to a row's label (null for a label without one)."""
+    return F.coalesce(
+        *[F.when(F.col(label) == F.lit(k), F.lit(v)) for k, v in values.items()],
+        F.lit(None).cast("double"),
+    )
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -26,41 +34,39 @@ def stratified_split(
     """Add ``split`` ('train' or 'test'): per label, the ``round(n * share)`` rows with the
     lowest hash of their key go to test.
 
-    The cut is one hash value per label, so no label group is ever sorted in one task and
-    the wide rows are not shuffled.
+    A job finds one hash value per label to cut at; rows are then placed by comparing with
+    it, so no label group is sorted in one task and the wide rows are never shuffled.
     """
     if label not in df.columns:
         raise ValueError(f"the table has no target column {label!r}")
     if df.isEmpty():
         raise ValueError("cannot split an empty table")
-    key = F.col(key) if isinstance(key, str) else key
-    draw = hash_fraction(key, seed)
-    by = [label] if stratify else []
-    cuts = order_statistics(
-        df, draw, {"cut": f"cast(round(n * {float(test_share)!r}D) as bigint)"}, by
-    )
-    if stratify:  # one row per label
-        placed = df.join(F.broadcast(cuts.select(label, "cut")), label, "left")
+    draw = hash_fraction(F.col(key) if isinstance(key, str) else key, seed)
+    ranks = {"cut": f"cast(round(n * {float(test_share)!r}D) as bigint)"}
+    if stratify:
+        cuts = order_statistics(df, draw, ranks, [label]).collect()  # one row per label
+        cut = _per_label(label, {r[label]: r["cut"] for r in cuts})
     else:
-        placed = df.withColumn("cut", cuts.select("cut").scalar())
-    in_test = F.coalesce(draw <= F.col("cut"), F.lit(False))
-    return placed.select(
-        *df.columns, F.when(in_test, F.lit("test")).otherwise(F.lit("train")).alias("split")
-    )
+        cut = F.lit(order_statistics(df, draw, ranks).first()["cut"]).cast("double")
+    in_test = F.coalesce(draw <= cut, F.lit(False))
+    return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def assign_folds(
     df: DataFrame, label: str, key: Column | str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
     """Add ``fold`` (0..folds-1): per label, equal slices of the rows in hash order."""
-    key = F.col(key) if isinstance(key, str) else key
-    draw = hash_fraction(key, seed)
-    edges = order_statistics(
-        df, draw, {f"e{i}": f"(n * {i}) div {folds}" for i in range(1, folds)}, [label]
-    ).select(label, *[f"e{i}" for i in range(1, folds)])
-    placed = df.join(F.broadcast(edges), label, "left")
+    draw = hash_fraction(F.col(key) if isinstance(key, str) else key, seed)
+    ranks = {f"e{i}": f"(n * {i}) div {folds}" for i in range(1, folds)}
+    edges = order_statistics(df, draw, ranks, [label]).collect()  # one row per label
     fold = sum(
-        (F.coalesce((draw > F.col(f"e{i}")).cast("int"), F.lit(1)) for i in range(1, folds)),
+        (
+            F.coalesce(
+                (draw > _per_label(label, {r[label]: r[name] for r in edges})).cast("int"),
+                F.lit(1),
+            )
+            for name in ranks
+        ),
         F.lit(0),
     )
-    return placed.select(*df.columns, fold.cast("int").alias("fold"))
+    return df.withColumn("fold", fold.cast("int"))

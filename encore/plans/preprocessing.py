@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -105,3 +106,25 @@ def feature_names(model: PipelineModel) -> list[str]:
     ]
     rest = model.stages[5].getInputCols()[1 + len(indexer.getInputCols()) :]
     return [f"num__{c}" for c in numeric] + categories + [f"remainder__{c}" for c in rest]
+
+
+@dataclass
+class Prepared:
+    """Train and test parts with features, the fitted preprocessor and its feature names."""
+
+    train: DataFrame
+    test: DataFrame
+    preprocessor: PipelineModel
+    names: list[str]
+
+
+def prepare(inputs: DataFrame, settings: Settings = DEFAULTS) -> Prepared:
+    """Split a model table and apply the preprocessor fitted on its train part."""
+    train, test = split_train_test(inputs, settings)
+    preprocessor = fit_preprocessor(train, settings)
+    return Prepared(
+        apply_preprocessor(preprocessor, train),
+        apply_preprocessor(preprocessor, test),
+        preprocessor,
+        feature_names(preprocessor),
+    )

@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from encore.plans import cleaning, features
+from encore.plans.preprocessing import Prepared, prepare
 from encore.plans.settings import DEFAULTS, Settings
+from encore.plans.training import TRAINERS, Trained, metrics_frame
+from encore.plans.tuning import tune_logistic
+from encore.plans.weak_labels import bias_report, pseudo_labels, retrain, weak_positive_mask
 from encore.sources.catalog import Catalog
 
 Tables = dict[str, DataFrame]
@@ -67,3 +71,95 @@ def run_feature_engineering(
     )
     _store(t, "model_inputs", inputs, catalog)
     return t
+
+
+def _store_model(name: str, trained: Trained, catalog: Catalog | None) -> None:
+    """Write a model with its predictions and reports; a skipped one only says so."""
+    if catalog is None:
+        return
+    catalog.save(metrics_frame(trained.predictions, trained), f"{name}_metrics")
+    if trained.model is None:
+        return
+    catalog.save_model(trained.model, name)
+    catalog.save(trained.predictions, f"{name}_predictions_test")
+    catalog.save(trained.top, f"{name}_top_10_predictions")
+    catalog.save(trained.thresholds, f"{name}_curves")
+
+
+def run_preprocessing(
+    tables: Tables, settings: Settings = DEFAULTS, catalog: Catalog | None = None
+) -> Prepared:
+    """Split, scale and encode the model table."""
+    prepared = prepare(tables["model_inputs"], settings)
+    if catalog:
+        catalog.save_model(prepared.preprocessor, "preprocessor")
+        names = prepared.train.sparkSession.createDataFrame(
+            list(enumerate(prepared.names)), "position int, name string"
+        )
+        catalog.save(names, "train_columns")
+    return prepared
+
+
+def run_modelling(
+    prepared: Prepared, settings: Settings = DEFAULTS, catalog: Catalog | None = None
+) -> dict[str, Trained]:
+    """Train and evaluate all classifiers."""
+    results = {}
+    for name, trainer in TRAINERS.items():
+        results[name] = trainer(prepared.train, prepared.test, prepared.names, settings)
+        _store_model(name, results[name], catalog)
+    return results
+
+
+def run_model_training(
+    tables: Tables, settings: Settings = DEFAULTS, catalog: Catalog | None = None
+) -> dict[str, Trained]:
+    """Preprocessing and modelling in one go, from a stored model table."""
+    return run_modelling(run_preprocessing(tables, settings, catalog), settings, catalog)
+
+
+def run_tuning(
+    prepared: Prepared, settings: Settings = DEFAULTS, catalog: Catalog | None = None
+) -> Trained:
+    tuned = tune_logistic(prepared.train, prepared.test, prepared.names, settings)
+    _store_model("tuned_logistic", tuned, catalog)
+    return tuned
+
+
+def run_semi_supervised(
+    tables: Tables,
+    prepared: Prepared,
+    best: Trained,
+    settings: Settings = DEFAULTS,
+    catalog: Catalog | None = None,
+) -> tuple[Tables, Trained]:
+    """Pseudo labels from the best model and the weak signs, a retrained model, a bias report."""
+    t: Tables = dict(tables)
+    masked = weak_positive_mask(t["model_inputs"], settings)
+    _store(t, "weak_positive_mask", masked, catalog)
+    labelled = pseudo_labels(
+        t["weak_positive_mask"], prepared.preprocessor, best.model, settings
+    )
+    _store(t, "pseudo_labeled_data", labelled, catalog)
+    retrained = retrain(t["pseudo_labeled_data"], settings)
+    _store_model("ssl_logistic", retrained, catalog)
+    _store(t, "ssl_bias_report", bias_report(t["pseudo_labeled_data"], settings), catalog)
+    return t, retrained
+
+
+def run_all(
+    raw: Tables,
+    settings: Settings = DEFAULTS,
+    catalog: Catalog | None = None,
+    predictor: features.Predictor | None = None,
+) -> tuple[Tables, dict[str, Trained]]:
+    """Every stage in order: raw tables to models and reports."""
+    tables = run_data_engineering(raw, settings, catalog)
+    tables = run_feature_engineering(tables, settings, catalog, predictor)
+    prepared = run_preprocessing(tables, settings, catalog)
+    models = run_modelling(prepared, settings, catalog)
+    models["tuned_logistic"] = run_tuning(prepared, settings, catalog)
+    tables, models["ssl_logistic"] = run_semi_supervised(
+        tables, prepared, models["tuned_logistic"], settings, catalog
+    )
+    return tables, models

@@ -21,7 +21,6 @@ from encore.operators.metrics import (
     classification_report,
     curve_areas,
     threshold_table,
-    top_share_precision,
 )
 from encore.operators.ranking import top_share
 from encore.plans.preprocessing import FEATURES, KEY, LABEL
@@ -106,31 +105,28 @@ def score(model, df: DataFrame, threshold: float | None = None) -> DataFrame:
 
 
 def evaluate(
-    predictions: DataFrame, share: float = 0.1, key: str = KEY
-) -> tuple[dict, DataFrame]:
-    """All metrics of a table with y_true, y_pred and y_proba, and its table of thresholds.
+    predictions: DataFrame, thresholds: DataFrame, top: DataFrame
+) -> dict:
+    """All metrics of a table with y_true, y_pred and y_proba.
 
-    Only single numbers reach the driver. The curves can be as long as the table, so they
-    stay a DataFrame.
+    Only single numbers reach the driver. The curves (``thresholds``) can be as long as the
+    table, so they stay a DataFrame.
     """
-    thresholds = threshold_table(predictions, "y_true", "y_proba")
     areas = curve_areas(thresholds).first()
     if areas["roc_auc"] is None and predictions.isEmpty():
         raise ValueError("there are no predictions to evaluate")
     report = classification_report(predictions, "y_true", "y_pred").collect()
-    top = top_share_precision(predictions, "y_true", "y_proba", key, share).first()
-    metrics = {
+    return {
         "roc_auc": areas["roc_auc"],
         "prc_auc": areas["prc_auc"],
         "average_precision": areas["average_precision"],
-        "top_10_precision": top["top_10_precision"],
+        "top_10_precision": top.agg(F.avg("y_true")).first()[0],
         "accuracy": report[0]["accuracy"],
         "classification_report": [
             {k: r[k] for k in ("class", "precision", "recall", "f1_score", "support")}
             for r in report
         ],
     }
-    return metrics, thresholds
 
 
 def metrics_frame(like: DataFrame, trained: Trained) -> DataFrame:
@@ -191,10 +187,11 @@ def train_classifier(
     finally:
         weighted.unpersist()
     predictions = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
-    metrics, thresholds = evaluate(predictions, share)
+    thresholds = threshold_table(predictions, "y_true", "y_proba")
+    top = top_share(predictions, "y_proba", KEY, share)
     return Trained(
-        PipelineModel(stages=[model]), metrics, predictions,
-        top_share(predictions, "y_proba", KEY, share), thresholds,
+        PipelineModel(stages=[model]), evaluate(predictions, thresholds, top), predictions,
+        top, thresholds,
         importances(model, names) if with_importance else {},
     )
 

@@ -108,16 +108,16 @@ def at_best_threshold(
 ) -> Trained:
     """Score a test part and decide by the threshold with the best F1."""
     scored = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
-    best = best_f1_threshold(threshold_table(scored, "y_true", "y_proba")).first()
-    threshold = best["best_threshold"]
+    thresholds = threshold_table(scored, "y_true", "y_proba")
+    threshold = best_f1_threshold(thresholds).first()["best_threshold"]
     predictions = scored.withColumn(
         "y_pred", (F.col("y_proba") >= F.lit(threshold)).cast("int")
     )
-    metrics, thresholds = evaluate(predictions, settings.top_share)
+    top = top_share(predictions, "y_proba", KEY, settings.top_share)
+    metrics = evaluate(predictions, thresholds, top)
     metrics["best_threshold"] = threshold
     return Trained(
-        PipelineModel(stages=[model]), metrics, predictions,
-        top_share(predictions, "y_proba", KEY, settings.top_share), thresholds,
+        PipelineModel(stages=[model]), metrics, predictions, top, thresholds,
         importances(model, names),
     )
 
