@@ -191,7 +191,7 @@ register(
 BIAS = (
     "select count(*) as total_pseudo_positives, count(*) filter (product_category_name in "
     "(select product_category_name from tw_model_inputs group by 1 order by count(*) desc, "
-    "product_category_name limit 3)) as positives_from_top_categories from tw_weak "
+    "product_category_name limit 2)) as positives_from_top_categories from tw_weak "
     "where weak_positive"
 )
 
@@ -199,7 +199,7 @@ BIAS = (
 def _bias(f: Fixture) -> DataFrame:
     masked = weak_labels.weak_positive_mask(f.model_table, SETTINGS)
     labelled = masked.withColumn("is_repeat_buyer", F.col("weak_positive").cast("int"))
-    return weak_labels.bias_report(labelled, replace(SETTINGS, weak_categories=3))
+    return weak_labels.bias_report(labelled, SETTINGS)
 
 
 BIAS_SQL = (

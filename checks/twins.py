@@ -207,7 +207,7 @@ select *, coalesce(review_score > 3, false) or coalesce(deli_duration_exp <= -7,
  or coalesce(total_spent >= (select quantile_cont(total_spent, 0.8) from tw_model_inputs), false)
  or coalesce(product_category_name in (select product_category_name from tw_model_inputs
    where product_category_name is not null group by 1
-   order by count(*) desc, product_category_name limit 10), false) as weak_positive
+   order by count(*) desc, product_category_name limit 2), false) as weak_positive
  from tw_model_inputs""",
     "tw_thresholds": """
 select threshold, sum(pos) over w as tp, sum(neg) over w as fp, pos, neg,
