@@ -113,7 +113,8 @@ class Fixture:
     @property
     def transactions(self) -> DataFrame:
         return features.transaction_features(
-            self.stored("clean_orders"), self.stored("clean_items"), self.clean_payments,
+            self.stored("clean_orders"), self.stored("clean_items"),
+            self.stored("clean_payments"),
             self.stored("labels"), SETTINGS,
         )
 

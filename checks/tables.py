@@ -300,10 +300,13 @@ def override_sql(current: str) -> str:
 
 register(
     "sentiment_keyword_override",
-    lambda f: f.reviews.select(
+    lambda f: f.reviews.withColumn(
+        "plain",
+        sentiment.plain_text(F.coalesce(F.col("review_comment_message"), F.lit(""))),
+    ).select(
         "review_id",
         sentiment.keyword_override(
-            F.coalesce(F.col("review_comment_message"), F.lit("")),
+            F.col("plain"),
             sentiment.sentiment_name(F.expr(MODEL_LABEL)),
         ).alias("sentiment"),
     ),
@@ -450,8 +453,9 @@ register(
     "join_bulk_flag",
     lambda f: f.items.select("order_id", "order_item_id", "product_id")
     .join(
-        aggregates.pair_counts(f.items).where("product_qty > 1")
-        .select("order_id", "product_id", F.lit(True).alias("is_bulk")),
+        joins.splittable(
+            aggregates.pair_counts(f.items).where("product_qty > 1"), ["order_id", "product_id"]
+        ).select("order_id", "product_id", F.lit(True).alias("is_bulk")),
         ["order_id", "product_id"], "left",
     ).withColumn("is_bulk", filters.true_only(F.col("is_bulk"))),
     "select order_id, order_item_id, product_id, "
@@ -460,7 +464,10 @@ register(
 register(
     "join_avg_price",
     lambda f: f.items.select("order_id", "order_item_id", "product_id", "price").join(
-        f.items.groupBy("product_id").agg(F.avg("price").alias("avg_price")), "product_id", "left"
+        joins.splittable(
+            f.items.groupBy("product_id").agg(F.avg("price").alias("avg_price")), ["product_id"]
+        ),
+        "product_id", "left",
     ),
     "select order_id, order_item_id, product_id, price, "
     "avg(price) over (partition by product_id) as avg_price from fx_items", "price avg_price",
@@ -469,8 +476,13 @@ PAY_COLUMNS = "credit_card voucher debit_card boleto total_spent"
 register(
     "join_payments_wide",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types, False)
-        .drop("installment"), "order_id", "left"
+        joins.splittable(
+            aggregates.payments_per_order(
+                f.stored("clean_payments"), SETTINGS.payment_types, False
+            ).drop("installment"),
+            ["order_id"],
+        ),
+        "order_id", "left",
     ),
     "select i.order_id, i.order_item_id, i.product_id, credit_card, voucher, debit_card, boleto, "
     "total_spent from fx_items i left join tw_order_payments using (order_id)", PAY_COLUMNS,
@@ -478,8 +490,13 @@ register(
 register(
     "join_installments",
     lambda f: f.items.select("order_id", "order_item_id", "product_id").join(
-        aggregates.payments_per_order(f.stored("clean_payments"), SETTINGS.payment_types)
-        .select("order_id", "installment"), "order_id", "left"
+        joins.splittable(
+            aggregates.payments_per_order(
+                f.stored("clean_payments"), SETTINGS.payment_types
+            ).select("order_id", "installment"),
+            ["order_id"],
+        ),
+        "order_id", "left",
     ).withColumn("installment", F.coalesce("installment", F.lit(0))),
     "select i.order_id, i.order_item_id, i.product_id, coalesce(installment, 0) as installment "
     "from fx_items i left join tw_order_payments using (order_id)",
@@ -666,7 +683,9 @@ register(
 )
 register(
     "agg_mean_compare",
-    lambda f: f.items.join(aggregates.price_totals(f.items), "product_id", "left").select(
+    lambda f: f.items.join(
+        joins.splittable(aggregates.price_totals(f.items), ["product_id"]), "product_id", "left"
+    ).select(
         "order_id", "order_item_id", "product_id", aggregates.below_mean().alias("discount")
     ),
     "select order_id, order_item_id, product_id, cast(price as decimal(18,6)) * "

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,8 +22,13 @@ SHORT_COMMENT_WORDS = 5
 NO_COMMENT = "No comment"
 
 
-def _mentions(text: Column, phrases: list[str]) -> Column:
-    return reduce(or_, [text.contains(p) for p in phrases])
+def plain_text(text: Column) -> Column:
+    """The form of a comment in which keywords are looked for."""
+    return F.lower(strip(text))
+
+
+def _mentions(plain: Column, phrases: list[str]) -> Column:
+    return plain.rlike("|".join(phrases))  # letters and spaces only: one pass for all phrases
 
 
 def sentiment_name(label: Column) -> Column:
@@ -35,9 +37,11 @@ def sentiment_name(label: Column) -> Column:
     return F.coalesce(F.try_element_at(known, label), F.lit("neutral"))
 
 
-def keyword_override(text: Column, sentiment: Column) -> Column:
-    """Lift a neutral sentiment to positive where the comment uses clearly positive words."""
-    plain = F.lower(strip(text))
+def keyword_override(plain: Column, sentiment: Column) -> Column:
+    """Lift a neutral sentiment to positive where the comment uses clearly positive words.
+
+    ``plain`` is ``plain_text`` of the comment; as a column of its own it is made only once.
+    """
     short = word_count(plain) <= SHORT_COMMENT_WORDS
     lifted = _mentions(plain, POSITIVE_KEYWORDS) | (
         short & _mentions(plain, SHORT_COMMENT_PHRASES)

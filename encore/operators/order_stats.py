@@ -33,12 +33,10 @@ def order_bin(value: str, bits: int) -> str:
 def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct value (``_v``, ``_n``); null and NaN are left out."""
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    return (
-        df.select(*by, v.alias("_v"))
-        .where("_v is not null and not isnan(_v)")
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    counts = df.select(*by, v.alias("_v")).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Null and NaN are one group each. Filtering them after counting, by a condition that
+    # needs the count, keeps the optimizer from evaluating ``value`` twice per row.
+    return counts.where("case when _v is null or isnan(_v) then 0 else _n end > 0")
 
 
 def order_statistics(

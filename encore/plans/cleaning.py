@@ -16,6 +16,7 @@ from encore.operators.filters import (
     keep_unless_in,
     standardize_location,
 )
+from encore.operators.joins import splittable
 from encore.operators.ranking import first_per_key
 from encore.plans.settings import DEFAULTS, Settings
 
@@ -23,15 +24,14 @@ from encore.plans.settings import DEFAULTS, Settings
 def clean_orders(orders: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Parse dates and null those outside the years, drop unpaid orders, estimate missing
     deliveries by the median offset of the paid ones, require an approval."""
-    dates = {
-        c: within_years(parse_timestamp(F.col(c)), settings.first_year, settings.last_year)
-        for c in settings.order_dates
-    }
-    paid = keep_unless_in(
-        orders.withColumns(dates).drop(*settings.order_drop),
-        "order_status",
-        settings.unpaid_statuses,
+    kept = orders.drop(*settings.order_drop)
+    dates = [c for c in settings.order_dates if c in kept.columns]
+    # Two steps, so that a text is parsed once although its value is looked at several times.
+    parsed = kept.withColumns({c: parse_timestamp(F.col(c)) for c in dates})
+    clipped = parsed.withColumns(
+        {c: within_years(F.col(c), settings.first_year, settings.last_year) for c in dates}
     )
+    paid = keep_unless_in(clipped, "order_status", settings.unpaid_statuses)
     filled = fill_by_median_offset(
         paid, "order_delivered_customer_date", "order_estimated_delivery_date"
     )
@@ -141,6 +141,7 @@ def repeat_labels(orders: DataFrame, customers: DataFrame) -> DataFrame:
     per_person = distinct_per_key(
         persons, "customer_unique_id", "order_id", "num_orders"
     ).withColumn("is_repeat_buyer", F.col("num_orders") > 1)
+    per_person = splittable(per_person, ["customer_unique_id"])
     return persons.join(per_person, "customer_unique_id", "left")
 
 

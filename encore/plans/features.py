@@ -14,6 +14,7 @@ from encore.functions.sentiment import (
     blank_label,
     is_blank,
     keyword_override,
+    plain_text,
     sentiment_name,
     verified_rating,
 )
@@ -27,7 +28,7 @@ from encore.operators.aggregates import (
 )
 from encore.operators.caps import above_iqr
 from encore.operators.filters import true_only
-from encore.operators.joins import coordinates, lookup_replace
+from encore.operators.joins import coordinates, lookup_replace, splittable
 from encore.operators.ranking import first_per_key, in_top_values
 from encore.plans.cleaning import ITEM_ORDER
 from encore.plans.settings import DEFAULTS, Settings
@@ -70,24 +71,24 @@ def transaction_features(
     ``price`` and ``freight_value`` are the capped ones. Only pairs that occur more than once
     are joined for the bulk flag; all other items are not bulk.
     """
-    bulk = (
-        pair_counts(items)
-        .where(F.col("product_qty") > 1)
-        .select("order_id", "product_id", F.lit(True).alias("is_bulk"))
-    )
+    pair = ["order_id", "product_id"]
+    bulk = pair_counts(items).where(F.col("product_qty") > 1)
+    bulk = splittable(bulk, pair).select(*pair, F.lit(True).alias("is_bulk"))
+    totals = splittable(price_totals(items), ["product_id"])
+    facts = splittable(order_facts(orders, payments, labels, settings), ["order_id"])
     flagged = (
         items.select(
             "order_id", "product_id", "seller_id", "price", "freight_value",
             true_only(F.col("freight_value") == 0.0).alias("free_delivery"),
             above_iqr(items, "price").alias("high_price"),
         )
-        .join(price_totals(items), "product_id", "left")
+        .join(totals, "product_id", "left")
         .withColumn("discount", below_mean())
-        .join(bulk, ["order_id", "product_id"], "left")
+        .join(bulk, pair, "left")
         .withColumn("is_bulk", true_only(F.col("is_bulk")))
     )
     return (
-        flagged.join(order_facts(orders, payments, labels, settings), "order_id")
+        flagged.join(facts, "order_id")
         .select(
             "order_id", "product_id", "seller_id", "customer_id", "customer_unique_id",
             "deli_duration_exp", "deli_duration_paid",
@@ -128,9 +129,11 @@ def review_sentiment(reviews: DataFrame, predictor: Predictor) -> DataFrame:
     labelled = known.withColumn("_asked", lookup).join(
         scored.withColumnRenamed(comment, "_asked"), "_asked", "left"
     )
-    override = keyword_override(F.col(comment), sentiment_name(F.col("model_label")))
-    return labelled.withColumn("sentiment", blank_label(F.col(comment), override)).drop(
-        "_asked", "model_label"
+    override = keyword_override(F.col("_plain"), sentiment_name(F.col("model_label")))
+    return (
+        labelled.withColumn("_plain", plain_text(F.col(comment)))
+        .withColumn("sentiment", blank_label(F.col("_plain"), override))
+        .drop("_asked", "_plain", "model_label")
     )
 
 
@@ -210,7 +213,7 @@ def order_distances(
 
 def distance_seller_stats(order_distances: DataFrame) -> DataFrame:
     """Add each seller's share of repeat buyers."""
-    rates = repeat_rate_per_seller(order_distances)
+    rates = splittable(repeat_rate_per_seller(order_distances), ["seller_id"])
     return order_distances.join(rates, "seller_id", "left").select(
         *order_distances.columns, "seller_repeat_buyer_rate"
     )

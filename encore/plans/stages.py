@@ -84,6 +84,7 @@ def _store_model(name: str, trained: Trained, catalog: Catalog | None) -> None:
     catalog.save(trained.predictions, f"{name}_predictions_test")
     catalog.save(trained.top, f"{name}_top_10_predictions")
     catalog.save(trained.thresholds, f"{name}_curves")
+    trained.predictions.unpersist()
 
 
 def run_preprocessing(

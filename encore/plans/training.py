@@ -159,6 +159,18 @@ def importances(model, names: list[str]) -> dict[str, float]:
     return {name: float(value) for name, value in ranked}
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Use all cores for iterative fits of a table that sits in few files.
+
+    Rows go by their key, so a repeated task produces the same parts. Tables with enough
+    partitions are left as they are.
+    """
+    wanted = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() >= wanted:
+        return train
+    return train.repartition(wanted, KEY)
+
+
 def train_classifier(
     train: DataFrame,
     test: DataFrame,
@@ -178,14 +190,13 @@ def train_classifier(
         nothing = test.limit(0)
         return Trained(None, {"skipped": True}, nothing, nothing)
     ensure_checkpoint_folder(train.sparkSession)
-    weighted = with_weights(
-        train.select(FEATURES, LABEL), class_weights(train, weighting)
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(train).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        weighted = with_weights(rows, class_weights(rows, weighting))
         total = weighted.agg(F.sum(WEIGHT)).first()[0]
         model = build(total).fit(weighted)
     finally:
-        weighted.unpersist()
+        rows.unpersist()
     predictions = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
     thresholds = threshold_table(predictions, "y_true", "y_proba")
     top = top_share(predictions, "y_proba", KEY, share)

@@ -24,6 +24,7 @@ from encore.plans.training import (
     importances,
     logistic,
     score,
+    spread,
     with_weights,
 )
 
@@ -74,7 +75,7 @@ def grid_search(
     train: DataFrame, settings: Settings = DEFAULTS, parallelism: int = 4
 ) -> list[tuple[Candidate, float]]:
     """Mean average precision over the folds per setting, best first (ties: grid order)."""
-    folded = assign_folds(train, LABEL, KEY, settings.folds, settings.seed)
+    folded = assign_folds(spread(train), LABEL, KEY, settings.folds, settings.seed)
     folded = folded.select(FEATURES, LABEL, "fold").persist(StorageLevel.MEMORY_AND_DISK)
     grid = [
         Candidate(c, limit, weighting)

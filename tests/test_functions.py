@@ -78,7 +78,7 @@ def test_keyword_override(spark):
             ("conforme", "neutral"), ("um dois tres quatro cinco conforme", "neutral"),
             ("Tudo certo", "negative"), ("", "neutral")]
     got = values(spark, rows, "t string, s string",
-                 sentiment.keyword_override(F.col("t"), F.col("s")))
+                 sentiment.keyword_override(sentiment.plain_text(F.col("t")), F.col("s")))
     assert got == ["positive", "positive", "positive", "neutral", "negative", "neutral"]
 
 
