@@ -111,16 +111,15 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     If all values are equal the range reaches half a unit to both sides. Empty bins are left
     out.
     """
-    edges = (
-        df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
-        .select(
-            F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
-            F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"),
-        )
-        .select(F.struct("lo", "hi").alias("edges"))
-        .scalar()
-    )
-    share = (F.col(column) - edges["lo"]) / (edges["hi"] - edges["lo"])
+    ends = df.agg(
+        F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")
+    ).first()
+    lo, hi = ends["lo"], ends["hi"]
+    if lo is None:
+        lo, hi = 0.0, 1.0  # no values: no bins
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    share = (F.col(column) - F.lit(lo)) / F.lit(hi - lo)
     place = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
     return (
         df.where(F.col(column).isNotNull())

@@ -20,8 +20,8 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 def value_shares(df: DataFrame, column: str, name: str = "share") -> DataFrame:
     """Value counts as fractions of the non-null rows."""
     counts = value_counts(df, column, "_n")
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.select(column, (F.col("_n") / total).alias(name))
+    total = counts.agg(F.sum("_n")).first()[0]
+    return counts.select(column, (F.col("_n") / F.lit(total)).alias(name))
 
 
 def top_values(df: DataFrame, column: str, k: int, name: str = "n") -> DataFrame:

@@ -8,20 +8,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def standard_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """(x - mean) / population deviation; a constant column becomes 0."""
-    stats = [
-        F.struct(
-            F.avg(F.col(c).cast("double")).alias("mean"),
-            F.stddev_pop(F.col(c).cast("double")).alias("std"),
-        ).alias(c)
-        for c in columns
-    ]
-    fitted = (fit_on or df).agg(F.struct(*stats).alias("fitted")).scalar()
+def standard_scale(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None
+) -> DataFrame:
+    """(x - mean) / population deviation; a constant column becomes 0.
+
+    Means and deviations come from one job over ``fit_on`` (by default the table itself).
+    """
+    stats = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        stats += [F.avg(value).alias(f"mean_{i}"), F.stddev_pop(value).alias(f"std_{i}")]
+    fitted = (df if fit_on is None else fit_on).agg(*stats).first()
     scaled = {}
-    for c in columns:
-        spread = F.when(fitted[c]["std"] == 0, F.lit(1.0)).otherwise(fitted[c]["std"])
-        scaled[c] = (F.col(c).cast("double") - fitted[c]["mean"]) / spread
+    for i, c in enumerate(columns):
+        mean = F.lit(fitted[f"mean_{i}"]).cast("double")
+        scaled[c] = (F.col(c).cast("double") - mean) / F.lit(fitted[f"std_{i}"] or 1.0)
     return df.withColumns(scaled)
 
 
