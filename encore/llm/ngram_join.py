@@ -40,7 +40,7 @@ from encore.llm.shared import U, hashed_words, mix, slices, stored
 from encore.operators.joins import splittable
 
 #: Weight (n-grams) of a chunk of a family; a task holds two.
-CHUNK_WEIGHT = 1 << 19
+CHUNK_WEIGHT = 1 << 16
 #: Cuts by further hash functions for rows with too many nearly empty blocks.
 SEEDS = 24
 _BIN_RATIO = 1.25

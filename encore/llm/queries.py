@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import ngram_join
+from encore.llm import decontamination, mixing, ngram_join, sharding
 from encore.llm.shared import table
 
 
@@ -14,8 +14,57 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_components(table(spark, sf_dir, "documents"), n=3, similarity=90)
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op5_ngram_jaccard_join,)
+    for query in (
+        op4_source_mix,
+        op5_ngram_jaccard_join,
+        op9_sampled_splitters,
+        op10_winnowing,
+    )
+}
+SQL: dict[str, str] = {
+    "op10_winnowing": r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from documents),
+i as (
+  select item_id, w, least(13, len(w)) as n from (
+    select cast(item_id as varchar) as item_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark where item_id is not null) where len(w) > 0),
+iw as (
+  select distinct item_id, n, array_to_string(w[p : p + n - 1], ' ') as key
+  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as p from i)),
+dw as (
+  select r, n, p, array_to_string(w[p : p + n - 1], ' ') as key
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as p
+        from d, (select distinct n from i) where len(w) >= n)),
+hits as (select r, p, iw.n, item_id from dw join iw on dw.n = iw.n and dw.key = iw.key),
+words as (select r, count(distinct q) as n_hit
+          from (select r, unnest(range(p, p + n)) as q from hits) group by r),
+items as (select r, count(distinct item_id) as n_items,
+            string_agg(distinct item_id, ',' order by item_id) as names from hits group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join words using (r) left join items using (r)
+""",
 }
-SQL: dict[str, str] = {}
