@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import decontamination, mixing, ngram_join, sharding
+from encore.llm import decontamination, extraction, language, mixing, ngram_join, quality, sharding
 from encore.llm.shared import table
 
 
@@ -14,6 +14,18 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_components(table(spark, sf_dir, "documents"), n=3, similarity=90)
 
 
+def op1_histogram_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -31,6 +43,9 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_histogram_divergence,
+        op2_output_codes,
+        op3_line_blocks,
         op4_source_mix,
         op5_ngram_jaccard_join,
         op9_sampled_splitters,

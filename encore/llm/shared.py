@@ -100,12 +100,17 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts in order, and where each text's words begin."""
+def hashed_words(
+    texts: list[bytes], separator: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in order, and where each text's words begin.
+
+    ``separator`` tells for every byte whether it separates words; a space always has to.
+    """
     buffer = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     text_starts = np.concatenate(([0], np.cumsum(lengths)))
-    space = _IS_SPACE[buffer]
+    space = separator[buffer]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
     starts, ends = edges[0::2], edges[1::2]
     sums = np.zeros(len(buffer) + 1, dtype=U)
