@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import decontamination, extraction, language, mixing, ngram_join, quality, sharding
+from encore.llm import (
+    decontamination,
+    extraction,
+    language,
+    line_templates,
+    mixing,
+    ngram_join,
+    quality,
+    sentence_spans,
+    sharding,
+    url_filter,
+)
 from encore.llm.shared import table
 
 
@@ -30,6 +41,18 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op6_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.dropped_lines(table(spark, sf_dir, "documents"))
+
+
 def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
 
@@ -48,6 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_line_blocks,
         op4_source_mix,
         op5_ngram_jaccard_join,
+        op6_path_templates,
+        op7_sentence_spans,
+        op8_line_templates,
         op9_sampled_splitters,
         op10_winnowing,
     )
