@@ -13,7 +13,9 @@ columns. The product is not formed for all pairs of rows:
    the two rows alone. At least one block then has to be equal in both rows; pairs without one
    are discarded unseen. A row sends one hash per block, nothing else. More blocks than H + 1
    are made, so that blocks with very few columns, which unlike rows share by chance, need not
-   be sent; a row with too many of those repeats the cut with another hash function.
+   be sent; a row with too many of those repeats the cut with another hash function. From its
+   size and its unsent blocks follows how many blocks a row shares with any row it links with;
+   a row that meets others in fewer goes.
 3. Rows that meet in a block form a family. Families are cut into chunks of bounded weight, each
    pair of chunks is a task: it accumulates the overlap counts through the postings of every
    n-gram, drops pairs below the bound given by their sizes, and returns the links that join
@@ -29,48 +31,67 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from encore.llm.components import components
 from encore.llm.shared import U, hashed_words, mix, slices, stored
 from encore.operators.joins import splittable
 
 #: Weight (n-grams) of a chunk of a family; a task holds two.
-CHUNK_WEIGHT = 1 << 16
+CHUNK_WEIGHT = 1 << 17
 #: Cuts by further hash functions for rows with too many nearly empty blocks.
 SEEDS = 24
-_BIN_RATIO = 1.25
+#: Documents whose blocks are sampled for hot ones, and how often a hot block is in the sample.
+SAMPLE_DOCS, HOT_IN_SAMPLE = 5000, 10
 _LARGEST = 10**10
 
 
-def _bins(similarity: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Lower sizes of the bins, blocks per bin, blocks that may go unsent, least block size."""
-    least = 3 if similarity >= 85 else 2
+@dataclass(frozen=True)
+class Bins:
+    """Per bin of sizes: lower size, blocks, blocks that may go unsent, least n-grams to send."""
+
+    lows: np.ndarray
+    blocks: np.ndarray
+    spare: np.ndarray
+    least: np.ndarray
+
+
+def _bins(similarity: int) -> Bins:
     lows = [1]
     while lows[-1] < _LARGEST:
-        step = max(_BIN_RATIO, 100 / similarity)
+        step = (100 / similarity) ** 2
         lows.append(max(lows[-1] + 1, math.ceil(lows[-1] * step)))
-    blocks, spare = [], []
+    chosen = []
     for low, high in zip(lows, lows[1:]):
         differing = 2 * (high - 1) * (100 - similarity) // (100 + similarity)
-        best = None
-        candidates = {*range(min(12, 2 + differing // 3)), *(differing * i // 100 for i in range(34))}
-        for d in sorted(candidates):
-            m = differing + 1 + d
-            rate = low / m
-            thin = sum(math.exp(-rate) * rate**i / math.factorial(i) for i in range(least))
-            spread = math.sqrt(m * thin * (1 - thin)) + 1e-9
-            short = 0.5 * math.erfc((d + 0.5 - m * thin) / spread / math.sqrt(2))
-            cost = m / max(1e-6, 1 - short)
-            if best is None or cost < best[0]:
-                best = (cost, m, d)
-        blocks.append(best[1])
-        spare.append(best[2])
-    return np.array(lows[:-1]), np.array(blocks), np.array(spare), least
+        options = []
+        for least in (3, 2, 1):
+            best = None
+            extra = {*range(min(12, 2 + differing // 3)), *(differing * i // 50 for i in range(17))}
+            for d in sorted(extra):
+                m = differing + 1 + d
+                cost = 0.0  # blocks sent by a row of the bin, and by one of the bin below
+                for size, weight in ((low, 2), (low * similarity / 100, 1)):
+                    rate = size / m
+                    thin = sum(
+                        math.exp(-rate) * rate**i / math.factorial(i) for i in range(least)
+                    )
+                    spread = math.sqrt(m * thin * (1 - thin)) + 1e-9
+                    short = 0.5 * math.erfc((d + 0.5 - m * thin) / spread / math.sqrt(2))
+                    cost += weight * m / max(1 / SEEDS, 1 - short)
+                if best is None or cost < best[0]:
+                    best = (cost, m, d, least)
+            options.append(best)
+        cheapest = min(options)[0]
+        chosen.append(next(o for o in options if o[0] <= 1.25 * cheapest))
+    _, blocks, spare, least = zip(*chosen)
+    return Bins(np.array(lows[:-1]), np.array(blocks), np.array(spare), np.array(least))
 
 
 def _sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,20 +140,26 @@ def _block_hashes(values, owner, owners, m, salt, everything):
     return who, size, mix(total + mix(which + m[who].astype(U) * U(1 << 32), salt), salt)
 
 
-def _signatures(values, starts, similarity, plan) -> list[np.ndarray]:
-    """Per row the hashes of the blocks that it has to send."""
-    lows, blocks, spare, least = plan
+def _signatures(values, starts, similarity, bins: Bins):
+    """For the row's own bin and the next one: hashes of the blocks that it has to send, and how
+    many of them a linked row has to share."""
     sizes = np.diff(starts)
     rows = len(sizes)
-    own = np.searchsorted(lows, sizes, side="right") - 1
-    out: list[list[np.ndarray]] = [[] for _ in range(rows)]
-    for step in (0, 1):  # the bin of the row, and the next one if a linked row can be there
+    own = np.searchsorted(bins.lows, sizes, side="right") - 1
+    top = len(bins.lows) - 1
+    steps = []
+    for step in (0, 1):  # the next bin only if a linked row can be there
+        out: list[list[np.ndarray]] = [[] for _ in range(rows)]
         at = own + step
-        part = (sizes > 0) & (at < len(lows))
+        part = (sizes > 0) & (at <= top)
         if step:
-            part &= 100 * sizes >= similarity * lows[np.minimum(at, len(lows) - 1)]
-        at = np.clip(at, 0, len(lows) - 1)
-        m, d = blocks[at], spare[at]
+            part &= 100 * sizes >= similarity * bins.lows[np.minimum(at, top)]
+        at = np.clip(at, 0, top)
+        m, d, least = bins.blocks[at], bins.spare[at], bins.least[at]
+        largest = np.where(at < top, bins.lows[np.minimum(at + 1, top)] - 1, _LARGEST)
+        largest = np.minimum(largest, sizes * 100 // similarity)
+        differing = (sizes + largest) * (100 - similarity) // (100 + similarity)
+        need = np.ones(rows, dtype=np.int64)
         part &= m > 1  # one block: only equal sets link
         active = np.flatnonzero(part)
         for seed in range(SEEDS):
@@ -148,17 +175,22 @@ def _signatures(values, starts, similarity, plan) -> list[np.ndarray]:
             last = seed == SEEDS - 1
             salt = 0x51ED270B + seed + (1 << 20)
             who, size, found = _block_hashes(got, owner, active, m, salt, last)
-            strong = size >= least
+            strong = size >= least[who]
             send = strong | last
-            strong_count = np.bincount(who[strong], minlength=rows)
+            thin = m - np.bincount(who[strong], minlength=rows)
             who, found = who[send], found[send]
             order = np.argsort(who, kind="stable")
             who, found = who[order], found[order]
             cuts = np.searchsorted(who, active), np.searchsorted(who, active, side="right")
             for i, a, b in zip(active, *cuts):
                 out[i].append(found[a:b])
-            active = active[(m - strong_count)[active] > d[active]]
-    return [np.concatenate(x) if x else np.zeros(0, dtype=U) for x in out]
+            if not seed:  # at least m - differing blocks are equal, at most ``thin`` unsent
+                need[active] = np.maximum(1, (m - differing - thin)[active])
+            again = (thin > d)[active]
+            need[active[again]] = 1
+            active = active[again]
+        steps.append(([np.concatenate(x) if x else np.zeros(0, dtype=U) for x in out], need))
+    return steps
 
 
 def _encoded(column: pa.Array) -> list[bytes]:
@@ -167,7 +199,7 @@ def _encoded(column: pa.Array) -> list[bytes]:
 
 def _summaries(n: int, similarity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = _bins(similarity, n)
+        bins = _bins(similarity)
         for batch in batches:
             ids = batch.column(0)
             texts = _encoded(batch.column(1))
@@ -178,18 +210,17 @@ def _summaries(n: int, similarity: int):
                 np.cumsum(mix(values, 11), out=totals[0, 1:])
                 np.cumsum(mix(values, 1 << 40), out=totals[1, 1:])
                 digest = (totals[:, starts[1:]] - totals[:, starts[:-1]]).view(np.int64)
-                signatures = _signatures(values, starts, similarity, plan)
-                offsets = np.concatenate(([0], np.cumsum([len(s) for s in signatures])))
-                flat = np.concatenate(signatures).view(np.int64)
+                arrays = [ids.slice(a, b - a), *map(pa.array, (sizes, digest[0], digest[1]))]
+                for blocks, need in _signatures(values, starts, similarity, bins):
+                    offsets = np.concatenate(([0], np.cumsum([len(x) for x in blocks])))
+                    flat = pa.array(np.concatenate(blocks).view(np.int64))
+                    arrays.append(
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+                    )
+                    arrays.append(pa.array(need))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(a, b - a),
-                        pa.array(sizes),
-                        pa.array(digest[0]),
-                        pa.array(digest[1]),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                    ],
-                    ["doc_id", "n_shingles", "hi", "lo", "blocks"],
+                    arrays,
+                    ["doc_id", "n_shingles", "hi", "lo", "own", "own_need", "next", "next_need"],
                 )
 
     return run
@@ -295,6 +326,49 @@ def _bitmap(ids: DataFrame, count: int) -> tuple[int, np.ndarray]:
     return bits, out
 
 
+def _meeting(sent: DataFrame) -> DataFrame:
+    """The rows of blocks that several classes have, with the smallest class of the block.
+
+    The smallest class is combined before the shuffle, the join can split hot blocks.
+    """
+    met = (
+        sent.groupBy("block")
+        .agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
+        .where("pivot < last")
+        .select("block", "pivot")
+    )
+    return sent.join(splittable(met, ["block"]), "block").select(*_MEETING)
+
+
+_MEETING = ["cls", "step", "need", "block", "pivot"]
+
+
+def _first_meeting(sent: DataFrame, classes: int) -> DataFrame:
+    """The same for all rows, most of which meet no other: one shuffle, and a window per block.
+
+    Blocks that are hot in a sample of the documents take the other way, so no window holds a
+    large share of all documents. Which way a block takes does not change the result.
+    """
+    draw = F.shiftrightunsigned(F.xxhash64("cls", F.lit("sample")), 33) / F.lit(2.0**31)
+    hot = (
+        sent.where(draw < F.lit(SAMPLE_DOCS / max(1, classes)))
+        .groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
+        .select("block")
+    )
+    hot = stored(hot, "hot")  # at most a tenth of the sampled rows
+    here = Window.partitionBy("block")
+    cold = (
+        sent.join(F.broadcast(hot), "block", "left_anti")
+        .withColumn("pivot", F.min("cls").over(here))
+        .withColumn("last", F.max("cls").over(here))
+        .where("pivot < last")
+        .select(*_MEETING)
+    )
+    if hot.isEmpty():
+        return cold
+    return cold.union(_meeting(sent.join(F.broadcast(hot), "block", "left_semi")))
+
+
 def linked_components(
     docs: DataFrame,
     n: int = 5,
@@ -321,7 +395,8 @@ def linked_components(
     rows = stored(
         source.mapInArrow(
             _summaries(n, similarity),
-            "doc_id long, n_shingles long, hi long, lo long, blocks array<long>",
+            "doc_id long, n_shingles long, hi long, lo long, "
+            "own array<long>, own_need long, next array<long>, next_need long",
         ),
         "sets",
     )
@@ -331,21 +406,29 @@ def linked_components(
         .groupBy(*keys)
         .agg(F.min("doc_id").alias("cls"))
     )
+    parts = [
+        F.struct(F.lit(i).alias("step"), F.col(f"{c}_need").alias("need"), F.col(c).alias("blocks"))
+        for i, c in enumerate(("own", "next"))
+    ]
     sent = (
-        rows.where("size(blocks) > 0")
+        rows.where("size(own) + size(next) > 0")
         .join(splittable(classes, keys), keys)
         .where("doc_id = cls")
-        .select("cls", F.explode("blocks").alias("block"))
-    )
-    met = (
-        sent.groupBy("block")
-        .agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
-        .where("pivot < last")
-        .select("block", "pivot")
+        .select("cls", F.explode(F.array(*parts)).alias("part"))
+        .select("cls", "part.step", "part.need", F.explode("part.blocks").alias("block"))
     )
+    meeting = stored(_first_meeting(sent, classes.count()), "meeting")
+    for _ in range(2):  # rows that meet too rarely for any link go, then those left alone
+        enough = (
+            meeting.groupBy("cls", "step")
+            .agg(F.count("*").alias("n"), F.max("need").alias("least")).where("n >= least")
+            .select("cls", "step")
+        )
+        keys_of = ["cls", "step"]
+        meeting = meeting.join(splittable(enough, keys_of), keys_of, "left_semi")
+        meeting = stored(_meeting(meeting.drop("pivot")), "meeting")
     families = components(
-        sent.join(splittable(met, ["block"]), "block")
-        .where("cls <> pivot")
+        meeting.where("cls <> pivot")
         .select(F.col("cls").alias("u"), F.col("pivot").alias("v"))
     )
     families = stored(families, "families")
