@@ -156,8 +156,11 @@ def contamination(
         candidates.append(_meeting(own, kept, "_kept", broadcast_rows))
     if lengths and lengths[0] < window:
         anchor = F.array_max(
-            F.transform(item_words(F.col("text")), lambda w: F.struct(F.length(w), w))
-        )["col2"]
+            F.transform(
+                item_words(F.col("text")),
+                lambda w: F.struct(F.length(w).alias("size"), w.alias("word")),
+            )
+        )["word"]
         anchors = items.where(F.col("len") < window).select(
             F.xxhash64(anchor).alias("key")
         ).distinct()

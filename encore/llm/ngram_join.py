@@ -8,7 +8,8 @@ when their overlap is at least ``similarity`` percent of their union, which is t
 So linked rows differ in at most H = (100 - similarity) * (size + size') / (100 + similarity)
 columns. The product is not formed for all pairs of rows:
 
-1. Rows with equal sets become one class; only classes go on.
+1. Rows with equal sets become one class; only classes go on. (A bitmap of class ids filters them;
+   a copy that slips through is one more node of its class.)
 2. The columns are cut by their hash into more than H blocks, how many follows from the sizes of
    the two rows alone. At least one block then has to be equal in both rows; pairs without one
    are discarded unseen. A row sends one hash per block, nothing else. More blocks than H + 1
@@ -30,7 +31,7 @@ execution; the family it makes is cut into chunks.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -197,43 +198,65 @@ def _encoded(column: pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8").lower() for t in column.to_pylist()]
 
 
-def _summaries(n: int, similarity: int):
+def _summaries(n: int):
+    """Per row the size of its set and a 128-bit digest of it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = _bins(similarity)
         for batch in batches:
-            ids = batch.column(0)
             texts = _encoded(batch.column(1))
             for a, b in slices(texts):
                 values, starts = _sets(texts[a:b], n)
-                sizes = np.diff(starts)
                 totals = np.zeros((2, len(values) + 1), dtype=U)
                 np.cumsum(mix(values, 11), out=totals[0, 1:])
                 np.cumsum(mix(values, 1 << 40), out=totals[1, 1:])
                 digest = (totals[:, starts[1:]] - totals[:, starts[:-1]]).view(np.int64)
-                arrays = [ids.slice(a, b - a), *map(pa.array, (sizes, digest[0], digest[1]))]
-                for blocks, need in _signatures(values, starts, similarity, bins):
-                    offsets = np.concatenate(([0], np.cumsum([len(x) for x in blocks])))
-                    flat = pa.array(np.concatenate(blocks).view(np.int64))
-                    arrays.append(
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
-                    )
-                    arrays.append(pa.array(need))
                 yield pa.RecordBatch.from_arrays(
-                    arrays,
-                    ["doc_id", "n_shingles", "hi", "lo", "own", "own_need", "next", "next_need"],
+                    [
+                        batch.column(0).slice(a, b - a),
+                        *map(pa.array, (np.diff(starts), digest[0], digest[1])),
+                    ],
+                    ["doc_id", "n_shingles", "hi", "lo"],
                 )
 
     return run
 
 
+def _chosen(batch: pa.RecordBatch, bitmap: np.ndarray) -> pa.RecordBatch:
+    """The rows whose slot (third column) is in the bitmap."""
+    slot = batch.column(2).to_numpy()
+    return batch.take(pa.array(np.flatnonzero((bitmap[slot >> 3] >> (slot & 7)) & 1)))
+
+
+def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray):
+    """The block hashes of the chosen rows, one a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = _bins(similarity)
+        for batch in batches:
+            batch = _chosen(batch, bitmap)
+            ids, texts = batch.column(0).to_numpy(), _encoded(batch.column(1))
+            for a, b in slices(texts):
+                values, starts = _sets(texts[a:b], n)
+                steps = _signatures(values, starts, similarity, bins)
+                for step, (blocks, need) in enumerate(steps):
+                    counts = np.array([len(x) for x in blocks])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat(ids[a:b], counts)),
+                            pa.array(np.full(counts.sum(), step, dtype=np.int8)),
+                            pa.array(np.repeat(need, counts)),
+                            pa.array(np.concatenate(blocks).view(np.int64)),
+                        ],
+                        ["cls", "step", "need", "block"],
+                    )
+
+    return run
+
+
 def _set_bytes(n: int, bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column(2).to_numpy()
-            chosen = np.flatnonzero((bitmap[slot >> 3] >> (slot & 7)) & 1)
-            if not len(chosen):
-                continue
-            batch = batch.take(pa.array(chosen))
+            batch = _chosen(batch, bitmap)
             texts = _encoded(batch.column(1))
             for a, b in slices(texts):
                 values, starts = _sets(texts[a:b], n)
@@ -308,9 +331,12 @@ def _product(similarity: int):
     return run
 
 
-def _bitmap(ids: DataFrame, count: int) -> tuple[int, np.ndarray]:
-    """Which hash slots the ids fall into: a prefilter of bounded size (at most 16 MB)."""
-    bits = 1 << min(27, max(18, math.ceil(math.log2(16 * count + 1))))
+def _marked(source: DataFrame, ids: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """``source`` with the hash slot of its id, and a bitmap of the slots of ``ids(id)``.
+
+    A prefilter of bounded size (at most 16 MB): it may let other rows through.
+    """
+    bits = 1 << min(27, max(18, math.ceil(math.log2(16 * ids.count() + 1))))
     parts = (
         ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("slot"))
         .select(
@@ -320,10 +346,13 @@ def _bitmap(ids: DataFrame, count: int) -> tuple[int, np.ndarray]:
         .agg(F.bitmap_construct_agg("bit").alias("map"))
         .collect()
     )
-    out = np.zeros(bits // 8, dtype=np.uint8)
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
     for part in parts:
-        out[part.bucket * 4096 : (part.bucket + 1) * 4096] = np.frombuffer(part.map, np.uint8)
-    return bits, out
+        bitmap[part.bucket * 4096 : (part.bucket + 1) * 4096] = np.frombuffer(part.map, np.uint8)
+    marked = source.where("doc_id is not null").select(
+        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")
+    )
+    return marked, bitmap
 
 
 def _meeting(sent: DataFrame) -> DataFrame:
@@ -343,18 +372,22 @@ def _meeting(sent: DataFrame) -> DataFrame:
 _MEETING = ["cls", "step", "need", "block", "pivot"]
 
 
-def _first_meeting(sent: DataFrame, classes: int) -> DataFrame:
+def _first_meeting(
+    marked: DataFrame, classes: int, send: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """The same for all rows, most of which meet no other: one shuffle, and a window per block.
 
     Blocks that are hot in a sample of the documents take the other way, so no window holds a
-    large share of all documents. Which way a block takes does not change the result.
+    large share of all documents. Which way a block takes does not change the result. Blocks are
+    made again for each use instead of being stored.
     """
-    draw = F.shiftrightunsigned(F.xxhash64("cls", F.lit("sample")), 33) / F.lit(2.0**31)
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("sample")), 33) / F.lit(2.0**31)
     hot = (
-        sent.where(draw < F.lit(SAMPLE_DOCS / max(1, classes)))
+        send(marked.where(draw < F.lit(SAMPLE_DOCS / max(1, classes))))
         .groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
         .select("block")
     )
+    sent = send(marked)
     hot = stored(hot, "hot")  # at most a tenth of the sampled rows
     here = Window.partitionBy("block")
     cold = (
@@ -393,31 +426,26 @@ def linked_components(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
     rows = stored(
-        source.mapInArrow(
-            _summaries(n, similarity),
-            "doc_id long, n_shingles long, hi long, lo long, "
-            "own array<long>, own_need long, next array<long>, next_need long",
-        ),
-        "sets",
+        source.mapInArrow(_summaries(n), "doc_id long, n_shingles long, hi long, lo long"), "sets"
     )
     keys = ["n_shingles", "hi", "lo"]
-    classes = (
+    classes = stored(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy(*keys)
-        .agg(F.min("doc_id").alias("cls"))
+        .agg(F.min("doc_id").alias("cls")),
+        "classes",
     )
-    parts = [
-        F.struct(F.lit(i).alias("step"), F.col(f"{c}_need").alias("need"), F.col(c).alias("blocks"))
-        for i, c in enumerate(("own", "next"))
-    ]
-    sent = (
-        rows.where("size(own) + size(next) > 0")
-        .join(splittable(classes, keys), keys)
-        .where("doc_id = cls")
-        .select("cls", F.explode(F.array(*parts)).alias("part"))
-        .select("cls", "part.step", "part.need", F.explode("part.blocks").alias("block"))
+    marked, bitmap = _marked(source, classes.select(F.col("cls").alias("id")))
+    meeting = stored(
+        _first_meeting(
+            marked,
+            classes.count(),
+            lambda some: some.mapInArrow(
+                _blocks_sent(n, similarity, bitmap), "cls long, step tinyint, need long, block long"
+            ),
+        ),
+        "meeting",
     )
-    meeting = stored(_first_meeting(sent, classes.count()), "meeting")
     for _ in range(2):  # rows that meet too rarely for any link go, then those left alone
         enough = (
             meeting.groupBy("cls", "step")
@@ -450,10 +478,8 @@ def linked_components(
         ),
         "members",
     )
-    bits, bitmap = _bitmap(members, members.count())
-    grams = source.where("doc_id is not null").select(
-        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")
-    ).mapInArrow(_set_bytes(n, bitmap), "doc_id long, grams binary")
+    marked, bitmap = _marked(source, members)
+    grams = marked.mapInArrow(_set_bytes(n, bitmap), "doc_id long, grams binary")
     grams = grams.dropDuplicates(["doc_id", "grams"]).where("length(grams) > 0")
     tasks = (
         members.join(grams, members.id == grams.doc_id)
