@@ -57,8 +57,31 @@ def pr_curve(thresholds: DataFrame) -> DataFrame:
     return points.unionByName(end)
 
 
-def roc_curve(thresholds: DataFrame) -> DataFrame:
-    """False and true positive rates per threshold; the start (0, 0) has no threshold."""
+def _corners(thresholds: DataFrame) -> DataFrame:
+    """Thresholds where the direction of the ROC curve changes, and both ends.
+
+    The next threshold's counts are found by a join: its totals without its own counts are the
+    totals here.
+    """
+    following = thresholds.select(
+        (F.col("tp") - F.col("pos")).alias("_tp"), (F.col("fp") - F.col("neg")).alias("_fp"),
+        F.col("pos").alias("_pos"), F.col("neg").alias("_neg"),
+    )
+    joined = thresholds.join(
+        following, (F.col("tp") == F.col("_tp")) & (F.col("fp") == F.col("_fp")), "left"
+    )
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    bend = (F.col("_pos") != F.col("pos")) | (F.col("_neg") != F.col("neg"))
+    return joined.where(first | F.col("_pos").isNull() | bend).select(*thresholds.columns)
+
+
+def roc_curve(thresholds: DataFrame, drop_collinear: bool = True) -> DataFrame:
+    """False and true positive rates per threshold; the start (0, 0) has no threshold.
+
+    Points in the middle of a run of equal steps are left out, unless all are asked for.
+    """
+    if drop_collinear:
+        thresholds = _corners(thresholds)
     points = thresholds.select(
         "threshold",
         _rate(F.col("fp"), F.col("n")).alias("fpr"),

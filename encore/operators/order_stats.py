@@ -1,143 +1,230 @@
 """Exact order statistics and running totals that never sort a whole column in one task.
 
-Spark's ``percentile`` merges a map of all distinct values in a single task, and a window
-without a partition key puts all rows there. Both are avoided the same way: values are first
-counted (map-side combine), then placed into bins that keep their order. There are few bins,
-whatever the row count, because a bin spans a fixed relative width; so bin totals are small and
-can be accumulated, and only the rows of one narrow bin are ever sorted together.
+Ranks are found by counting, level by level. The rows between the smallest and the largest value
+are counted in bins of equal width straight from the table, so the counts are combined before the
+shuffle and no value travels. Bins that hold a wanted rank are kept; the next level cuts each of
+them between its own smallest and largest value. It ends when those are equal. Edges come from
+the data at every level, so values that lie close together cost a level more, never a full bin.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-# Bits per unit of log1p(|value|): a coarse bin spans about 1/4096 of its value and a double
-# has at most some six million coarse bins; each coarse bin holds 4096 fine ones.
-COARSE_BITS = 12
-FINE_BITS = 24
+from encore.session import stored
 
+BINS = 1024
+#: Groups (labels, column names) whose statistics are found together.
+MAX_GROUPS = 10_000
 
-def order_bin(value: str, bits: int) -> str:
-    """SQL for a whole-number bin that never decreases as ``value`` grows.
 
-    It is never null, so joins on bins add no null filter and the plan keeps one exchange of
-    the counted values for all its levels.
-    """
-    scaled = f"floor(log1p(abs({value})) * {float(1 << bits)!r}D)"
-    return f"coalesce(case when {value} < 0 then -{scaled} - 1 else {scaled} end, 0)"
+@dataclass(frozen=True)
+class Found:
+    """A value at a rank: rows below it, rows equal to it, rows in all."""
 
+    value: float | int | Decimal | None
+    below: int
+    equal: int
+    n: int
 
-def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct value (``_v``, ``_n``); null and NaN are left out."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    counts = df.select(*by, v.alias("_v")).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    # Null and NaN are one group each. Filtering them after counting, by a condition that
-    # needs the count, keeps the optimizer from evaluating ``value`` twice per row.
-    return counts.where("case when _v is null or isnan(_v) then 0 else _n end > 0")
+
+def _typed(df: DataFrame, value: str | Column, by: Sequence[str]) -> tuple[DataFrame, T.DataType]:
+    v = F.col(value) if isinstance(value, str) else value
+    rows = df.select(*by, v.alias("_v"))
+    kind = rows.schema["_v"].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        rows = rows.withColumn("_v", F.col("_v").cast("double"))
+        return rows.where("_v is not null and not isnan(_v)"), T.DoubleType()
+    if isinstance(kind, T.IntegralType):
+        return rows.withColumn("_v", F.col("_v").cast("long")).where("_v is not null"), T.LongType()
+    if isinstance(kind, T.DecimalType):
+        return rows.where("_v is not null"), kind
+    raise TypeError(f"order statistics need numbers, not {kind.simpleString()}")
+
+
+def _bin(kind: T.DataType) -> Column:
+    """A bin between 0 and BINS - 1 that never decreases as the value grows."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    if isinstance(kind, T.DoubleType):  # halves, so that the width is finite
+        share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    else:  # exact differences; bigints may be further apart than a bigint
+        wide = "decimal(38,0)" if isinstance(kind, T.LongType) else kind
+        lo, hi, v = lo.cast(wide), hi.cast(wide), v.cast(wide)
+        share = (v - lo).cast("double") / (hi - lo).cast("double")
+    inside = F.least(F.lit(BINS - 2), F.greatest(F.lit(1), F.floor(share * BINS))).cast("int")
+    infinite = F.lit(False)
+    if isinstance(kind, T.DoubleType):
+        infinite = (F.abs("_lo") == float("inf")) | (F.abs("_hi") == float("inf"))
+    return (
+        F.when(F.col("_v") == F.col("_lo"), 0)
+        .when(F.col("_v") == F.col("_hi"), BINS - 1)
+        .when(infinite, 1)
+        .otherwise(inside)
+    )
 
 
 def order_statistics(
     df: DataFrame,
     value: str | Column,
-    ranks: Mapping[str, str],
+    ranks: Mapping[str, Callable[[int], int]],
     by: Sequence[str] = (),
-) -> DataFrame:
-    """Values at given ranks (1 = smallest), exactly, one row per group.
+) -> dict[tuple, dict[str, Found]]:
+    """Values at given ranks (1 = smallest), exactly: {group: {name: Found}}.
 
-    ``ranks`` maps an output name to SQL over ``n``, the group's row count. For every name the
-    result has the value there and ``<name>_below``, the number of rows with a smaller value.
-    A rank below 1 gives null. ``by`` must be non-null columns with few distinct values (a
-    label, a column name): bin totals are kept per group.
+    ``ranks`` maps a name to a function of the group's row count; a rank outside 1 to n has
+    value None. Null and NaN are left out; a group without values has no entry. Values keep
+    their type: bigint and decimal are compared exactly, other numbers as doubles. ``by`` must be
+    non-null columns with few distinct values (a label, a column name); more than MAX_GROUPS
+    raise. Runs a job per level: a scan of the columns used, with bins combined before the
+    shuffle.
     """
-    keys = "".join(f"{c}, " for c in by)
-    same = "".join(f" and l.{c} = r.{c}" for c in by)
-    partition = f"partition by {', '.join(by)}" if by else ""
-
-    def hits(before: str, after: str) -> str:
-        return " or ".join(f"(({r}) > {before} and ({r}) <= {after})" for r in ranks.values())
-
-    outputs = []
-    for name, r in ranks.items():
-        reached = f"({r}) >= 1 and _upto >= ({r})"
-        outputs.append(f"min(case when {reached} then _v end) as {name}")
-        outputs.append(f"min(case when {reached} then _upto - _n end) as {name}_below")
-
-    # Each level keeps the bins that hold a wanted rank: at most len(ranks) per group, which
-    # bounds the broadcast sides. The last level orders the distinct values of one fine bin.
-    return df.sparkSession.sql(
-        f"""
-with binned as (
-  select *, {order_bin("_v", COARSE_BITS)} as _coarse, {order_bin("_v", FINE_BITS)} as _fine
-  from {{counts}}),
-coarse_totals as (
-  select {keys} _coarse, sum(_n) as _m from binned group by {keys} _coarse),
-coarse_running as (
-  select *, sum(_m) over ({partition} order by _coarse) as _after, sum(_m) over ({partition}) as n
-  from coarse_totals),
-coarse as (
-  select {keys} _coarse, n, _after - _m as _start from coarse_running
-  where {hits("(_after - _m)", "_after")}),
-kept as (
-  select /*+ broadcast(r) */ l.*, r.n, r._start
-  from binned l join coarse r on l._coarse = r._coarse{same}),
-fine_totals as (
-  select {keys} _coarse, _fine, _start, n, sum(_n) as _m
-  from kept group by {keys} _coarse, _fine, _start, n),
-fine_running as (
-  select *, _start + sum(_m) over (partition by {keys} _coarse order by _fine) as _after
-  from fine_totals),
-fine as (
-  select {keys} _fine, _after - _m as _from from fine_running
-  where {hits("(_after - _m)", "_after")}),
-placed as (
-  select /*+ broadcast(r) */ l.*,
-    r._from + sum(l._n) over (partition by {"".join(f"l.{c}, " for c in by)} l._fine order by l._v) as _upto
-  from kept l join fine r on l._fine = r._fine{same})
-select {keys} max(n) as n, {", ".join(outputs)} from placed
-{"group by " + ", ".join(by) if by else ""}""",
-        counts=value_frequencies(df, value, by),
+    spark = df.sparkSession
+    rows, kind = _typed(df, value, by)
+    whole = (
+        rows.groupBy(*by)
+        .agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        .where("n > 0").limit(MAX_GROUPS + 1).collect()
     )
+    if len(whole) > MAX_GROUPS:
+        raise ValueError(f"order statistics in more than {MAX_GROUPS} groups")
+    result: dict[tuple, dict[str, Found]] = {}
+    sizes: dict[tuple, int] = {}
+    open_bins: list[tuple] = []  # group, lo, hi, rows before, rows inside, {rank: names}
+    for row in whole:
+        group = tuple(row[c] for c in by)
+        sizes[group] = row.n
+        wanted: dict[int, list[str]] = {}
+        result[group] = {}
+        for name, rank in ranks.items():
+            k = int(rank(row.n))
+            if 1 <= k <= row.n:
+                wanted.setdefault(k, []).append(name)
+            else:
+                result[group][name] = Found(None, 0, 0, row.n)
+        if wanted:
+            open_bins.append((group, row.lo, row.hi, 0, row.n, wanted))
+    fields = [T.StructField(c, rows.schema[c].dataType) for c in by]
+    fields += [T.StructField("_id", T.IntegerType()), T.StructField("_lo", kind),
+               T.StructField("_hi", kind), T.StructField("_ranks", T.ArrayType(T.LongType()))]
+    while open_bins:
+        still = []
+        for group, lo, hi, before, inside, wanted in open_bins:
+            if lo == hi:
+                for names in wanted.values():
+                    for name in names:
+                        result[group][name] = Found(lo, before, inside, sizes[group])
+            else:
+                still.append((group, lo, hi, before, inside, wanted))
+        open_bins = []
+        if not still:
+            break
+        bounds = spark.createDataFrame(
+            [(*g, i, lo, hi, [k - before for k in wanted])
+             for i, (g, lo, hi, before, _, wanted) in enumerate(still)],
+            T.StructType(fields),
+        )  # at most one row per group and rank
+        if by:
+            placed = rows.join(F.broadcast(bounds), list(by)).where("_v between _lo and _hi")
+            counted = placed.groupBy("_id", "_ranks", _bin(kind).alias("_bin"))
+        else:
+            cases = F.lit(None).cast("int")
+            low, high = F.lit(None).cast(kind), F.lit(None).cast(kind)
+            for i, (_, lo, hi, *_) in enumerate(still):  # disjoint, at most one per rank
+                here = F.col("_v").between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+                cases = F.when(here, i).otherwise(cases)
+                low = F.when(here, F.lit(lo).cast(kind)).otherwise(low)
+                high = F.when(here, F.lit(hi).cast(kind)).otherwise(high)
+            placed = rows.select("_v", cases.alias("_id"), low.alias("_lo"), high.alias("_hi"))
+            placed = placed.where("_id is not null")
+            counted = placed.groupBy("_id", _bin(kind).alias("_bin"))
+        counted = counted.agg(
+            F.count("*").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+        )
+        if not by:
+            counted = counted.join(F.broadcast(bounds.select("_id", "_ranks")), "_id")
+        running = Window.partitionBy("_id").orderBy("_bin")  # at most BINS rows each
+        hit = counted.withColumn("_upto", F.sum("_n").over(running)).where(
+            F.exists(
+                "_ranks", lambda k: (k <= F.col("_upto")) & (k > F.col("_upto") - F.col("_n"))
+            )
+        )
+        for row in hit.collect():
+            group, _, _, before, _, wanted = still[row["_id"]]
+            start = before + row["_upto"] - row["_n"]
+            here = {k: v for k, v in wanted.items() if start < k <= before + row["_upto"]}
+            open_bins.append((group, row["_from"], row["_to"], start, row["_n"], here))
+    return result
 
 
-def quantiles(
+def _interpolated(found: dict[str, Found], name: str, p: float) -> float | None:
+    lo, hi = found[f"{name}_lo"], found[f"{name}_hi"]
+    if lo.value is None:
+        return None
+    position = p * (lo.n - 1)
+    a, b = float(lo.value), float(hi.value)
+    return a + (b - a) * (position - int(position))
+
+
+def quantile_table(
     df: DataFrame,
     value: str | Column,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-) -> DataFrame:
-    """Exact quantiles with linear interpolation; one row (per group), one column per name."""
-    ranks = {}
-    outputs = []
+) -> dict[tuple, dict[str, float | None]]:
+    """Exact quantiles with linear interpolation: {group: {name: number}}."""
+    ranks: dict[str, Callable[[int], int]] = {}
     for name, p in probabilities.items():
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"a quantile lies between 0 and 1, not {p}")
-        position = f"({float(p)!r}D * (n - 1))"
-        ranks[f"{name}_lo"] = f"floor({position}) + 1"
-        ranks[f"{name}_hi"] = f"ceil({position}) + 1"
-        outputs.append(
-            f"{name}_lo + ({name}_hi - {name}_lo) * ({position} - floor({position})) as {name}"
-        )
-    return order_statistics(df, value, ranks, by).selectExpr(*by, *outputs)
+        ranks[f"{name}_lo"] = lambda n, p=p: int(p * (n - 1)) + 1
+        ranks[f"{name}_hi"] = lambda n, p=p: -int(-(p * (n - 1)) // 1) + 1
+    return {
+        group: {name: _interpolated(found, name, p) for name, p in probabilities.items()}
+        for group, found in order_statistics(df, value, ranks, by).items()
+    }
+
+
+def quantiles(
+    df: DataFrame,
+    value: str | Column,
+    probabilities: Mapping[str, float],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Exact quantiles as a table: one row (per group), one column per name.
+
+    Without values there is one row of nulls, or none if there are groups.
+    """
+    found = quantile_table(df, value, probabilities, by)
+    if not by and not found:
+        found = {(): dict.fromkeys(probabilities)}
+    kinds = [T.StructField(c, df.schema[c].dataType) for c in by]
+    kinds += [T.StructField(name, T.DoubleType()) for name in probabilities]
+    rows = [(*group, *numbers.values()) for group, numbers in found.items()]
+    return df.sparkSession.createDataFrame(rows, T.StructType(kinds))
 
 
 def quantile(df: DataFrame, value: str | Column, p: float) -> float | None:
-    """One exact quantile as a number (runs a job, like ``approxQuantile``); None if empty.
+    """One exact quantile as a number (runs jobs, like ``approxQuantile``); None if empty.
 
     Jobs use such bounds as literals: the statistic is computed once, and plans that use it
     in several places stay small.
     """
-    return quantiles(df, value, {"q": p}).first()["q"]
+    return quantile_table(df, value, {"q": p}).get((), {}).get("q")
 
 
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]
 ) -> dict[str, dict[str, float]]:
-    """Exact quantiles of several columns in one job: {column: {name: number}}."""
-    found = quantiles(long_format(df, columns), "value", probabilities, by=["column"]).collect()
-    return {row["column"]: {name: row[name] for name in probabilities} for row in found}
+    """Exact quantiles of several columns together: {column: {name: number}}."""
+    found = quantile_table(long_format(df, columns), "value", probabilities, by=["column"])
+    return {group[0]: numbers for group, numbers in found.items()}
 
 
 def long_format(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -146,39 +233,39 @@ def long_format(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "column", "value")
 
 
+def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct value (``_v``, ``_n``); null and NaN are left out."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    counts = df.select(*by, v.alias("_v")).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Null and NaN are one group each. Filtering them after counting, by a condition that
+    # needs the count, keeps the optimizer from evaluating ``value`` twice per row.
+    return counts.where("case when _v is null or isnan(_v) then 0 else _n end > 0")
+
+
 def running_totals(
     df: DataFrame, value: str, measures: Sequence[str], descending: bool = False
 ) -> DataFrame:
     """Add ``<measure>_to``: the total over all rows up to this one, in order of ``value``.
 
-    ``df`` must hold each value once (group first). The totals of the rows before a row are
-    the totals of earlier coarse bins, plus of earlier fine bins in its coarse bin, plus of
-    earlier values in its fine bin; each part is a window over a small group.
+    ``df`` must hold each value once (group first), so that no range of values is hot. It is
+    sorted into ranges by a shuffle and written to the shared folder with the number of its
+    range. A row's total is that of the earlier ranges, of which there are as many as shuffle
+    partitions, plus the running total inside its range.
     """
-    sign = "-" if descending else ""
-
-    def each(pattern: str) -> str:
-        return ", ".join(pattern.format(m=m) for m in measures)
-
-    return df.sparkSession.sql(
-        f"""
-with binned as (
-  select *, {order_bin("_k", COARSE_BITS)} as _coarse, {order_bin("_k", FINE_BITS)} as _fine
-  from (select *, cast({sign}{value} as double) as _k from {{rows}})),
-fine_totals as (
-  select _coarse, _fine, {each("sum({m}) as {m}")} from binned group by _coarse, _fine),
-coarse_totals as (
-  select _coarse, {each("sum({m}) as {m}")} from fine_totals group by _coarse),
-coarse as (
-  select _coarse, {each("sum({m}) over (order by _coarse) - {m} as {m}")} from coarse_totals),
-fine as (
-  select _coarse, _fine,
-    {each("sum({m}) over (partition by _coarse order by _fine) - {m} as {m}")} from fine_totals),
-offsets as (
-  select f._fine, {each("f.{m} + c.{m} as {m}_o")} from fine f join coarse c using (_coarse)),
-inside as (
-  select *, {each("sum({m}) over (partition by _fine order by _k) as {m}_i")} from binned)
-select {", ".join(f"i.{c}" for c in df.columns)}, {each("i.{m}_i + o.{m}_o as {m}_to")}
-from inside i join offsets o on i._fine = o._fine""",
-        rows=df,
+    key = F.col(value).cast("double")
+    placed = stored(
+        df.withColumn("_key", -key if descending else key)
+        .repartitionByRange("_key")
+        .withColumn("_range", F.spark_partition_id()),
+        "totals",
+    )
+    totals = placed.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures])
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(  # a row per shuffle partition
+        "_range", *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"{m}_o") for m in measures]
+    )
+    inside = Window.partitionBy("_range").orderBy("_key")
+    sums = {f"{m}_i": F.sum(m).over(inside) for m in measures}
+    return placed.withColumns(sums).join(F.broadcast(offsets), "_range").select(
+        *df.columns, *[(F.col(f"{m}_i") + F.col(f"{m}_o")).alias(f"{m}_to") for m in measures]
     )

@@ -106,26 +106,39 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width counts between minimum and maximum; the maximum is in the last bin.
+    """Equal-width counts between minimum and maximum: (bin, lower, upper, n, density).
 
-    If all values are equal the range reaches half a unit to both sides. Empty bins are left
-    out.
+    There are always ``bins`` rows. The maximum is in the last bin. If all values are equal the
+    range reaches half a unit to both sides; without values it goes from 0 to 1. ``density`` is
+    the share of the values per unit, so the areas of all bins sum to 1 (null without values).
     """
     ends = df.agg(
-        F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")
+        F.min(column).cast("double").alias("lo"),
+        F.max(column).cast("double").alias("hi"),
+        F.count(column).alias("n"),
     ).first()
-    lo, hi = ends["lo"], ends["hi"]
+    lo, hi, rows = ends["lo"], ends["hi"], ends["n"]
     if lo is None:
-        lo, hi = 0.0, 1.0  # no values: no bins
+        lo, hi = 0.0, 1.0
     elif lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
     share = (F.col(column) - F.lit(lo)) / F.lit(hi - lo)
     place = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    return (
+    counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    n = F.coalesce("n", F.lit(0))
+    return every.join(counted, "bin", "left").select(
+        "bin",
+        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
+        n.alias("n"),
+        (n / F.lit(float(rows * width) or None)).alias("density"),
+    )
 
 
 def duration_summary(df: DataFrame, start: str, end: str) -> DataFrame:

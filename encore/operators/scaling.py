@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from encore.session import stored
+
 
 def standard_scale(
     df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None
@@ -30,10 +32,22 @@ def standard_scale(
 def category_slots(df: DataFrame, column: str) -> DataFrame:
     """(value, slot): one slot per distinct value, in alphabetical order.
 
-    The result has one row per category, so the window without partition stays small.
+    Values are sorted into ranges by a shuffle and written with the number of their range; a
+    slot is the number of values in earlier ranges plus the place inside its own.
     """
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.withColumn("slot", F.row_number().over(Window.orderBy(column)) - 1)
+    placed = stored(
+        values.repartitionByRange(column).withColumn("_range", F.spark_partition_id()), "slots"
+    )
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(  # a row per shuffle partition
+        "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+    return placed.withColumn("_place", place).join(F.broadcast(sizes), "_range").select(
+        column, (F.col("_before") + F.col("_place") - 1).cast("int").alias("slot")
+    )
 
 
 def one_hot_long(df: DataFrame, key: str, column: str, fit_on: DataFrame) -> DataFrame:

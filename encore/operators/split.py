@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.operators.order_stats import order_statistics
-from encore.operators.ranking import hash_fraction
+from encore.operators.ranking import (
+    Cut,
+    content_hash,
+    draw_keys,
+    find_cuts,
+    inside_cut,
+    tied_with_cut,
+)
+
+#: Labels are classes: a column with more values than this is not one.
+MAX_LABELS = 100
 
 
 def content_key(df: DataFrame) -> Column:
@@ -15,12 +26,53 @@ def content_key(df: DataFrame) -> Column:
     return F.concat_ws("\x1f", *parts)
 
 
-def _per_label(label: str, values: dict) -> Column:
-    """The number that belongs to a row's label (null for a label without one)."""
-    return F.coalesce(
-        *[F.when(F.col(label) == F.lit(k), F.lit(v)) for k, v in values.items()],
-        F.lit(None).cast("double"),
-    )
+def _placed(
+    df: DataFrame, label: str | None, key: Column | str, seed: int,
+    ranks: Mapping[str, Callable[[int], int]], name: str,
+    number: Callable[[dict[str, Column]], Column],
+) -> DataFrame:
+    """Add ``name``, made of flags that tell whether a row in hash order is beyond each cut.
+
+    Rows equal in every column that a cut falls between are counted and dealt out by number.
+    """
+    keys = [*draw_keys(F.col(key) if isinstance(key, str) else key, seed), content_hash(df)]
+    groups = find_cuts(df, keys, ranks, [label] if label else [])
+    if len(groups) > MAX_LABELS:
+        raise ValueError(f"{label!r} has more than {MAX_LABELS} values")
+
+    def of_group(group) -> Column:
+        return F.col(label) == F.lit(group[0]) if label else F.lit(True)
+
+    def beyond(x: str) -> Column:
+        flag = F.lit(None).cast("boolean")
+        for group, cuts in groups.items():
+            outside = ~inside_cut(keys, cuts[x]) if x in cuts else F.lit(True)
+            flag = F.when(of_group(group), outside).otherwise(flag)
+        return F.coalesce(flag, F.lit(True))
+
+    split_ties: list[tuple[Column, tuple, Cut]] = []
+    for group, cuts in groups.items():
+        seen = set()
+        for cut in cuts.values():
+            if not cut.whole and cut.keys not in seen:
+                seen.add(cut.keys)
+                split_ties.append((of_group(group) & tied_with_cut(keys, cut), group, cut))
+    out = df
+    for tied, _, _ in split_ties:
+        out = out.where(~F.coalesce(tied, F.lit(False)))
+    out = out.withColumn(name, number({x: beyond(x) for x in ranks}))
+    for tied, group, cut in split_ties:
+        one = df.where(tied).groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+        first = F.lit(cut.before + 1).cast("long")
+        one = one.withColumn(
+            "_place", F.explode(F.sequence(first, first + F.col("_copies") - 1))
+        )
+        flags = {
+            x: F.col("_place") > F.lit(groups[group][x].rank if x in groups[group] else 0)
+            for x in ranks
+        }
+        out = out.union(one.withColumn(name, number(flags)).select(*df.columns, name))
+    return out
 
 
 def stratified_split(
@@ -34,39 +86,27 @@ def stratified_split(
     """Add ``split`` ('train' or 'test'): per label, the ``round(n * share)`` rows with the
     lowest hash of their key go to test.
 
-    A job finds one hash value per label to cut at; rows are then placed by comparing with
-    it, so no label group is sorted in one task and the wide rows are never shuffled.
+    Jobs find one hash value per label to cut at; rows are then placed by comparing with
+    it, so no label group is sorted in one task and the wide rows are never shuffled. Equal
+    keys are told apart by the whole row, and equal rows are dealt out by number.
     """
     if label not in df.columns:
         raise ValueError(f"the table has no target column {label!r}")
     if df.isEmpty():
         raise ValueError("cannot split an empty table")
-    draw = hash_fraction(F.col(key) if isinstance(key, str) else key, seed)
-    ranks = {"cut": f"cast(round(n * {float(test_share)!r}D) as bigint)"}
-    if stratify:
-        cuts = order_statistics(df, draw, ranks, [label]).collect()  # one row per label
-        cut = _per_label(label, {r[label]: r["cut"] for r in cuts})
-    else:
-        cut = F.lit(order_statistics(df, draw, ranks).first()["cut"]).cast("double")
-    in_test = F.coalesce(draw <= cut, F.lit(False))
-    return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
+    ranks = {"test": lambda n: int(n * float(test_share) + 0.5)}
+    return _placed(
+        df, label if stratify else None, key, seed, ranks, "split",
+        lambda beyond: F.when(beyond["test"], F.lit("train")).otherwise(F.lit("test")),
+    )
 
 
 def assign_folds(
     df: DataFrame, label: str, key: Column | str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
     """Add ``fold`` (0..folds-1): per label, equal slices of the rows in hash order."""
-    draw = hash_fraction(F.col(key) if isinstance(key, str) else key, seed)
-    ranks = {f"e{i}": f"(n * {i}) div {folds}" for i in range(1, folds)}
-    edges = order_statistics(df, draw, ranks, [label]).collect()  # one row per label
-    fold = sum(
-        (
-            F.coalesce(
-                (draw > _per_label(label, {r[label]: r[name] for r in edges})).cast("int"),
-                F.lit(1),
-            )
-            for name in ranks
-        ),
-        F.lit(0),
+    ranks = {str(i): lambda n, i=i: n * i // folds for i in range(1, folds)}
+    return _placed(
+        df, label, key, seed, ranks, "fold",
+        lambda beyond: sum((f.cast("int") for f in beyond.values()), F.lit(0)).cast("int"),
     )
-    return df.withColumn("fold", fold.cast("int"))

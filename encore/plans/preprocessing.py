@@ -27,11 +27,15 @@ HELPERS = {KEY, LABEL, FEATURES, "split", "fold", "weight"}
 
 
 def keyed(inputs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Add a repeatable number per row (model tables have no id) and the label as a double."""
+    """Add a repeatable number per row (model tables have no id) and the label as a double.
+
+    The number is a hash of the row. Equal rows share it; where that matters (splits, top
+    shares), rows with equal numbers are told apart or dealt out by count.
+    """
     digest = F.md5(content_key(inputs))
     return inputs.withColumns(
         {
-            KEY: F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint"),
+            KEY: F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"),
             LABEL: F.col(settings.target).cast("double"),
         }
     )
@@ -44,7 +48,8 @@ def split_train_test(
     if settings.target not in inputs.columns:
         raise ValueError(f"the table has no target column {settings.target!r}")
     placed = stratified_split(
-        keyed(inputs, settings), LABEL, KEY, settings.test_share, settings.seed
+        keyed(inputs, settings), LABEL, KEY, settings.test_share, settings.seed,
+        settings.stratify,
     )
     return (
         placed.where(F.col("split") == "train").drop("split"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs rely on: UTC dates, ANSI errors, adaptive joins that split hot keys also when
 # that costs one more shuffle.
@@ -38,23 +38,33 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    own_scratch_folder(spark)
     return configure(spark)
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``).
+def own_scratch_folder(spark: SparkSession) -> None:
+    """For tests and checks on one machine: a folder of its own if the session has none."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="encore-"))
 
-    Only a local session without that setting gets a folder of this machine.
-    """
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="encore-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/encore/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: its lineage ends there."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_folder(spark: SparkSession) -> None:
     """Give iterative trainers a reliable checkpoint folder if the session has none."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -60,6 +60,60 @@ def test_quantiles_per_group_and_empty(spark):
         order_stats.quantile(df, "v", 99.9)
 
 
+def test_order_statistics_keep_types_and_split_narrow_ranges(spark):
+    near = [i * 1e-12 for i in range(20_000)]  # all close to zero
+    big = [2**60 + i for i in range(500)] + [-(2**63), 2**63 - 1]
+    ranks = {"a": lambda n: 1, "b": lambda n: n // 2, "c": lambda n: n, "d": lambda n: n + 1}
+    for data, kind in ((near, "double"), (big, "long")):
+        df = spark.createDataFrame([(v,) for v in data + data[:3]], f"v {kind}")
+        found = order_stats.order_statistics(df, "v", ranks)[()]
+        ordered = sorted(data + data[:3])
+        for name, rank in ranks.items():
+            k = rank(len(ordered))
+            if k > len(ordered):
+                assert found[name].value is None
+                continue
+            value = ordered[k - 1]
+            assert found[name].value == value
+            assert found[name].below == sum(v < value for v in ordered)
+            assert found[name].equal == ordered.count(value)
+    odd = spark.createDataFrame(
+        [(v,) for v in [float("inf"), float("-inf"), -0.0, 0.0, 1e308, -1e308, None]], "v double"
+    )
+    assert order_stats.order_statistics(odd, "v", {"m": lambda n: 3})[()]["m"].value == 0.0
+    with pytest.raises(TypeError):
+        order_stats.quantile(spark.createDataFrame([("x",)], "v string"), "v", 0.5)
+
+
+def test_no_bin_is_hot_on_narrow_ranges(spark, monkeypatch):
+    df = spark.createDataFrame([(1.7e15 + i * 5000.0,) for i in range(20_000)], "v double")
+    kind = order_stats._typed(df, "v", [])[1]
+    ends = df.selectExpr("min(v) as _lo", "max(v) as _hi")
+    binned = df.withColumnRenamed("v", "_v").crossJoin(ends)
+    largest = binned.groupBy(order_stats._bin(kind)).count().agg(F.max("count")).first()[0]
+    assert largest < 100
+
+
+def test_exact_sizes_with_repeated_and_large_keys(spark):
+    repeated = spark.createDataFrame([(i // 10, 0.5) for i in range(40)], "id long, s double")
+    assert ranking.top_share(repeated, "s", "id", 0.1).count() == 4
+    assert ranking.sample_rows(repeated, "id", 1, 1).count() == 1
+    large = spark.createDataFrame([(2**60 + i, 0.5) for i in range(40)], "id long, s double")
+    got = sorted(r.id for r in ranking.top_share(large, "s", "id", 0.1).collect())
+    assert got == [2**60 + i for i in range(4)]
+    same = spark.createDataFrame([("k", "x")] * 50 + [("k", "y")] * 10, "k string, label string")
+    sizes = dict(
+        tuple(r) for r in split.stratified_split(same, "label", "k").where("split = 'test'")
+        .groupBy("label").count().collect()
+    )
+    assert sizes == {"x": 10, "y": 2}
+    folds = split.assign_folds(same, "label", "k").groupBy("label", "fold").count().collect()
+    assert sorted(r["count"] for r in folds) == [2] * 5 + [10] * 5
+    with pytest.raises(ValueError):
+        many = spark.range(200).selectExpr("cast(id as string) as k", "cast(id as string) as label")
+        split.stratified_split(many, "label", "k")
+
+
 def test_running_totals_equal_cumulative_sums(spark):
     rng = random.Random(3)
     data = sorted({round(rng.gauss(0, 5), 3) for _ in range(500)} | {1e-9, 2e-9, -1e12, 1e12})
@@ -227,6 +281,7 @@ def test_histogram_equals_numpy(spark):
     data = [0.0, 0.1, 1.0, 2.5, 9.99, 10.0, 10.0]
     df = spark.createDataFrame([(v,) for v in data] + [(None,)], "v double")
     want, _ = np.histogram(data, bins=4)
+    assert profile.histogram(df, "v", 40).count() == 40
     got = {r.bin: r.n for r in profile.histogram(df, "v", 4).collect()}
     assert [got.get(i, 0) for i in range(4)] == want.tolist()
     same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
