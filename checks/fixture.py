@@ -17,10 +17,9 @@ from checks.twins import FIRST_YEAR, LAST_YEAR
 from checks.views import BASE_TABLES, FIXTURE, with_views
 from encore.plans import cleaning, features
 from encore.plans.settings import Settings
-from encore.session import configure, scratch_folder
+from encore.session import configure, own_scratch_folder, scratch_folder
 
-# The views have five categories, so fewer than ten of them count as popular here.
-SETTINGS = Settings(first_year=FIRST_YEAR, last_year=LAST_YEAR, weak_categories=2)
+SETTINGS = Settings(first_year=FIRST_YEAR, last_year=LAST_YEAR)
 
 # Tables already written for this application: (application, folder, name) -> path.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -29,6 +28,7 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
+        own_scratch_folder(spark)
         self.sf_dir = str(sf_dir).rstrip("/")
 
     def raw(self, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from encore.functions import sentiment, text, times
 from encore.functions.geo import haversine_km
 from encore.operators import aggregates, caps, filters, joins, order_stats, profile, ranking
 from encore.plans import cleaning, features
-from encore.session import scratch_folder
+from encore.session import scratch_folder, stored
 from encore.sources.catalog import Catalog, read_csv, write_csv
 from encore.sources.schemas import RAW
 
@@ -83,13 +83,20 @@ register(
 
 
 def _cached(f: Fixture) -> DataFrame:
+    """A result used twice is persisted, used, and freed."""
     from pyspark import StorageLevel
 
     items = f.clean_items.persist(StorageLevel.MEMORY_AND_DISK)
-    per_seller = items.groupBy("seller_id").agg(F.count(F.lit(1)).alias("n_items"))
-    return per_seller.join(
-        items.groupBy("seller_id").agg(F.max("price").alias("max_price")), "seller_id"
-    )
+    try:
+        if items.isEmpty():
+            raise ValueError("there are no items")
+        return stored(
+            items.groupBy("seller_id")
+            .agg(F.count(F.lit(1)).alias("n_items"), F.max("price").alias("max_price")),
+            "per_seller",
+        )
+    finally:
+        items.unpersist()
 
 
 register(
@@ -793,9 +800,13 @@ register(
             times.hours_apart(F.col("delivered"), F.col("estimated")).alias("hours")
         ), "hours", 30,
     ),
-    "select cast(least(floor((hours - lo) / (hi - lo) * 30), 29) as integer) as bin, count(*) as n "
-    f"from ({HOURS_SQL}), (select min(hours) as lo, max(hours) as hi from ({HOURS_SQL})) "
-    "where hours is not null group by 1",
+    f"with h as ({HOURS_SQL}), e as (select min(hours) as lo, max(hours) as hi, count(hours) as c "
+    "from h), c as (select cast(least(floor((hours - lo) / (hi - lo) * 30), 29) as integer) as bin, "
+    "count(*) as n from h, e where hours is not null group by 1) "
+    "select cast(b.bin as integer) as bin, lo + b.bin * ((hi - lo) / 30) as lower, "
+    "lo + (b.bin + 1) * ((hi - lo) / 30) as upper, coalesce(n, 0) as n, "
+    "coalesce(n, 0) / (e.c * ((hi - lo) / 30)) as density "
+    "from range(30) b(bin) cross join e left join c on b.bin = c.bin", "lower upper density",
 )
 register(
     "boxplot_stats",
@@ -848,7 +859,7 @@ register(
     "random_sample",
     lambda f: ranking.sample_rows(f.reviews, "review_id", 100, 42).select("review_id", "order_id"),
     "select review_id, order_id from fx_reviews "
-    "order by substr(md5(concat(cast(review_id as varchar), '|42')), 1, 13) limit 100",
+    "order by md5(concat(cast(review_id as varchar), '|42')) limit 100",
 )
 register(
     "head_n",
@@ -898,14 +909,14 @@ SCORED = (
 )
 register(
     "sentiment_scoring",
-    lambda f: features.review_sentiment(f.reviews, delay_is_negative).select(
+    lambda f: features.review_sentiment(f.reviews, lambda: delay_is_negative).select(
         "review_id", "order_id", "sentiment"
     ),
     f"select review_id, order_id, sentiment from ({SCORED})",
 )
 register(
     "review_features_sentiment",
-    lambda f: features.review_features(f.clean_reviews, True, delay_is_negative),
+    lambda f: features.review_features(f.clean_reviews, True, lambda: delay_is_negative),
     f"select order_id, review_score, sentiment, {VERIFIED} as is_verified from ({SCORED}) "
     "where sentiment <> 'No comment'",
 )

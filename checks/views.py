@@ -72,8 +72,8 @@ select o_orderkey as review_id, o_orderkey as order_id,
  where o_orderpriority = '1-URGENT'""",
     "fx_products": """
 select p_partkey as product_id,
- case when p_partkey % 17 = 0 then cast(null as varchar(20)) else p_type end
-   as product_category_name,
+ case when p_partkey % 17 = 0 then cast(null as varchar(20))
+   else concat(p_type, '_', cast(p_size % 4 as varchar(2))) end as product_category_name,
  case when p_partkey % 19 = 0 then cast(null as double) else cast(length(p_name) as double) end
    as product_name_lenght,
  cast(length(p_brand) * 10 as double) as product_description_lenght,
@@ -82,16 +82,16 @@ select p_partkey as product_id,
    as product_weight_g,
  cast(p_size as double) as product_length_cm, cast(p_size % 20 + 1 as double) as product_height_cm,
  cast(p_size % 30 + 1 as double) as product_width_cm from part""",
-    "fx_translation": """
-select * from (values ('MEDIUM','medium_en'),('STANDARD','standard_en'),('LARGE','large_en'),
- ('PROMO','promo_en'),('SMALL','small_en'))
- t(product_category_name, product_category_name_english)""",
-    # Labelled scores for the metric operators: many tied scores, both classes.
+    "fx_translation": "select * from (values " + ", ".join(
+        f"('{kind}_{k}', '{kind.lower()}_{k}_en')"
+        for kind in ["MEDIUM", "STANDARD", "LARGE", "PROMO", "SMALL"] for k in range(4)
+    ) + ") t(product_category_name, product_category_name_english)",
+    # Labelled scores for the metric operators: many distinct ones, some ties, both classes.
     "fx_scores": """
 select event_id as row_id,
  case when event_type = 'purchase' or (event_type = 'click' and value > 100) then 1 else 0 end
    as label,
- floor(least(value, 499.0e0)) / 500.0e0 as score,
+ case when event_id % 10 = 0 then floor(value) else value end / 1000.0e0 as score,
  case when value >= 120 then 1 else 0 end as prediction
  from events""",
 }

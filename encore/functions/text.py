@@ -21,6 +21,16 @@ SPELLED_OUT = {
     "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ı": "i",
 }
 
+# Signs that are spelled with ASCII ones.
+SYMBOLS = {
+    "\u00a0": " ", "¡": "!", "¢": "C/", "£": "PS", "¤": "$?", "¥": "Y=", "¦": "|", "§": "SS",
+    "¨": '"', "©": "(c)", "ª": "a", "«": "<<", "¬": "!", "®": "(r)", "¯": "-", "°": "deg",
+    "±": "+-", "²": "2", "³": "3", "´": "'", "µ": "u", "¶": "P", "·": "*", "¸": ",", "¹": "1",
+    "º": "o", "»": ">>", "¼": "1/4", "½": "1/2", "¾": "3/4", "¿": "?", "×": "x", "÷": "/",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "‘": "'", "’": "'", "‚": ",", "“": '"',
+    "”": '"', "„": ",,", "•": "*", "…": "...", "‹": "<", "›": ">", "€": "EUR", "™": "(tm)",
+}
+
 
 def _accent_table() -> tuple[str, str]:
     """Accented Latin letters and their plain letters, by Unicode decomposition."""
@@ -58,9 +68,14 @@ def zero_pad(text: Column, width: int) -> Column:
 
 
 def fold_accents(text: Column) -> Column:
-    """Replace accented Latin letters by plain ones. Other scripts pass unchanged."""
-    folded = F.translate(text, _ACCENTED, _PLAIN)
-    for letter, spelled in SPELLED_OUT.items():
+    """Replace accented Latin letters and typographic signs by ASCII. Other scripts pass
+    unchanged."""
+    single = {c: s for c, s in SYMBOLS.items() if len(s) == 1}
+    folded = F.translate(
+        text, _ACCENTED + "".join(single), _PLAIN + "".join(single.values())
+    )
+    longer = {c: s for c, s in SYMBOLS.items() if len(s) > 1}
+    for letter, spelled in (SPELLED_OUT | longer).items():
         folded = F.replace(folded, F.lit(letter), F.lit(spelled))
     return F.regexp_replace(folded, "[\u0300-\u036f]", "")
 

@@ -34,6 +34,7 @@ from encore.plans.cleaning import ITEM_ORDER
 from encore.plans.settings import DEFAULTS, Settings
 
 Predictor = Callable[[pd.Series], pd.Series]
+PredictorFactory = Callable[[], Predictor]
 
 
 def order_facts(
@@ -103,42 +104,50 @@ def transaction_features(
     )
 
 
-def score_texts(texts: DataFrame, column: str, predictor: Predictor) -> DataFrame:
-    """(text, label) per distinct text. The predictor sees Arrow batches on the executors."""
-    schema = f"`{column}` string, model_label string"
+def score_texts(
+    texts: DataFrame, column: str, key: str, predictor: PredictorFactory
+) -> DataFrame:
+    """(key, plain, label) of a table with one text per key.
+
+    The factory is called once per partition, on the executor, and returns a function from a
+    batch of texts to labels; what it loads is not sent with the tasks.
+    """
+    schema = f"`{key}` {texts.schema[key].dataType.simpleString()}, _plain string, model_label string"
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        predict = None
         for batch in batches:
-            yield pd.DataFrame(
-                {column: batch[column], "model_label": predictor(batch[column])}
-            )
+            predict = predict or predictor()
+            yield batch[[key, "_plain"]].assign(model_label=predict(batch[column]))
 
-    return texts.select(column).distinct().mapInPandas(score, schema)
+    return texts.select(key, column, plain_text(F.col(column)).alias("_plain")).mapInPandas(
+        score, schema
+    )
 
 
-def review_sentiment(reviews: DataFrame, predictor: Predictor) -> DataFrame:
+def review_sentiment(reviews: DataFrame, predictor: PredictorFactory) -> DataFrame:
     """Add ``sentiment``: model label of the comment, lifted by keywords; blank has its own.
 
-    Each distinct comment is scored once. Blank comments never reach the model or the join.
+    Each distinct comment is scored and looked through once, under a 256-bit digest, so texts
+    are shuffled once and joins carry digests. Blank comments reach neither model nor join.
     """
     comment = "review_comment_message"
     known = reviews.withColumn(comment, F.coalesce(F.col(comment), F.lit("")))
-    asked = known.where(~is_blank(F.col(comment)))
-    scored = score_texts(asked, comment, predictor)
-    lookup = F.when(~is_blank(F.col(comment)), F.col(comment))
-    labelled = known.withColumn("_asked", lookup).join(
-        scored.withColumnRenamed(comment, "_asked"), "_asked", "left"
-    )
+    blank = is_blank(F.col(comment))
+    asked = known.where(~blank).withColumn("_digest", F.sha2(comment, 256))
+    texts = asked.groupBy("_digest").agg(F.min(comment).alias(comment))
+    scored = score_texts(texts, comment, "_digest", predictor)
     override = keyword_override(F.col("_plain"), sentiment_name(F.col("model_label")))
-    return (
-        labelled.withColumn("_plain", plain_text(F.col(comment)))
-        .withColumn("sentiment", blank_label(F.col("_plain"), override))
-        .drop("_asked", "_plain", "model_label")
+    decided = scored.select("_digest", blank_label(F.col("_plain"), override).alias("sentiment"))
+    labelled = asked.join(splittable(decided, ["_digest"]), "_digest").drop("_digest")
+    silent = known.where(blank).withColumn(
+        "sentiment", blank_label(plain_text(F.col(comment)), F.lit(None).cast("string"))
     )
+    return labelled.unionByName(silent)
 
 
 def review_features(
-    reviews: DataFrame, run_sentiment: bool = False, predictor: Predictor | None = None
+    reviews: DataFrame, run_sentiment: bool = False, predictor: PredictorFactory | None = None
 ) -> DataFrame:
     """Review scores per order; with sentiment, also whether score and comment agree.
 
@@ -147,7 +156,7 @@ def review_features(
     if not run_sentiment:
         return reviews.drop("review_comment_message")
     if predictor is None:
-        raise ValueError("sentiment needs a predictor: texts in, POS/NEU/NEG out")
+        raise ValueError("sentiment needs a predictor factory: () -> (texts -> POS/NEU/NEG)")
     checked = review_sentiment(reviews, predictor).where(F.col("sentiment") != NO_COMMENT)
     return checked.withColumn(
         "is_verified", verified_rating(F.col("sentiment"), F.col("review_score"))

@@ -11,6 +11,7 @@ def _list(*values):
 
 @dataclass(frozen=True)
 class Settings:
+    # The lists of columns, statuses and payment types, as the raw tables have them.
     # Cleaning
     order_dates: list[str] = _list(
         "order_purchase_timestamp",
@@ -41,6 +42,7 @@ class Settings:
     run_sentiment: bool = False
     # Preprocessing
     test_share: float = 0.2
+    stratify: bool = True
     seed: int = 42
     target: str = "is_repeat_buyer"
     numeric: list[str] = _list(
@@ -57,10 +59,15 @@ class Settings:
     tree_depth: int = 10
     logistic_c: float = 1.0
     logistic_iterations: int = 500
-    boosting_rounds: int = 100
-    boosting_rate: float = 0.1
-    boosting_depth: int = 6
+    boosted_a_rounds: int = 100
+    boosted_a_rate: float = 0.1
+    boosted_a_depth: int = 6
+    boosted_b_rounds: int = 100
+    boosted_b_rate: float = 0.1
+    boosted_b_depth: int = 6
     positive_weight: float = 15.0
+    # Partitions of training rows. Fitted trees depend on it, so it is not taken from the cores.
+    train_partitions: int = 16
     skip: frozenset[str] = frozenset()
     # Tuning
     grid_c: list[float] = _list(0.01, 0.1, 1.0, 10.0)

@@ -1,13 +1,14 @@
 """Named slices of the whole job: plain functions over a dict of tables.
 
-With a catalog every result is written and read back, as later stages use it several times;
-without one the stages stay one lazy plan.
+With a catalog every result is written and read back, as later stages use it several times.
+Bounds such as caps and medians are found by jobs of their own while a stage is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from encore.operators.metrics import pr_curve, roc_curve
 from encore.plans import cleaning, features
 from encore.plans.preprocessing import Prepared, prepare
 from encore.plans.settings import DEFAULTS, Settings
@@ -45,7 +46,7 @@ def run_feature_engineering(
     clean: Tables,
     settings: Settings = DEFAULTS,
     catalog: Catalog | None = None,
-    predictor: features.Predictor | None = None,
+    predictor: features.PredictorFactory | None = None,
 ) -> Tables:
     """Clean tables to the model table."""
     t: Tables = dict(clean)
@@ -74,17 +75,20 @@ def run_feature_engineering(
 
 
 def _store_model(name: str, trained: Trained, catalog: Catalog | None) -> None:
-    """Write a model with its predictions and reports; a skipped one only says so."""
+    """Write a model with its predictions, curves and metrics. A skipped model has no file of
+    its own, empty tables, and metrics that say so."""
     if catalog is None:
         return
     catalog.save(metrics_frame(trained.predictions, trained), f"{name}_metrics")
-    if trained.model is None:
-        return
-    catalog.save_model(trained.model, name)
+    if trained.model is not None:
+        catalog.save_model(trained.model, name)
     catalog.save(trained.predictions, f"{name}_predictions_test")
     catalog.save(trained.top, f"{name}_top_10_predictions")
-    catalog.save(trained.thresholds, f"{name}_curves")
-    trained.predictions.unpersist()
+    none = trained.model is None
+    for kind, curve in (("pr_curve", pr_curve), ("roc_curve", roc_curve)):
+        points = curve(trained.thresholds)
+        catalog.save(points.limit(0) if none else points, f"{name}_{kind}")
+    trained.release()
 
 
 def run_preprocessing(
@@ -152,7 +156,7 @@ def run_all(
     raw: Tables,
     settings: Settings = DEFAULTS,
     catalog: Catalog | None = None,
-    predictor: features.Predictor | None = None,
+    predictor: features.PredictorFactory | None = None,
 ) -> tuple[Tables, dict[str, Trained]]:
     """Every stage in order: raw tables to models and reports."""
     tables = run_data_engineering(raw, settings, catalog)

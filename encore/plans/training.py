@@ -23,6 +23,7 @@ from encore.operators.metrics import (
     threshold_table,
 )
 from encore.operators.ranking import top_share
+from encore.operators.split import MAX_LABELS
 from encore.plans.preprocessing import FEATURES, KEY, LABEL
 from encore.plans.settings import DEFAULTS, Settings
 from encore.session import ensure_checkpoint_folder
@@ -41,6 +42,12 @@ class Trained:
     top: DataFrame
     thresholds: DataFrame | None = None
     importance: dict[str, float] = field(default_factory=dict)
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Free the scored rows; the frames can still be used and are computed again."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def class_weights(df: DataFrame, weighting: str | float | None) -> dict[float, float]:
@@ -48,12 +55,22 @@ def class_weights(df: DataFrame, weighting: str | float | None) -> dict[float, f
     if weighting is None:
         return {0.0: 1.0, 1.0: 1.0}
     if weighting == "balanced":
-        sizes = {r[LABEL]: r["count"] for r in df.groupBy(LABEL).count().collect()}
-        total = sum(sizes.values())
-        return {c: total / (len(sizes) * size) for c, size in sizes.items()}
+        return balanced(class_sizes(df))
     return {0.0: 1.0, 1.0: float(weighting)}
 
 
+def class_sizes(df: DataFrame) -> dict[float, int]:
+    found = df.groupBy(LABEL).count().limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"a label has at most {MAX_LABELS} values")
+    return {r[LABEL]: r["count"] for r in found}
+
+
+def balanced(sizes: dict[float, int]) -> dict[float, float]:
+    total = sum(sizes.values())
+    return {c: total / (len(sizes) * size) for c, size in sizes.items()}
+
+
 def with_weights(df: DataFrame, weights: dict[float, float]) -> DataFrame:
     weight = F.coalesce(
         *[F.when(F.col(LABEL) == c, F.lit(w)) for c, w in weights.items()], F.lit(1.0)
@@ -80,11 +97,10 @@ def random_forest(settings: Settings = DEFAULTS) -> RandomForestClassifier:
     )
 
 
-def boosted_trees(settings: Settings = DEFAULTS, **options) -> GBTClassifier:
+def boosted_trees(seed: int, rounds: int, rate: float, depth: int, **options) -> GBTClassifier:
     return GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=settings.boosting_rounds,
-        stepSize=settings.boosting_rate, maxDepth=settings.boosting_depth, seed=settings.seed,
-        **options,
+        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=rounds, stepSize=rate,
+        maxDepth=depth, seed=seed, **options,
     )
 
 
@@ -159,16 +175,13 @@ def importances(model, names: list[str]) -> dict[str, float]:
     return {name: float(value) for name, value in ranked}
 
 
-def spread(train: DataFrame) -> DataFrame:
-    """Use all cores for iterative fits of a table that sits in few files.
+def spread(train: DataFrame, partitions: int) -> DataFrame:
+    """Training rows in a fixed number of partitions, placed and ordered by their key.
 
-    Rows go by their key, so a repeated task produces the same parts. Tables with enough
-    partitions are left as they are.
+    Trees draw their samples per partition. With the same seed and number of partitions a model
+    does not depend on the files or cores that the rows come from.
     """
-    wanted = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() >= wanted:
-        return train
-    return train.repartition(wanted, KEY)
+    return train.repartition(partitions, KEY).sortWithinPartitions(KEY)
 
 
 def train_classifier(
@@ -180,6 +193,7 @@ def train_classifier(
     skip: bool = False,
     with_importance: bool = True,
     share: float = 0.1,
+    partitions: int = DEFAULTS.train_partitions,
 ) -> Trained:
     """Fit on train, score and evaluate on test.
 
@@ -187,10 +201,9 @@ def train_classifier(
     empty frames and says so in its metrics.
     """
     if skip:
-        nothing = test.limit(0)
-        return Trained(None, {"skipped": True}, nothing, nothing)
+        return skipped(test)
     ensure_checkpoint_folder(train.sparkSession)
-    rows = spread(train).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(train, partitions).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weighted = with_weights(rows, class_weights(rows, weighting))
         total = weighted.agg(F.sum(WEIGHT)).first()[0]
@@ -204,13 +217,27 @@ def train_classifier(
         PipelineModel(stages=[model]), evaluate(predictions, thresholds, top), predictions,
         top, thresholds,
         importances(model, names) if with_importance else {},
+        predictions,
     )
 
 
+def skipped(test: DataFrame) -> Trained:
+    """Empty tables with the columns of a trained model, and metrics that say so."""
+    kept = [c for c in test.columns if c not in (LABEL, WEIGHT)]
+    nothing = test.limit(0).select(
+        *kept, F.lit(0).alias("y_true"), F.lit(0).alias("y_pred"), F.lit(0.0).alias("y_proba")
+    )
+    counts = ("pos", "neg", "tp", "fp", "p", "n")
+    thresholds = nothing.select(
+        F.col("y_proba").alias("threshold"), *[F.lit(0).cast("long").alias(c) for c in counts]
+    )
+    return Trained(None, {"skipped": True}, nothing, nothing, thresholds)
+
+
 def train_random_forest(train, test, names, settings: Settings = DEFAULTS) -> Trained:
     return train_classifier(
         train, test, lambda _: random_forest(settings), names,
-        skip="random_forest" in settings.skip,
+        partitions=settings.train_partitions, skip="random_forest" in settings.skip,
     )
 
 
@@ -218,14 +245,19 @@ def train_logistic(train, test, names, settings: Settings = DEFAULTS) -> Trained
     return train_classifier(
         train, test,
         lambda total: logistic(settings.logistic_c, settings.logistic_iterations, total),
-        names, skip="logistic" in settings.skip,
+        names, partitions=settings.train_partitions, skip="logistic" in settings.skip,
     )
 
 
 def train_boosted_a(train, test, names, settings: Settings = DEFAULTS) -> Trained:
     """Boosted trees with at least 20 rows per leaf."""
     return train_classifier(
-        train, test, lambda _: boosted_trees(settings, minInstancesPerNode=20), names,
+        train, test,
+        lambda _: boosted_trees(
+            settings.seed, settings.boosted_a_rounds, settings.boosted_a_rate,
+            settings.boosted_a_depth, minInstancesPerNode=20,
+        ),
+        names, partitions=settings.train_partitions,
         weighting=settings.positive_weight, skip="boosted_a" in settings.skip,
     )
 
@@ -233,7 +265,12 @@ def train_boosted_a(train, test, names, settings: Settings = DEFAULTS) -> Traine
 def train_boosted_b(train, test, names, settings: Settings = DEFAULTS) -> Trained:
     """Boosted trees with fine split candidates."""
     return train_classifier(
-        train, test, lambda _: boosted_trees(settings, maxBins=256), names,
+        train, test,
+        lambda _: boosted_trees(
+            settings.seed, settings.boosted_b_rounds, settings.boosted_b_rate,
+            settings.boosted_b_depth, maxBins=256,
+        ),
+        names, partitions=settings.train_partitions,
         weighting=settings.positive_weight, skip="boosted_b" in settings.skip,
     )
 

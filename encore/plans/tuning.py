@@ -17,9 +17,9 @@ from encore.operators.split import assign_folds
 from encore.plans.preprocessing import FEATURES, KEY, LABEL
 from encore.plans.settings import DEFAULTS, Settings
 from encore.plans.training import (
-    WEIGHT,
     Trained,
-    class_weights,
+    balanced,
+    class_sizes,
     evaluate,
     importances,
     logistic,
@@ -36,10 +36,15 @@ class Candidate:
     weighting: str | None
 
 
-def _fit(part: DataFrame, candidate: Candidate) -> LogisticRegressionModel:
-    weighted = with_weights(part, class_weights(part, candidate.weighting))
-    total = weighted.agg(F.sum(WEIGHT)).first()[0]
-    return logistic(candidate.c, candidate.iterations, total).fit(weighted)
+def _fit(
+    part: DataFrame, candidate: Candidate, sizes: dict[float, int]
+) -> LogisticRegressionModel:
+    """Fit on rows of known class sizes, so that weights cost no job."""
+    weights = dict.fromkeys(sizes, 1.0)
+    if candidate.weighting == "balanced":
+        weights = balanced(sizes)
+    total = sum(weights[c] * size for c, size in sizes.items())
+    return logistic(candidate.c, candidate.iterations, total).fit(with_weights(part, weights))
 
 
 def average_precision(model, part: DataFrame) -> float:
@@ -48,7 +53,8 @@ def average_precision(model, part: DataFrame) -> float:
 
 
 def _fold_scores(
-    train: DataFrame, fold: int, c: float, weighting: str | None, limits: list[int]
+    train: DataFrame, fold: int, c: float, weighting: str | None, limits: list[int],
+    sizes: dict[float, int],
 ) -> dict[Candidate, float]:
     """Scores of one fold for all iteration limits.
 
@@ -62,7 +68,7 @@ def _fold_scores(
     for limit in sorted(limits):
         candidate = Candidate(c, limit, weighting)
         if converged is None:
-            model = _fit(fitted, candidate)
+            model = _fit(fitted, candidate, sizes)
             scores[candidate] = average_precision(model, held_out)
             if model.summary.totalIterations < limit:
                 converged = scores[candidate]
@@ -75,8 +81,15 @@ def grid_search(
     train: DataFrame, settings: Settings = DEFAULTS, parallelism: int = 4
 ) -> list[tuple[Candidate, float]]:
     """Mean average precision over the folds per setting, best first (ties: grid order)."""
-    folded = assign_folds(spread(train), LABEL, KEY, settings.folds, settings.seed)
+    folded = assign_folds(train, LABEL, KEY, settings.folds, settings.seed)
+    folded = spread(folded, settings.train_partitions)
     folded = folded.select(FEATURES, LABEL, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = folded.groupBy("fold", LABEL).count().collect()  # labels were counted by the folds
+    sizes: dict[int, dict[float, int]] = {fold: {} for fold in range(settings.folds)}
+    for row in counts:
+        for fold in sizes:
+            if fold != row["fold"]:
+                sizes[fold][row[LABEL]] = sizes[fold].get(row[LABEL], 0) + row["count"]
     grid = [
         Candidate(c, limit, weighting)
         for c in settings.grid_c
@@ -93,7 +106,9 @@ def grid_search(
     @inheritable_thread_target(train.sparkSession)
     def run(task):
         fold, c, weighting = task
-        return _fold_scores(folded, fold, c, weighting, settings.grid_iterations)
+        return _fold_scores(
+            folded, fold, c, weighting, settings.grid_iterations, sizes[fold]
+        )
 
     try:
         with ThreadPool(parallelism) as pool:
@@ -119,7 +134,7 @@ def at_best_threshold(
     metrics["best_threshold"] = threshold
     return Trained(
         PipelineModel(stages=[model]), metrics, predictions, top, thresholds,
-        importances(model, names),
+        importances(model, names), scored,
     )
 
 
@@ -129,7 +144,8 @@ def tune_logistic(
     """Search the grid, fit the best setting on the whole train part, decide by best F1."""
     ranking = grid_search(train, settings)
     best, best_score = ranking[0]
-    model = _fit(train.select(FEATURES, LABEL), best)
+    rows = spread(train, settings.train_partitions).select(FEATURES, LABEL)
+    model = _fit(rows, best, class_sizes(rows))
     tuned = at_best_threshold(model, test, names, settings)
     tuned.metrics["best_params"] = {
         "C": best.c, "max_iter": best.iterations, "class_weight": best.weighting,

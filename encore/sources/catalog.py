@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from encore.sources.schemas import RAW
+from encore.sources.schemas import RAW, REPORTS
 
 MODELS = [
     "random_forest", "logistic", "boosted_a", "boosted_b", "tuned_logistic", "ssl_logistic",
@@ -34,23 +34,19 @@ TABLES: dict[str, tuple[str, str]] = {
             "model_output": [
                 f"{model}_{kind}"
                 for model in MODELS
-                for kind in ["predictions_test", "top_10_predictions"]
+                for kind in ["predictions_test", "top_10_predictions", "pr_curve", "roc_curve"]
             ],
         }.items()
         for name in names
     },
-    **{
-        f"{model}_{kind}": ("json", f"reporting/{model}_{kind}")
-        for model in MODELS
-        for kind in ["metrics", "curves"]
-    },
+    **{f"{model}_metrics": ("json", f"reporting/{model}_metrics") for model in MODELS},
     "ssl_bias_report": ("csv", "reporting/ssl_bias_report"),
     "train_columns": ("json", "models/train_columns"),
 }
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
 ) -> DataFrame:
     """Headed CSV; a quote inside quoted text is doubled."""
     return (
@@ -88,25 +84,27 @@ class Catalog:
         if fmt == "csv" and name in RAW:
             return read_csv(self.spark, self.path(name), RAW[name], name in MULTI_LINE)
         if fmt == "csv":
-            return self.spark.read.option("header", True).csv(self.path(name))
+            return read_csv(self.spark, self.path(name), REPORTS[name])
         return self.spark.read.format(fmt).load(self.path(name))
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table and return it as read back: later jobs start from the files."""
+        """Write a table and return it as read back: later jobs start from the files.
+
+        It is read with the table's own schema, so nothing is scanned to infer one. JSON keeps
+        fields that are null.
+        """
         fmt = TABLES[name][0]
         if fmt == "csv":
             write_csv(df, self.path(name))
-        else:
-            df.write.mode("overwrite").format(fmt).save(self.path(name))
-        return self.load(name)
+            return read_csv(self.spark, self.path(name), df.schema, name in MULTI_LINE)
+        writer = df.write.mode("overwrite").format(fmt)
+        if fmt == "json":
+            writer = writer.option("ignoreNullFields", False)
+        writer.save(self.path(name))
+        return self.spark.read.schema(df.schema).format(fmt).load(self.path(name))
 
     def save_model(self, model: PipelineModel, name: str) -> None:
         model.write().overwrite().save(f"{self.base}/models/{name}")
 
     def load_model(self, name: str) -> PipelineModel:
         return PipelineModel.load(f"{self.base}/models/{name}")
-
-
-def metric_names(metrics: DataFrame) -> list[str]:
-    """Names of the metrics in a stored metrics table."""
-    return list(metrics.columns)

@@ -1,56 +1,55 @@
-"""Fixed schemas of the raw tables (no inference pass over large files)."""
+"""Fixed schemas of the raw tables and reports, as DDL (no inference pass over large files)."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_KINDS = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "d": T.DoubleType(),
-}
-
-
-def _schema(spec: str) -> T.StructType:
-    fields = []
-    for entry in spec.split():
-        name, kind = entry.split(":")
-        fields.append(T.StructField(name, _KINDS[kind]))
-    return T.StructType(fields)
-
-
 # Zip codes are text: as numbers they would lose their leading zeros. Times are text too and
 # are parsed by the cleaning jobs, where a malformed value becomes null.
 RAW = {
-    "orders": _schema(
-        "order_id:s customer_id:s order_status:s order_purchase_timestamp:s order_approved_at:s "
-        "order_delivered_carrier_date:s order_delivered_customer_date:s "
-        "order_estimated_delivery_date:s"
+    "orders": (
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp string, order_approved_at string, "
+        "order_delivered_carrier_date string, order_delivered_customer_date string, "
+        "order_estimated_delivery_date string"
     ),
-    "items": _schema(
-        "order_id:s order_item_id:i product_id:s seller_id:s shipping_limit_date:s price:d "
-        "freight_value:d"
+    "items": (
+        "order_id string, order_item_id int, product_id string, seller_id string, "
+        "shipping_limit_date string, price double, freight_value double"
     ),
-    "payments": _schema(
-        "order_id:s payment_sequential:i payment_type:s payment_installments:i payment_value:d"
+    "payments": (
+        "order_id string, payment_sequential int, payment_type string, "
+        "payment_installments int, payment_value double"
     ),
-    "customers": _schema(
-        "customer_id:s customer_unique_id:s customer_zip_code_prefix:s customer_city:s "
-        "customer_state:s"
+    "customers": (
+        "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+        "customer_city string, customer_state string"
     ),
-    "geolocation": _schema(
-        "geolocation_zip_code_prefix:s geolocation_lat:d geolocation_lng:d geolocation_city:s "
-        "geolocation_state:s"
+    "geolocation": (
+        "geolocation_zip_code_prefix string, geolocation_lat double, "
+        "geolocation_lng double, geolocation_city string, geolocation_state string"
     ),
-    "sellers": _schema("seller_id:s seller_zip_code_prefix:s seller_city:s seller_state:s"),
-    "reviews": _schema(
-        "review_id:s order_id:s review_score:i review_comment_title:s review_comment_message:s "
-        "review_creation_date:s review_answer_timestamp:s"
+    "sellers": (
+        "seller_id string, seller_zip_code_prefix string, seller_city string, "
+        "seller_state string"
     ),
-    "products": _schema(
-        "product_id:s product_category_name:s product_name_lenght:d "
-        "product_description_lenght:d product_photos_qty:d product_weight_g:d "
-        "product_length_cm:d product_height_cm:d product_width_cm:d"
+    "reviews": (
+        "review_id string, order_id string, review_score int, "
+        "review_comment_title string, review_comment_message string, "
+        "review_creation_date string, review_answer_timestamp string"
+    ),
+    "products": (
+        "product_id string, product_category_name string, product_name_lenght double, "
+        "product_description_lenght double, product_photos_qty double, "
+        "product_weight_g double, product_length_cm double, product_height_cm double, "
+        "product_width_cm double"
+    ),
+    "translation": (
+        "product_category_name string, product_category_name_english string"
+    ),
+}
+
+REPORTS = {
+    "ssl_bias_report": (
+        "total_pseudo_positives bigint, positives_from_top_categories bigint, "
+        "percentage_top_category double"
     ),
-    "translation": _schema("product_category_name:s product_category_name_english:s"),
 }

@@ -157,7 +157,7 @@ def test_review_features(spark):
         return texts.map(lambda t: "NEG" if "ruim" in t else "NEU")
 
     got = {r.order_id: (r.sentiment, r.is_verified)
-           for r in features.review_features(df, True, predict).collect()}
+           for r in features.review_features(df, True, lambda: predict).collect()}
     assert got == {1: ("positive", True), 2: ("negative", True), 5: ("negative", False)}
     with pytest.raises(ValueError):
         features.review_features(df, True)

@@ -12,7 +12,7 @@ from encore.plans import preprocessing, stages, training, tuning, weak_labels
 from encore.sources.catalog import Catalog
 
 SMALL = replace(
-    SETTINGS, trees=5, tree_depth=4, boosting_rounds=3, boosting_depth=3, logistic_iterations=200,
+    SETTINGS, trees=5, tree_depth=4, boosted_a_rounds=3, boosted_a_depth=3, boosted_b_rounds=3, boosted_b_depth=3, logistic_iterations=200,
     grid_c=[0.1, 1.0], grid_iterations=[2, 200], grid_weights=["balanced"], folds=3,
 )
 SF = "/root/testdata/sf0.001"
@@ -55,11 +55,13 @@ def test_stored_outputs(everything):
 
 
 def test_pseudo_labels_cover_the_weak_signs(everything):
-    _, tables, _ = everything
+    _, tables, models = everything
     weak = tables["weak_positive_mask"].where("weak_positive").count()
     positives = tables["pseudo_labeled_data"].where("is_repeat_buyer = 1").count()
     report = tables["ssl_bias_report"].first()
     assert positives >= weak > 0
+    scored = models["tuned_logistic"].predictions
+    assert scored.select("y_proba").distinct().count() > scored.count() / 2
     assert int(report["total_pseudo_positives"]) == positives
 
 
@@ -98,6 +100,14 @@ def test_same_seed_same_result_and_skip(spark):
     skipped = training.train_random_forest(
         df, df, [], replace(SMALL, skip=frozenset({"random_forest"})))
     assert skipped.metrics == {"skipped": True} and skipped.predictions.count() == 0
+    assert {"y_true", "y_pred", "y_proba"} <= set(skipped.top.columns)
+
+
+def test_trees_do_not_depend_on_input_partitions(spark):
+    df, _, _ = small_frame(spark)
+    for train in (training.train_random_forest, training.train_boosted_a):
+        a, b = (train(df.repartition(n), df, ["a", "b", "c"], SMALL).importance for n in (2, 8))
+        assert a == b
 
 
 def test_iteration_limits_that_do_not_bind_share_a_score(spark):

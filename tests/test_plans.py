@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from checks.fixture import Fixture
-from encore.operators import aggregates, joins, order_stats, ranking
+from encore.operators import aggregates, joins, ranking
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,13 +29,6 @@ def test_row_data_never_goes_to_one_task(spark):
     assert "SinglePartition" not in text
 
 
-def test_only_bin_totals_meet_in_one_task(spark):
-    f = Fixture(spark, SF)
-    text = plan(order_stats.quantiles(f.raw("lineitem"), "l_extendedprice", {"q": 0.5}))
-    single = re.findall(r"Exchange SinglePartition.*\n.*\n", text)
-    assert single and all("_coarse" in s or "partial_max" in s for s in single)
-
-
 def test_scans_are_pruned_and_filters_pushed(spark):
     f = Fixture(spark, SF)
     text = plan(f.raw("lineitem").where("l_returnflag = 'R'").select("l_orderkey"))

@@ -1,6 +1,6 @@
 """Readers and writers."""
 
-from encore.sources.catalog import Catalog, metric_names, read_csv, write_csv
+from encore.sources.catalog import Catalog, read_csv, write_csv
 from encore.sources.schemas import RAW
 
 
@@ -22,7 +22,13 @@ def test_zip_codes_keep_their_zeros(spark, tmp_path):
 
 def test_catalog_formats(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path))
-    df = spark.createDataFrame([(1, 0.5)], "total_pseudo_positives long, share double")
-    assert catalog.save(df, "mega_id_labels").dtypes == df.dtypes
-    assert metric_names(catalog.save(df, "logistic_metrics")) == ["share", "total_pseudo_positives"]
-    assert catalog.save(df, "ssl_bias_report").first()[0] == "1"
+    df = spark.createDataFrame(
+        [(1, 2, None)],
+        "total_pseudo_positives long, positives_from_top_categories long, "
+        "percentage_top_category double",
+    )
+    for name in ("mega_id_labels", "logistic_metrics", "ssl_bias_report"):  # null metrics stay
+        back = catalog.save(df, name)
+        assert back.dtypes == df.dtypes and back.collect() == df.collect()
+    assert catalog.load("ssl_bias_report").dtypes == df.dtypes
+    assert "percentage_top_category" in catalog.load("logistic_metrics").columns
