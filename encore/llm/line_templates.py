@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.shared import SPACE, stored
+from encore.llm.shared import SPACE, WORD, stored
 from encore.operators.joins import splittable
 
 DEPTH = 3
@@ -26,20 +26,28 @@ _FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 
 
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
-    """(doc_id, text_key, line_no, tokens, leaf, line): the lines with enough tokens."""
+    """(doc_id, text_key, line_no, masked, leaf, line) of all lines; leaf 0 has too few tokens.
+
+    Only the leading tokens are cut off here. The leaf is never null, so that no filter for it
+    is added below, where it would be computed a second time.
+    """
     exploded = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_key"),
         F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"),
     )
-    tokens = F.array_remove(
-        F.split(F.regexp_replace("line", _FIELD, "<*>"), SPACE), ""
+    line = F.coalesce("line", F.lit(""))
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _FIELD, "<*>")).otherwise(line)
+    masked = exploded.select(
+        "doc_id", "text_key", "line_no", F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")).alias("masked")
     )
-    tokened = exploded.select("doc_id", "text_key", "line_no", tokens.alias("tokens"))
-    return tokened.where(F.size("tokens") >= least_tokens).select(
-        "doc_id", "text_key", "line_no", "tokens",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
-        F.xxhash64("tokens").alias("line"),
+    tokens = F.regexp_count("masked", F.lit(WORD))
+    leading = F.slice(F.split("masked", SPACE, depth + 1), 1, depth)
+    leaf = F.when(tokens >= least_tokens, F.xxhash64(tokens, leading))
+    return masked.select(
+        "doc_id", "text_key", "line_no", "masked",
+        F.coalesce(leaf, F.lit(0).cast("long")).alias("leaf"),
+        F.xxhash64("masked").alias("line"),
     )
 
 
@@ -49,7 +57,7 @@ def recurring_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """The narrow table of all parsed lines, and the (leaf, line) hashes that are dropped."""
     parsed = _lines(docs, depth, least_tokens)
-    narrow = stored(parsed.select("doc_id", "text_key", "line_no", "leaf", "line"), "lines")
+    narrow = stored(parsed.drop("masked"), "lines").where("leaf <> 0")
     once = narrow.select("leaf", "text_key").distinct()
     leaves = once.groupBy("leaf").agg(F.count("*").alias("texts")).where(
         F.col("texts") >= least_docs
@@ -59,10 +67,10 @@ def recurring_lines(
     chosen = F.broadcast(leaves.select("leaf")) if few else splittable(
         leaves.select("leaf"), ["leaf"]
     )
-    texts = parsed.select("leaf", "line", "tokens").join(chosen, "leaf", "left_semi")
+    texts = parsed.select("leaf", "line", "masked").join(chosen, "leaf", "left_semi")
     distinct = stored(
-        texts.groupBy("leaf", "line").agg(F.max("tokens").alias("tokens")), "distinct"
-    )
+        texts.groupBy("leaf", "line").agg(F.max("masked").alias("masked")), "distinct"
+    ).select("leaf", "line", F.split("masked", SPACE).alias("tokens"))
     weights = narrow.join(splittable(leaves.select("leaf"), ["leaf"]), "leaf", "left_semi")
     weights = weights.select("leaf", "line", "text_key").distinct().groupBy("leaf", "line").agg(
         F.count("*").alias("weight")
