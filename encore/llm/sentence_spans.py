@@ -1,9 +1,10 @@
 """Repeated passages, found by hashing runs of consecutive sentences.
 
-A run begins at every sentence and is as short as possible with at least ``span_words`` words;
-runs that the end of the text cuts off below that are not hashed. Every run is hashed and the
-hashes are joined over all documents. The first occurrence, by document id and position, stays;
-sentences that any other occurrence covers are removed.
+Two runs are hashed for every sentence: the shortest with at least ``span_words`` words that begins
+there and the shortest that ends there. Together they cover every passage of ``span_words`` words
+or more to its last sentence. A text with fewer words is one run. The hashes are joined over all
+documents. The first occurrence, by document id and position, stays; sentences that any other
+occurrence covers are removed.
 """
 
 from __future__ import annotations
@@ -16,11 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from encore.llm.shared import stored
 from encore.operators.joins import splittable
 
 SPAN_WORDS = 20
+#: Documents whose runs are sampled for hot ones, and how often a hot run is in the sample.
+SAMPLE_DOCS, HOT_IN_SAMPLE = 5000, 10
+#: Rows of a hot run are dealt to so many windows.
+SPREAD = 4096
+_SPANS = "doc_id long, key long, first int, length int, hi long, lo long, hot boolean"
 #: A sentence ends after . ! ? or … with closing quotes, before white space, and at line ends.
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?…]+[\"'”’)\]]*(?=\s|$)|(?=\n)|\Z)\s*", re.MULTILINE)
 
@@ -31,29 +38,52 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(parts: list[str], span_words: int) -> list[tuple[int, int, bytes]]:
-    """(first sentence, sentences, 128-bit hash) of every run."""
+    """(first sentence, sentences, 128-bit hash) of every run.
+
+    White space before the first word belongs to the run that begins there.
+    """
     words = [s.lower().split() for s in parts]
-    out = []
+    count = [len(w) for w in words]
+    total = sum(count)
+    if not total:
+        return []
+    lead = next(i for i, n in enumerate(count) if n)
+    bounds = set()
+    if total < span_words:
+        bounds.add((lead, len(parts)))
     end, held = 0, 0
     for i in range(len(parts)):
         while end < len(parts) and held < span_words:
-            held += len(words[end])
+            held += count[end]
             end += 1
         if held < span_words:
             break
-        if words[i]:
-            joined = " ".join(w for s in words[i:end] for w in s)
-            digest = hashlib.blake2b(joined.encode("utf-8", "replace"), digest_size=16).digest()
-            out.append((i, end - i, digest))
-        held -= len(words[i])
+        if count[i]:
+            bounds.add((i, end))
+        held -= count[i]
+    start, held = 0, 0
+    for i in range(len(parts)):
+        held += count[i]
+        while held - count[start] >= span_words or not count[start] and start < i:
+            held -= count[start]
+            start += 1
+        if held >= span_words and count[i]:
+            bounds.add((start, i + 1))
+    joined = [" ".join(w) for w in words]
+    out = []
+    for a, b in sorted(bounds):
+        run = " ".join(s for s in joined[a:b] if s)
+        digest = hashlib.blake2b(run.encode("utf-8", "replace"), digest_size=16).digest()
+        a = 0 if a == lead else a
+        out.append((a, b - a, digest))
     return out
 
 
-def _hash_runs(span_words: int):
+def _hash_runs(span_words: int, hot: frozenset[bytes] = frozenset()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns: tuple[list, ...] = ([], [], [], [], [], [])
+            columns: tuple[list, ...] = ([], [], [], [], [], [], [])
 
             def made():
                 return pa.RecordBatch.from_arrays(
@@ -64,16 +94,16 @@ def _hash_runs(span_words: int):
                         pa.array(columns[3], pa.int32()),
                         pa.array(columns[4], pa.int64()),
                         pa.array(columns[5], pa.int64()),
+                        pa.array(columns[6], pa.bool_()),
                     ],
-                    ["doc_id", "key", "first", "length", "hi", "lo"],
+                    ["doc_id", "key", "first", "length", "hi", "lo", "hot"],
                 )
 
             for doc_id, key, text in zip(ids, keys, batch.column(2).to_pylist()):
                 for first, length, digest in runs(sentences(text), span_words):
                     hi, lo = np.frombuffer(digest, dtype=np.int64)
-                    for column, value in zip(
-                        columns, (doc_id, key, first, length, int(hi), int(lo))
-                    ):
+                    row = (doc_id, key, first, length, int(hi), int(lo), digest in hot)
+                    for column, value in zip(columns, row):
                         column.append(value)
                 if len(columns[0]) >= 20_000:
                     yield made()
@@ -117,22 +147,28 @@ def remove_repeats(docs: DataFrame, span_words: int = SPAN_WORDS) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "key", F.xxhash64("text", "doc_id")
     )
-    found = stored(
-        source.where("text is not null").select("doc_id", "key", "text").mapInArrow(
-            _hash_runs(span_words),
-            "doc_id long, key long, first int, length int, hi long, lo long",
-        ),
-        "spans",
+    texts = source.where("text is not null").select("doc_id", "key", "text")
+    draw = F.shiftrightunsigned(F.xxhash64("key", F.lit("sample")), 33) / F.lit(2.0**31)
+    often = (
+        texts.where(draw < F.lit(SAMPLE_DOCS / max(1, docs.count())))
+        .mapInArrow(_hash_runs(span_words), _SPANS)
+        .groupBy("hi", "lo").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
+        .collect()  # at most a tenth of the sampled runs
     )
+    hot = frozenset(np.array([r.hi, r.lo], dtype=np.int64).tobytes() for r in often)
+    found = stored(texts.mapInArrow(_hash_runs(span_words, hot), _SPANS), "spans")
     place = F.struct("doc_id", "key", "first")
-    repeated = (
-        found.groupBy("hi", "lo")
-        .agg(F.min(place).alias("origin"), F.max(place).alias("last"))
-        .where("origin <> last")
-        .select("hi", "lo", "origin")
+    # A hot run's origin is combined before the shuffle, so that its rows need not meet; the others
+    # meet in a window. Which way a run takes does not change the result.
+    origins = stored(
+        found.where("hot").groupBy("hi", "lo").agg(F.min(place).alias("origin")), "hot_spans"
     )
+    spread = F.when(F.col("hot"), F.pmod("key", F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
+    here = Window.partitionBy("hi", "lo", "spread")
     covered = (
-        found.join(splittable(repeated, ["hi", "lo"]), ["hi", "lo"])
+        found.join(F.broadcast(origins), ["hi", "lo"], "left")
+        .withColumn("spread", spread)
+        .withColumn("origin", F.coalesce("origin", F.min(place).over(here)))
         .where(place != F.col("origin"))
         .groupBy("key", "doc_id")
         .agg(F.collect_set(F.struct("first", "length")).alias("spans"))

@@ -158,6 +158,56 @@ def test_repeated_spans(spark, docs_of):
     assert sentence_spans.remove_repeats(docs_of(rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(12, 12, 5), (25, 25, 8), (5, 12, 12), (7, 3, 30, 1, 1)])
+def test_repeats_go_to_the_last_sentence(spark, docs_of, monkeypatch, sizes):
+    word = iter(f"k{i}" for i in range(10**6))
+    sentence = lambda n: " ".join(next(word) for _ in range(n)).capitalize() + "."
+    passage = " ".join(sentence(n) for n in sizes)
+    own = [[sentence(9), sentence(30), sentence(4)] for _ in range(30)]
+    rows = [(i, " ".join([*a[:2], passage, a[2]])) for i, a in enumerate(own)]
+    rows += [(50, rows[0][1]), (51, "\n " + passage), (60, "Ends early. " + passage),
+             (70, "Read this."), (71, "read  this.")]
+    for hot in (10, 1000):  # the passage is hot in the sample, or nothing is
+        monkeypatch.setattr(sentence_spans, "HOT_IN_SAMPLE", hot)
+        by = {r.doc_id: r for r in sentence_spans.remove_repeats(docs_of(rows)).collect()}
+        assert by[0].text == rows[0][1] and by[70].text == "Read this."
+        for i in range(1, 30):
+            assert by[i].text == " ".join(own[i]) and by[i].n_removed == len(sizes)
+            assert by[i].n_words_removed == sum(sizes)
+        assert by[60].text == "Ends early. "
+        assert by[50].text == by[51].text == by[71].text == ""
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spans_equal_all_runs(spark, docs_of, seed):
+    """Sentences that any repeated run of 20 words or more covers, from all runs in plain Python."""
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(rng.randint(1, 16)))
+            + "." for _ in range(40)]
+    rows = []
+    for i in range(25):
+        parts = [rng.choice(pool) for _ in range(rng.randint(1, 9))]
+        if i and rng.random() < 0.7:
+            other = rng.choice(rows)[1].split(". ")
+            a = rng.randrange(len(other))
+            parts[1:1] = [p.rstrip(".") + "." for p in other[a : a + rng.randint(1, 6)]]
+        rows.append((i, " ".join(parts)))
+    seen, want = set(), {}
+    for i, text in rows:
+        parts = [s.lower().split() for s in sentence_spans.sentences(text)]
+        gone = set()
+        for a in range(len(parts)):
+            for b in range(a + 1, len(parts) + 1):
+                run = tuple(w for p in parts[a:b] for w in p)
+                if len(run) >= 20 or b - a == len(parts):
+                    if run in seen:
+                        gone |= set(range(a, b))
+                    seen.add(run)
+        want[i] = len(gone)
+    got = sentence_spans.remove_repeats(docs_of(rows)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == want and sum(want.values()) > 5
+
+
 def test_sentences_join_to_the_text():
     for text in ["A b. C d! E?\n\nF g", "no end", "", "x.y z. “Q.” r…", "\n\n", "a. \n b"]:
         assert "".join(sentence_spans.sentences(text)) == text
