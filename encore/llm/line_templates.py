@@ -3,8 +3,12 @@
 The tree's levels are the number of tokens of a line and its leading tokens, with variable fields
 (tokens that hold a digit) as <*>. A leaf's template has at every place the token that at least
 ``constant`` of the leaf's distinct texts share there, or <*>. A line belongs to the template if
-it has the constant tokens at ``similar`` of its places. A template that recurs in ``least_docs``
-different texts is dropped from all documents; copies of a text count once.
+it has the constant tokens at ``similar`` of its places. The other lines of the leaf are split by
+the most frequent of their tokens that are not constant there; each part is a group with a template
+of its own, and is split again until its lines are in fewer than ``least_docs`` texts. A part has
+less than ``constant`` of its group's texts, so that there are few rounds. A template that recurs in
+``least_docs`` different texts is dropped from all documents, and so is a masked line that does so
+alone; copies of a text count once.
 """
 
 from __future__ import annotations
@@ -75,32 +79,81 @@ def recurring_lines(
     weights = weights.select("leaf", "line", "text_key").distinct().groupBy("leaf", "line").agg(
         F.count("*").alias("weight")
     )
-    tokens = stored(
-        distinct.join(splittable(weights, ["leaf", "line"]), ["leaf", "line"]).select(
-            "leaf", "line", "weight", F.posexplode_outer("tokens").alias("at", "token")
+    keys = ["leaf", "line"]
+    distinct = stored(
+        distinct.join(splittable(weights, keys), keys).select(*keys, "weight", "tokens"), "weighted"
+    )
+    alone = distinct.where(F.col("weight") >= least_docs).select(*keys)
+    tokens = distinct.select(
+        F.col("leaf").alias("part"), *keys, "weight",
+        F.posexplode_outer("tokens").alias("at", "token"),
+    )
+    sizes = leaves.select(F.col("leaf").alias("part"), "texts")
+    fitting = None
+    while True:
+        placed = _placed(stored(tokens, "tokens"), sizes, constant)
+        fits = F.col("same") >= F.lit(similar) * F.col("n")
+        own = placed.where(fits).select("part", *keys, "weight")
+        fitting = own if fitting is None else fitting.union(own)
+        rest = placed.where(~fits & F.col("next").isNotNull()).select(
+            F.col("next").alias("part"), *keys, "weight"
+        )
+        sizes = stored(
+            rest.groupBy("part").agg(F.sum("weight").alias("texts"))
+            .where(F.col("texts") >= least_docs),
+            "parts",
+        )
+        if sizes.isEmpty():
+            break
+        rest = rest.join(splittable(sizes.select("part"), ["part"]), "part", "left_semi")
+        tokens = rest.join(distinct.drop("weight"), keys).select(
+            "part", *keys, "weight", F.posexplode_outer("tokens").alias("at", "token")
+        )
+    # A template that holds a line of enough texts recurs; texts are counted for the others.
+    totals = fitting.groupBy("part").agg(
+        F.sum("weight").alias("texts"), F.max("weight").alias("most")
+    ).where(F.col("texts") >= least_docs)
+    totals = stored(totals, "templates")
+    sure = totals.where(F.col("most") >= least_docs).select("part")
+    open_lines = fitting.join(
+        splittable(totals.where(F.col("most") < least_docs).select("part"), ["part"]),
+        "part", "left_semi",
+    )
+    counted = (
+        narrow.join(splittable(open_lines.select("part", *keys), keys), keys)
+        .select("part", "text_key").distinct().groupBy("part")
+        .agg(F.count("*").alias("texts")).where(F.col("texts") >= least_docs).select("part")
+    )
+    often = sure.union(counted)
+    recurring = fitting.join(splittable(often, ["part"]), "part", "left_semi").select(*keys)
+    return narrow, recurring.union(alone).distinct()
+
+
+def _placed(tokens: DataFrame, sizes: DataFrame, constant: float) -> DataFrame:
+    """(part, leaf, line, weight, n, same, next) of all lines of ``tokens``.
+
+    ``n`` counts the line's tokens and ``same`` the constant ones; ``next`` is the part that its
+    most frequent other token makes (the first of several), null if no text shares one.
+    """
+    keys = ["part", "at", "token"]
+    have = (
+        tokens.groupBy(*keys).agg(F.sum("weight").alias("have")).where("have > 1")
+        .join(splittable(sizes, ["part"]), "part")
+        .select(*keys, "have", (F.col("have") >= F.lit(constant) * F.col("texts")).alias("fixed"))
+    )
+    order = F.shiftleft("have", 20) - F.col("at")
+    free = ~F.col("fixed")
+    return stored(
+        tokens.join(splittable(have, keys), keys, "left")
+        .groupBy("part", "leaf", "line")
+        .agg(
+            F.max("weight").alias("weight"),
+            F.count("*").alias("n"),
+            F.count(F.when(F.col("fixed"), 1)).alias("same"),
+            F.max_by(F.when(free, F.xxhash64(*keys)), F.when(free, order)).alias("next"),
         ),
-        "tokens",
-    )
-    constants = (
-        tokens.groupBy("leaf", "at", "token").agg(F.sum("weight").alias("have"))
-        .join(splittable(leaves, ["leaf"]), "leaf")
-        .where(F.col("have") >= F.lit(constant) * F.col("texts"))
-        .select("leaf", "at", "token")
-    )
-    keys = ["leaf", "at", "token"]
-    fitting = (
-        tokens.join(splittable(constants.withColumn("same", F.lit(1)), keys), keys, "left")
-        .groupBy("leaf", "line")
-        .agg(F.count("same").alias("same"), F.count("*").alias("n"))
-        .where(F.col("same") >= F.lit(similar) * F.col("n"))
-        .select("leaf", "line")
-    )
-    belonging = narrow.join(splittable(fitting, ["leaf", "line"]), ["leaf", "line"], "left_semi")
-    often = (
-        belonging.select("leaf", "text_key").distinct().groupBy("leaf")
-        .agg(F.count("*").alias("texts")).where(F.col("texts") >= least_docs).select("leaf")
-    )
-    return narrow, fitting.join(splittable(often, ["leaf"]), "leaf", "left_semi")
+        "placed",
+    )
 
 
 def dropped_lines(docs: DataFrame, **options) -> DataFrame:

@@ -241,3 +241,37 @@ def test_line_templates(spark, docs_of):
     assert line_templates.dropped_lines(docs_of(rows).limit(0)).count() == 0
     plan = line_templates.dropped_lines(docs_of(rows))._jdf.queryExecution().executedPlan()
     assert "Python" not in plan.toString() and "Arrow" not in plan.toString()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_leaf_with_several_templates(spark, docs_of, seed):
+    rng = random.Random(seed)
+    word = iter(f"v{chr(97 + i // 676 % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}"
+                for i in range(17_576))
+    kinds = ["This page is kept by the archive of {}", "This page is old so please read {} instead",
+             "This page is one of {} on our site", "This page is made for you with {} care"]
+    rows, planted = [], {}
+    for i in range(130):
+        lines = [f"This page is {next(word)} {next(word)} {next(word)} {next(word)} {next(word)} "
+                 f"{next(word)}" for _ in range(2)]  # as many tokens as the templates have
+        kind = kinds[i % 4]
+        filler = next(word) if i % 4 else "all"  # the first kind is the same line
+        line = kind.format(filler)
+        at = rng.randrange(3)
+        lines.insert(at, line + " x" * (9 - len(line.split())))
+        rows.append((i, "\n".join(lines)))
+        planted[i] = [at]
+    got = line_templates.dropped_lines(docs_of(rows)).collect()
+    assert {r.doc_id: list(r.dropped) for r in got} == planted
+
+
+def test_line_of_enough_texts_goes(spark, docs_of):
+    """Every masked line of three tokens or more in ten texts, whatever else its leaf holds."""
+    rng = random.Random(4)
+    pool = [f"we also have {a} {b} {c}" for a in "abcdef" for b in "ghijk" for c in "lmnop"]
+    rows = [(i, "\n".join(rng.choices(pool, range(1, len(pool) + 1), k=6))) for i in range(120)]
+    texts = Counter(x for _, t in rows for x in set(t.split("\n")))
+    assert 5 < sum(n >= 10 for n in texts.values()) < len(texts) - 5
+    for r in line_templates.dropped_lines(docs_of(rows)).collect():
+        often = {k for k, x in enumerate(dict(rows)[r.doc_id].split("\n")) if texts[x] >= 10}
+        assert often <= set(r.dropped)
