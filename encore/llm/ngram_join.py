@@ -446,10 +446,12 @@ def linked_components(
         ),
         "meeting",
     )
-    for _ in range(2):  # rows that meet too rarely for any link go, then those left alone
+    # Rows that meet too rarely for any link go, then those left alone. Rows that share an id are
+    # counted together, against what the least of them needs.
+    for _ in range(2):
         enough = (
             meeting.groupBy("cls", "step")
-            .agg(F.count("*").alias("n"), F.max("need").alias("least")).where("n >= least")
+            .agg(F.count("*").alias("n"), F.min("need").alias("least")).where("n >= least")
             .select("cls", "step")
         )
         keys_of = ["cls", "step"]

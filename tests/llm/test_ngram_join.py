@@ -94,6 +94,17 @@ def test_edges(spark, docs_of):
     assert [r.doc_id for r in kept.collect()] == [1] and "block" in kept.columns
 
 
+def test_repeated_id_with_a_long_text(spark, docs_of):
+    """An id's short text links, its long text needs many shared blocks and has no partner."""
+    short = " ".join(f"s{i}" for i in range(60))
+    rows = [(5, short), (9, short + " more"), (5, " ".join(f"l{i}" for i in range(1500))),
+            (7, " ".join(f"m{i}" for i in range(1500)))]
+    got = ngram_join.linked_components(docs_of(rows), 3, 90).collect()
+    want = brute(rows, 3, 90)
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (7, 7), (9, 5)]
+    assert {i: c for i, (_, c) in want.items()} == {5: 5, 7: 7, 9: 5}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 102), (7, 7), (200, 200)]
     df = spark.createDataFrame(chain + chain[:5] + [(None, 3)], "u long, v long")
