@@ -12,6 +12,7 @@ is toxic.
 
 from __future__ import annotations
 
+import itertools
 import string
 from dataclasses import dataclass
 
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 from encore.llm.shared import stored
 from encore.operators.joins import splittable
 
-#: Levels of the tree; what follows is one wildcard ``**``.
+#: Levels that are always written; wildcards after them and after the last branch are one ``**``.
 LEVELS = 4
-#: A branch of its own needs so many pages and this share of its parent's (so there are few).
-LEAST_PAGES, LEAST_SHARE = 20, 0.02
+#: A branch of its own needs so many pages; no share of its parent's is asked for.
+LEAST_PAGES, LEAST_SHARE = 20, 0.0
 #: Branches differ if the shares of bad pages differ by so many standard errors.
 DIFFERENT = 2.58
 #: Smoothing: so many pages with the parent's share are added.
@@ -85,7 +86,10 @@ def templates(pages: DataFrame) -> DataFrame:
         "segments", F.filter(F.split("path", "/"), lambda s: s != "")
     ).withColumn("template", F.lit(""))
     sums = [F.count("*").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b")]
-    for level in range(LEVELS):
+    rows = rows.withColumn("written", F.lit("")).withColumn("depth", F.lit(LEVELS))
+    for level in itertools.count():
+        if level >= LEVELS:
+            rows = stored(rows, "levels")
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = stored(
             rows.where("segment is not null").groupBy("host", "template", "segment").agg(*sums),
@@ -95,8 +99,11 @@ def templates(pages: DataFrame) -> DataFrame:
             F.sum("n").alias("pn"), F.sum("l").alias("pl"), F.sum("b").alias("pb")
         )
         key = ["host", "template"]
+        able = (F.col("pn") >= LEAST_PAGES) & (F.col("pl") > 0)
+        if level >= LEVELS and parents.where(able).isEmpty():
+            break  # branches below have fewer pages still
         compared = branches.join(splittable(parents, key), key).where(
-            (F.col("n") >= LEAST_PAGES) & (F.col("n") >= F.lit(LEAST_SHARE) * F.col("pn"))
+            F.col("n") >= LEAST_PAGES
         )
         rest_l, rest_b = F.col("pl") - F.col("l"), F.col("pb") - F.col("b")
         mean = F.col("pb") / F.col("pl")
@@ -114,11 +121,20 @@ def templates(pages: DataFrame) -> DataFrame:
                     "/", "template", F.when(F.col("own"), F.col("segment")).otherwise(F.lit("*"))
                 )
             ),
-        ).drop("own", "segment")
-    deeper = F.size("segments") > LEVELS
+        )
+        here = F.lit(True) if level < LEVELS else F.coalesce("own", F.lit(False))
+        rows = rows.withColumn(
+            "written", F.when(here, F.col("template")).otherwise(F.col("written"))
+        )
+        if level >= LEVELS:
+            rows = rows.withColumn(
+                "depth", F.when(here, F.lit(level + 1)).otherwise(F.col("depth"))
+            )
+        rows = rows.drop("own", "segment")
+    deeper = F.size("segments") > F.col("depth")
     return rows.withColumn(
-        "template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    ).drop("segments")
+        "template", F.when(deeper, F.concat("written", F.lit("/**"))).otherwise(F.col("written"))
+    ).drop("segments", "segment", "written", "depth")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

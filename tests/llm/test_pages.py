@@ -133,3 +133,14 @@ def test_url_filter(spark):
             assert r.verdict == ("block" if r.path.startswith("/spam") else "allow")
     assert url_filter.judge(pages.limit(0), table).count() == 0
     assert url_filter.judge(pages, table.limit(0)).where("rule is null and verdict = 'block'").count() == 0
+
+
+def test_small_and_deep_sections_are_judged(spark):
+    urls = [f"http://big.net/s{i % 60}/{i}" for i in range(1800)]  # 60 equal sections
+    urls += [f"http://deep.net/a/b/c/d/e/{'spam' if i % 4 == 0 else 'news'}/{i}" for i in range(400)]
+    bad = [(i < 1800 and i % 60 == 7) or "/spam/" in u for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not b), 0) for i, b in enumerate(bad)],
+                                   "doc_id long, quality int, toxic int")
+    for r in url_filter.judge(pages, labels).collect():
+        assert (r.verdict == "block") == bad[r.page_id]
