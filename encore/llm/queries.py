@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.llm import (
+    centroids,
     decontamination,
     extraction,
+    impact_search,
     language,
     line_templates,
+    merkle,
     mixing,
     ngram_join,
     quality,
@@ -19,6 +23,7 @@ from encore.llm import (
     url_filter,
 )
 from encore.llm.shared import table
+from encore.llm.sql import kmeans_sql, merkle_sql, top_products_sql
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +68,18 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_slot_pivot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), merkle.without_line_breaks())
+
+
+def op12_vantage_point_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -76,9 +93,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_templates,
         op9_sampled_splitters,
         op10_winnowing,
+        op11_slot_pivot_manifest,
+        op12_vantage_point_kmeans,
+        op13_impact_ordered_topk,
     )
 }
 SQL: dict[str, str] = {
+    "op11_slot_pivot_manifest": merkle_sql(),
+    "op12_vantage_point_kmeans": kmeans_sql(),
+    "op13_impact_ordered_topk": top_products_sql(),
     "op10_winnowing": r"""
 with d as (
   select row_number() over () as r, doc_id, list_filter(string_split_regex(
