@@ -129,14 +129,12 @@ def contamination(
 
     n_hit counts words inside any occurrence of an item's window, n_items the items with one;
     a document is contaminated if n_hit > 0 and ``share`` * n_hit >= n_words. Null and empty
-    texts have no words. Items without id or words are left out; an id with several texts is
-    one item. Equal texts are examined once and repeated rows give a row each. An empty
+    texts have no words. Items without words are left out; those without id count for n_hit, but
+    have no name to count in n_items. An id with several texts is one item. Equal texts are examined once and repeated rows give a row each. An empty
     benchmark hits nothing. Windows are compared by 64-bit hashes. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
-        "item_id is not null"
-    )
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     items = stored(
         _with_hashes(items).select(
             "item_id", "text", "_hash", F.least(F.size("_hash"), F.lit(window)).alias("len")
@@ -212,7 +210,13 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated; ids are taken as unique, null ids stay."""
-    found = contamination(docs, benchmark)
-    drop = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(splittable(drop, ["doc_id"]), "doc_id", "left_anti").select(*docs.columns)
+    """The documents that are not contaminated, decided row by row; columns are those of ``docs``.
+
+    A row is known by a hash of its id and text: rows without an id are examined too, and of
+    rows that share an id only those with a contaminated text go.
+    """
+    key = F.xxhash64("doc_id", "text")
+    found = contamination(docs.select(key.alias("doc_id"), "text"), benchmark)
+    drop = found.where("contaminated").select(F.col("doc_id").alias("row_key")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("row_key"))
+    return keyed.join(splittable(drop, ["row_key"]), "row_key", "left_anti").select("doc.*")

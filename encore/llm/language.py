@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +28,7 @@ MAX_LANGUAGES = 200
 AMBIGUOUS = 0.55
 _EPOCHS = 150
 _SLICE = 1 << 19  # characters at once
+_DECODED = 512  # rows that are decoded at once
 
 _TABLE: dict[str, np.ndarray] = {}
 
@@ -275,16 +275,21 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents in a learned language, row by row; ``und`` and ambiguous ones go."""
     model = train(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_identified(shared, docs.columns.index("text")), docs.schema)
 
-    @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
-        texts = [t or "" for t in texts]
-        found = np.zeros(len(texts), dtype=bool)
-        for a, b in _cuts(texts):
-            vectors, letters = _vectors(texts[a:b])
-            if shared.value.languages:
-                _, score = shared.value.decode(vectors)
-                found[a:b] = (letters > 0) & (score >= AMBIGUOUS)
-        return pd.Series(found)
 
-    return docs.where(known("text"))
+def _identified(model, column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = model.value
+        for batch in batches:
+            for start in range(0, batch.num_rows if fitted.languages else 0, _DECODED):
+                part = batch.slice(start, _DECODED)
+                texts = [t or "" for t in part.column(column).to_pylist()]
+                found = np.zeros(len(texts), dtype=bool)
+                for a, b in _cuts(texts):
+                    vectors, letters = _vectors(texts[a:b])
+                    _, score = fitted.decode(vectors)
+                    found[a:b] = (letters > 0) & (score >= AMBIGUOUS)
+                yield part.filter(pa.array(found))
+
+    return run

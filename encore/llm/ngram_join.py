@@ -31,17 +31,19 @@ execution; the family it makes is cut into chunks.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from encore.llm.components import components
-from encore.llm.shared import U, hashed_words, mix, slices, stored
+from encore.llm.shared import U, hashed_words, mix, stored
 from encore.operators.joins import splittable
 
 #: Weight (n-grams) of a chunk of a family; a task holds two.
@@ -51,6 +53,9 @@ SEEDS = 24
 #: Documents whose blocks are sampled for hot ones, and how often a hot block is in the sample.
 SAMPLE_DOCS, HOT_IN_SAMPLE = 5000, 10
 _LARGEST = 10**10
+#: Bytes of text that a Python worker decodes and hashes at once.
+PIECE = 1 << 18
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 @dataclass(frozen=True)
@@ -95,9 +100,27 @@ def _bins(similarity: int) -> Bins:
     return Bins(np.array(lows[:-1]), np.array(blocks), np.array(spare), np.array(least))
 
 
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``hashed_words``; a very long text is hashed in pieces that end between words."""
+    if sum(map(len, texts)) <= 2 * PIECE:
+        return hashed_words(texts)
+    hashes, counts = [], []
+    for text in texts:
+        own, at = [], 0
+        while at < len(text):
+            space = _SPACE.search(text, at + PIECE)
+            end = space.start() if space else len(text)
+            own.append(hashed_words([text[at:end]])[0])
+            at = end
+        hashes += own
+        counts.append(sum(map(len, own)))
+    hashes = np.concatenate(hashes) if hashes else np.zeros(0, U)
+    return hashes, np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+
+
 def _sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-gram hashes of every text, one after another, and where each begins."""
-    hashes, starts = hashed_words(texts)
+    hashes, starts = _word_hashes(texts)
     count = np.diff(starts)
     grams = np.zeros(max(0, len(hashes) - n + 1), dtype=U)
     for k in range(n):
@@ -194,8 +217,21 @@ def _signatures(values, starts, similarity, bins: Bins):
     return steps
 
 
-def _encoded(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode("utf-8").lower() for t in column.to_pylist()]
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Consecutive rows with about PIECE bytes of text (second column), and these in lower case.
+
+    Only these rows are decoded, so a worker's memory does not grow with the batch.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes + 1)
+    start = 0
+    while start < len(ends):
+        limit = (ends[start - 1] if start else 0) + PIECE
+        stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
+        part = batch.slice(start, stop - start)
+        texts = part.column(1).cast(pa.binary()).to_pylist()
+        yield part, [(t or b"").lower() for t in texts]
+        start = stop
 
 
 def _summaries(n: int):
@@ -203,18 +239,14 @@ def _summaries(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _encoded(batch.column(1))
-            for a, b in slices(texts):
-                values, starts = _sets(texts[a:b], n)
+            for part, texts in _pieces(batch):
+                values, starts = _sets(texts, n)
                 totals = np.zeros((2, len(values) + 1), dtype=U)
                 np.cumsum(mix(values, 11), out=totals[0, 1:])
                 np.cumsum(mix(values, 1 << 40), out=totals[1, 1:])
                 digest = (totals[:, starts[1:]] - totals[:, starts[:-1]]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, b - a),
-                        *map(pa.array, (np.diff(starts), digest[0], digest[1])),
-                    ],
+                    [part.column(0), *map(pa.array, (np.diff(starts), digest[0], digest[1]))],
                     ["doc_id", "n_shingles", "hi", "lo"],
                 )
 
@@ -233,16 +265,15 @@ def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = _bins(similarity)
         for batch in batches:
-            batch = _chosen(batch, bitmap)
-            ids, texts = batch.column(0).to_numpy(), _encoded(batch.column(1))
-            for a, b in slices(texts):
-                values, starts = _sets(texts[a:b], n)
+            for part, texts in _pieces(_chosen(batch, bitmap)):
+                ids = part.column(0).to_numpy()
+                values, starts = _sets(texts, n)
                 steps = _signatures(values, starts, similarity, bins)
                 for step, (blocks, need) in enumerate(steps):
                     counts = np.array([len(x) for x in blocks])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.repeat(ids[a:b], counts)),
+                            pa.array(np.repeat(ids, counts)),
                             pa.array(np.full(counts.sum(), step, dtype=np.int8)),
                             pa.array(np.repeat(need, counts)),
                             pa.array(np.concatenate(blocks).view(np.int64)),
@@ -256,13 +287,11 @@ def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray):
 def _set_bytes(n: int, bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = _chosen(batch, bitmap)
-            texts = _encoded(batch.column(1))
-            for a, b in slices(texts):
-                values, starts = _sets(texts[a:b], n)
+            for part, texts in _pieces(_chosen(batch, bitmap)):
+                values, starts = _sets(texts, n)
                 data = [values[s:e].tobytes() for s, e in zip(starts, starts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(data, pa.binary())],
+                    [part.column(0), pa.array(data, pa.binary())],
                     ["doc_id", "grams"],
                 )
 
@@ -280,16 +309,19 @@ def _product(similarity: int):
         order = np.lexsort((ids, second))
         ids, second, sets = ids[order], second[order], [sets[i] for i in order]
         sizes = np.fromiter((len(s) for s in sets), dtype=np.int64, count=len(sets))
-        row = np.repeat(np.arange(len(sets)), sizes)
+        row = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
         value = np.concatenate(sets) if sets else np.zeros(0, U)
-        order = np.lexsort((row, value))
+        del sets
+        order = np.argsort(value, kind="stable")  # rows ascend, so they do within a value
         row, value = row[order], value[order]
         first = np.concatenate(([True], value[1:] != value[:-1]))
-        column = np.empty(len(value), dtype=np.int64)
-        column[order] = np.cumsum(first) - 1
-        begin = np.concatenate((np.flatnonzero(first), [len(value)]))
+        del value
+        column = np.empty(len(row), dtype=np.int32)
+        column[order] = np.cumsum(first, dtype=np.int32) - 1
+        del order
+        begin = np.concatenate((np.flatnonzero(first), [len(row)]))
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        parent = np.arange(len(sets))
+        parent = np.arange(len(sizes))
 
         def root(i):
             while parent[i] != i:
@@ -298,7 +330,7 @@ def _product(similarity: int):
             return i
 
         links = []
-        for i in range(1, len(sets)):
+        for i in range(1, len(sizes)):
             if crossing and not second[i]:
                 continue
             own = column[starts[i] : starts[i + 1]]
@@ -310,7 +342,7 @@ def _product(similarity: int):
                 continue
             at = np.repeat(a - np.concatenate(([0], np.cumsum(length)[:-1])), length)
             partners = row[at + np.arange(len(at))]
-            counts = np.bincount(partners, minlength=len(sets))
+            counts = np.bincount(partners, minlength=len(sizes))
             counts[i:] = 0  # each pair once
             enough = (100 + similarity) * counts >= similarity * (sizes + sizes[i])
             enough &= counts > 0
@@ -525,10 +557,40 @@ def linked_components(
 
 
 def one_per_component(docs: DataFrame, n: int = 5, similarity: int = 80) -> DataFrame:
-    """The documents whose id is the smallest of its component; ids are taken as unique.
+    """One document of each component; columns are those of ``docs``.
 
-    Rows without an id stay. Columns are those of ``docs``.
+    Decided row by row: a row is known by a hash of its id and text, so rows without an id or
+    with a repeated one are compared like all others, by their own text. The row with the
+    smallest id stays (null last); of rows equal in id and text one stays, also without a word.
+    Rows without words are linked with no other.
     """
-    found = linked_components(docs, n, similarity)
-    drop = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(splittable(drop, ["doc_id"]), "doc_id", "left_anti").select(*docs.columns)
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("row_key"))
+    found = stored(
+        linked_components(
+            docs.select(key.alias("row_key"), "text"), n, similarity, id_column="row_key"
+        ).select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("grp")),
+        "grouped",
+    )
+    linked = found.where("row_key <> grp").select("grp").distinct()
+    members = found.join(splittable(linked, ["grp"]), "grp", "left_semi").distinct()
+    ids = docs.select(key.alias("row_key"), F.col("doc_id").alias("id"))
+    ids = ids.groupBy("row_key").agg(F.min("id").alias("id"))
+    members = stored(members.join(splittable(ids, ["row_key"]), "row_key"), "grouped")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("best")
+    best = members.groupBy("grp").agg(best)
+    drop = (
+        members.join(splittable(best, ["grp"]), "grp")
+        .where("row_key <> best.row_key").select("row_key")
+    )
+    repeated = (
+        found.groupBy("row_key").agg(F.count("*").alias("rows")).where("rows > 1")
+        .select("row_key")
+    )
+    repeated = stored(repeated, "repeated")
+    keyed = keyed.join(splittable(drop, ["row_key"]), "row_key", "left_anti")
+    once = keyed.join(splittable(repeated, ["row_key"]), "row_key", "left_anti").select("doc")
+    if not repeated.isEmpty():  # combined before the shuffle, so a hot row costs one per task
+        again = keyed.join(splittable(repeated, ["row_key"]), "row_key", "left_semi")
+        once = once.union(again.groupBy("row_key").agg(F.first("doc").alias("doc")).select("doc"))
+    return once.select("doc.*")

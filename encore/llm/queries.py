@@ -113,7 +113,7 @@ i as (
     select cast(item_id as varchar) as item_id, list_filter(string_split_regex(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
-    from benchmark where item_id is not null) where len(w) > 0),
+    from benchmark) where len(w) > 0),
 iw as (
   select distinct item_id, n, array_to_string(w[p : p + n - 1], ' ') as key
   from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as p from i)),

@@ -18,14 +18,15 @@ def brute(text, items):
     own, hit, names = words(text), set(), set()
     for name, item in items:
         its = words(item)
-        if not its or name is None:
+        if not its:
             continue
         n = min(13, len(its))
         windows = {tuple(its[i : i + n]) for i in range(len(its) - n + 1)}
         for i in range(len(own) - n + 1):
             if tuple(own[i : i + n]) in windows:
                 hit |= set(range(i, i + n))
-                names.add(str(name))
+                if name is not None:
+                    names.add(str(name))
     digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
     contaminated = bool(hit) and 20 * len(hit) >= len(own)
     return len(own), len(hit), len(names), digest, contaminated
@@ -79,3 +80,16 @@ def test_long_items_only_and_empty_tables(spark, docs_of):
     plan = decontamination.contamination(docs_of(rows), benchmark)
     plan = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_are_dropped_by_their_own_text(spark, docs_of):
+    passage = " ".join(f"p{i}" for i in range(20))
+    benchmark = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    rows = [(None, passage), (1, passage), (1, "clean text"), (None, "clean"), (None, None)]
+    rows += [(2, passage.upper())] * 3
+    docs = docs_of(rows)
+    got = decontamination.drop_contaminated(docs, benchmark)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == [
+        ("1", "clean text"), ("None", "None"), ("None", "clean")
+    ]

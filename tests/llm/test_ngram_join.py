@@ -110,3 +110,29 @@ def test_components(spark):
     df = spark.createDataFrame(chain + chain[:5] + [(None, 3)], "u long, v long")
     got = dict(tuple(r) for r in components(df).collect())
     assert got == {i: 1 for i in range(1, 61)} | {100: 100, 101: 100, 102: 100, 200: 200}
+
+
+def test_one_row_of_each_component(spark, docs_of):
+    """Decided by row: null and repeated ids are deduplicated, unlike texts of one id stay."""
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text + " tail"
+    rows = [(None, text)] * 5 + [(3, text)] * 3
+    rows += [(4, "other words in a text of its own"), (4, "a second text that shares nothing")]
+    rows += [(5, near), (6, None), (6, None), (7, ""), (None, None)]
+    docs = docs_of(rows)
+    got = ngram_join.one_per_component(docs)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sum(t in (text, near) for _, t in kept) == 1
+    assert sorted(t for i, t in kept if i == 4) == sorted([rows[8][1], rows[9][1]])
+    assert sorted(str(i) for i, t in kept if not t) == ["6", "7", "None"]
+
+
+def test_very_long_texts_are_hashed_in_pieces():
+    rng = random.Random(3)
+    long_text = " ".join(f"w{rng.randrange(5000)}" for _ in range(400_000)).encode()
+    assert len(long_text) > 8 * ngram_join.PIECE
+    texts = [long_text, b"", b"short text", b"x" * (3 * ngram_join.PIECE), b" a  b "]
+    hashes, starts = ngram_join._word_hashes(texts)
+    whole, begins = ngram_join.hashed_words(texts)
+    assert (hashes == whole).all() and (starts == begins).all()
