@@ -52,6 +52,8 @@ CHUNK_WEIGHT = 1 << 19
 SEEDS = 24
 #: Documents whose blocks are sampled for hot ones, and how often a hot block is in the sample.
 SAMPLE_DOCS, HOT_IN_SAMPLE = 5000, 10
+#: At most this many hot blocks are broadcast; windows that a hot block is dealt to.
+BROADCAST_ROWS, PARTS = 200_000, 1024
 _LARGEST = 10**10
 #: Bytes of text that a Python worker decodes and hashes at once.
 PIECE = 1 << 18
@@ -398,40 +400,41 @@ def _meeting(sent: DataFrame) -> DataFrame:
         .where("pivot < last")
         .select("block", "pivot")
     )
-    return sent.join(splittable(met, ["block"]), "block").select(*_MEETING)
+    return sent.join(splittable(met, ["block"]), "block").select(*_ROW, "pivot")
 
 
-_MEETING = ["cls", "step", "need", "block", "pivot"]
+_ROW = ["cls", "step", "need", "block"]
 
 
 def _first_meeting(
     marked: DataFrame, classes: int, send: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """The same for all rows, most of which meet no other: one shuffle, and a window per block.
+    """The same for all rows, most of which meet no other, without the smallest class: one
+    shuffle, and a window per block.
 
-    Blocks that are hot in a sample of the documents take the other way, so no window holds a
-    large share of all documents. Which way a block takes does not change the result. Blocks are
-    made again for each use instead of being stored.
+    Blocks that are hot in a sample of the documents are known to meet: their rows are dealt to
+    many windows and all stay, so no window holds a large share of all documents. Which blocks
+    the sample finds does not change the result.
     """
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("sample")), 33) / F.lit(2.0**31)
     hot = (
         send(marked.where(draw < F.lit(SAMPLE_DOCS / max(1, classes))))
         .groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
-        .select("block")
+        .select("block", F.lit(True).alias("hot"))
     )
-    sent = send(marked)
     hot = stored(hot, "hot")  # at most a tenth of the sampled rows
-    here = Window.partitionBy("block")
-    cold = (
-        sent.join(F.broadcast(hot), "block", "left_anti")
-        .withColumn("pivot", F.min("cls").over(here))
-        .withColumn("last", F.max("cls").over(here))
-        .where("pivot < last")
-        .select(*_MEETING)
+    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("cls"), F.lit(PARTS))).otherwise(0)
+    here = Window.partitionBy("block", "part")
+    return (
+        send(marked)
+        .join(hot, "block", "left")
+        .withColumn("part", part)
+        .withColumn("apart", F.min("cls").over(here) < F.max("cls").over(here))
+        .where("hot or apart")
+        .select(*_ROW)
     )
-    if hot.isEmpty():
-        return cold
-    return cold.union(_meeting(sent.join(F.broadcast(hot), "block", "left_semi")))
 
 
 def linked_components(
@@ -488,7 +491,7 @@ def linked_components(
         )
         keys_of = ["cls", "step"]
         meeting = meeting.join(splittable(enough, keys_of), keys_of, "left_semi")
-        meeting = stored(_meeting(meeting.drop("pivot")), "meeting")
+        meeting = stored(_meeting(meeting.select(*_ROW)), "meeting")
     families = components(
         meeting.where("cls <> pivot")
         .select(F.col("cls").alias("u"), F.col("pivot").alias("v"))
