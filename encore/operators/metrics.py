@@ -8,6 +8,8 @@ taking its own counts off the totals.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,23 +20,32 @@ from encore.operators.ranking import top_share
 F1_EPSILON = 1e-10
 
 
-def threshold_table(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score: positives/negatives at it and at or above it, plus totals."""
+def threshold_table(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per distinct score: positives/negatives at it and at or above it, plus totals.
+
+    With ``by`` (few non-null groups, as models), scores and totals are those of a group.
+    """
+    by = list(by)
     positive = F.col(label).cast("int") == 1
     counts = (
         df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("threshold"))
+        .groupBy(*by, F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
-    totals = counts.agg(
-        F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("totals")
-    ).scalar()
-    return (
-        running_totals(counts, "threshold", ["pos", "neg"], descending=True)
-        .withColumnsRenamed({"pos_to": "tp", "neg_to": "fp"})
-        .withColumn("totals", totals)
-        .select("threshold", "pos", "neg", "tp", "fp", F.col("totals.p").alias("p"),
-                F.col("totals.n").alias("n"))
+    whole = [F.sum("pos").alias("p"), F.sum("neg").alias("n")]
+    running = running_totals(counts, "threshold", ["pos", "neg"], descending=True, by=by)
+    running = running.withColumnsRenamed({"pos_to": "tp", "neg_to": "fp"})
+    if by:
+        totals = running.groupBy(*by).agg(*whole)
+        return running.join(totals, by).select(
+            *by, "threshold", "pos", "neg", "tp", "fp", "p", "n"
+        )
+    totals = counts.agg(F.struct(*whole).alias("totals")).scalar()
+    return running.withColumn("totals", totals).select(
+        "threshold", "pos", "neg", "tp", "fp", F.col("totals.p").alias("p"),
+        F.col("totals.n").alias("n"),
     )
 
 
@@ -114,13 +125,13 @@ def _precision_before() -> Column:
     return F.coalesce(F.try_divide(tp.cast("double"), tp + fp), F.lit(1.0))
 
 
-def curve_areas(thresholds: DataFrame) -> DataFrame:
-    """One row: ROC area (ties count half), trapezoid PR area, average precision.
+def curve_areas(thresholds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row (per group): ROC area (ties count half), trapezoid PR area, average precision.
 
     A metric that needs both classes is null when one is missing.
     """
     usable = (F.col("p") > 0) & (F.col("n") > 0)
-    return thresholds.agg(
+    return thresholds.groupBy(*by).agg(
         F.sum(F.when(usable, _roc_step())).alias("roc_auc"),
         F.sum(
             F.when(F.col("p") > 0, _recall_step() * (_precision() + _precision_before()) / 2)

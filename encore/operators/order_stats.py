@@ -243,29 +243,34 @@ def value_frequencies(df: DataFrame, value: str | Column, by: Sequence[str] = ()
 
 
 def running_totals(
-    df: DataFrame, value: str, measures: Sequence[str], descending: bool = False
+    df: DataFrame, value: str, measures: Sequence[str], descending: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<measure>_to``: the total over all rows up to this one, in order of ``value``.
 
-    ``df`` must hold each value once (group first), so that no range of values is hot. It is
-    sorted into ranges by a shuffle and written to the shared folder with the number of its
-    range. A row's total is that of the earlier ranges, of which there are as many as shuffle
-    partitions, plus the running total inside its range.
+    ``df`` must hold each value once (per group ``by``; group first), so that no range of values
+    is hot. It is sorted into ranges by a shuffle and written to the shared folder with the
+    number of its range. A row's total is that of the earlier ranges of its group, of which there
+    are as many as shuffle partitions, plus the running total inside its range. Groups are few
+    and not null; any of them may hold most rows.
     """
+    by = list(by)
     key = F.col(value).cast("double")
     placed = stored(
         df.withColumn("_key", -key if descending else key)
-        .repartitionByRange("_key")
+        .repartitionByRange(*by, "_key")
         .withColumn("_range", F.spark_partition_id()),
         "totals",
     )
-    totals = placed.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures])
-    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(  # a row per shuffle partition
-        "_range", *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"{m}_o") for m in measures]
+    totals = placed.groupBy(*by, "_range").agg(*[F.sum(m).alias(m) for m in measures])
+    ahead = Window.partitionBy(*by).orderBy("_range") if by else Window.orderBy("_range")
+    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(  # a row per shuffle partition, and one more per group
+        *by, "_range",
+        *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"{m}_o") for m in measures],
     )
-    inside = Window.partitionBy("_range").orderBy("_key")
+    inside = Window.partitionBy("_range", *by).orderBy("_key")
     sums = {f"{m}_i": F.sum(m).over(inside) for m in measures}
-    return placed.withColumns(sums).join(F.broadcast(offsets), "_range").select(
+    return placed.withColumns(sums).join(F.broadcast(offsets), [*by, "_range"]).select(
         *df.columns, *[(F.col(f"{m}_i") + F.col(f"{m}_o")).alias(f"{m}_to") for m in measures]
     )

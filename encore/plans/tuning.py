@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.metrics import best_f1_threshold, curve_areas, threshold_table
+from encore.operators.newton import Problem, fit_together, held_out_scores
 from encore.operators.ranking import top_share
 from encore.operators.split import assign_folds
 from encore.plans.preprocessing import FEATURES, KEY, LABEL
@@ -47,75 +48,71 @@ def _fit(
     return logistic(candidate.c, candidate.iterations, total).fit(with_weights(part, weights))
 
 
-def average_precision(model, part: DataFrame) -> float:
-    scored = score(model, part.select(FEATURES, LABEL))
-    return curve_areas(threshold_table(scored, "y_true", "y_proba")).first()["average_precision"]
-
-
-def _fold_scores(
-    train: DataFrame, fold: int, c: float, weighting: str | None, limits: list[int],
-    sizes: dict[float, int],
-) -> dict[Candidate, float]:
-    """Scores of one fold for all iteration limits.
-
-    A fit that stops before its limit would stop at the same point under any higher limit,
-    so only limits that were reached need another fit.
-    """
-    fitted = train.where(F.col("fold") != fold)
-    held_out = train.where(F.col("fold") == fold)
-    scores: dict[Candidate, float] = {}
-    converged = None
-    for limit in sorted(limits):
-        candidate = Candidate(c, limit, weighting)
-        if converged is None:
-            model = _fit(fitted, candidate, sizes)
-            scores[candidate] = average_precision(model, held_out)
-            if model.summary.totalIterations < limit:
-                converged = scores[candidate]
-        else:
-            scores[candidate] = converged
-    return scores
-
-
 def grid_search(
-    train: DataFrame, settings: Settings = DEFAULTS, parallelism: int = 4
+    train: DataFrame, settings: Settings = DEFAULTS
 ) -> list[tuple[Candidate, float]]:
-    """Mean average precision over the folds per setting, best first (ties: grid order)."""
+    """Mean average precision over the folds per setting, best first (ties: grid order).
+
+    All settings and folds are fitted together by Newton steps (``fit_together``) and scored in
+    one scan. A limit that is not reached does not bind, so limits share their steps.
+    """
     folded = assign_folds(train, LABEL, KEY, settings.folds, settings.seed)
     folded = spread(folded, settings.train_partitions)
-    folded = folded.select(FEATURES, LABEL, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    counts = folded.groupBy("fold", LABEL).count().collect()  # labels were counted by the folds
-    sizes: dict[int, dict[float, int]] = {fold: {} for fold in range(settings.folds)}
-    for row in counts:
-        for fold in sizes:
-            if fold != row["fold"]:
-                sizes[fold][row[LABEL]] = sizes[fold].get(row[LABEL], 0) + row["count"]
-    grid = [
-        Candidate(c, limit, weighting)
-        for c in settings.grid_c
-        for weighting in settings.grid_weights
-        for limit in settings.grid_iterations
-    ]
-    tasks = [
-        (fold, c, weighting)
-        for c in settings.grid_c
-        for weighting in settings.grid_weights
-        for fold in range(settings.folds)
-    ]
-
-    @inheritable_thread_target(train.sparkSession)
-    def run(task):
-        fold, c, weighting = task
-        return _fold_scores(
-            folded, fold, c, weighting, settings.grid_iterations, sizes[fold]
-        )
-
+    folded = folded.select(
+        vector_to_array(FEATURES).alias(FEATURES), LABEL, F.col("fold").cast("int").alias("fold")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPool(parallelism) as pool:
-            parts = pool.map(run, tasks, chunksize=1)
+        return _grid_scores(folded, settings)
     finally:
         folded.unpersist()
-    means = {g: sum(p[g] for p in parts if g in p) / settings.folds for g in grid}
+
+
+def _grid_scores(folded: DataFrame, settings: Settings) -> list[tuple[Candidate, float]]:
+    counted = folded.groupBy("fold", LABEL).agg(
+        F.count("*").alias("n"), F.max(F.size(FEATURES)).alias("width")
+    ).collect()  # labels were counted by the folds
+    sizes: dict[int, dict[float, int]] = {fold: {} for fold in range(settings.folds)}
+    for row in counted:
+        for fold in sizes:
+            if fold != row["fold"]:
+                sizes[fold][row[LABEL]] = sizes[fold].get(row[LABEL], 0) + row["n"]
+    width = max((row["width"] for row in counted), default=0)
+    problems = {}
+    for c in settings.grid_c:
+        for weighting in settings.grid_weights:
+            for fold, own in sizes.items():
+                weights = balanced(own) if weighting == "balanced" else {}
+                problems[c, weighting, fold] = Problem(
+                    1.0 / c, (weights.get(0.0, 1.0), weights.get(1.0, 1.0)), fold
+                )
+    fits = dict(
+        zip(problems, fit_together(
+            folded, list(problems.values()), width, sizes, max(settings.grid_iterations)
+        ))
+    )
+    # Limits that end at the same point are one model.
+    numbers: dict[tuple, int] = {}
+    models: dict[int, list] = {fold: [] for fold in sizes}
+    used: dict[Candidate, list[int]] = {}
+    for c in settings.grid_c:
+        for weighting in settings.grid_weights:
+            for limit in settings.grid_iterations:
+                for fold in sizes:
+                    fit = fits[c, weighting, fold]
+                    steps = min(limit, len(fit.path) - 1)
+                    key = (c, weighting, fold, steps)
+                    if key not in numbers:
+                        numbers[key] = len(numbers)
+                        models[fold].append((numbers[key], fit.after(steps)))
+                    used.setdefault(Candidate(c, limit, weighting), []).append(numbers[key])
+    scored = held_out_scores(folded, models, width)
+    areas = curve_areas(threshold_table(scored, LABEL, "score", ["problem"]), ["problem"])
+    score_of = {r["problem"]: r["average_precision"] for r in areas.collect()}
+    means = {
+        g: sum(score_of.get(i) or 0.0 for i in found) / settings.folds
+        for g, found in used.items()
+    }
+    grid = list(used)
     return sorted(means.items(), key=lambda item: (-item[1], grid.index(item[0])))
 
 

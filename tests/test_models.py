@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.fixture import SETTINGS, Fixture
+from encore.operators import newton
+from encore.operators.metrics import curve_areas, threshold_table
 from encore.plans import preprocessing, stages, training, tuning, weak_labels
 from encore.sources.catalog import Catalog
 
@@ -113,12 +115,105 @@ def test_trees_do_not_depend_on_input_partitions(spark):
 def test_iteration_limits_that_do_not_bind_share_a_score(spark):
     df, _, _ = small_frame(spark)
     settings = replace(SMALL, grid_iterations=[1, 200, 300])
-    found = dict(tuning.grid_search(df, settings, parallelism=2))
+    found = dict(tuning.grid_search(df, settings))
     for c in settings.grid_c:
         scores = [found[tuning.Candidate(c, n, "balanced")] for n in (1, 200, 300)]
         assert scores[1] == scores[2]
 
 
+def plain_average_precision(label, score):
+    order = np.argsort(-score, kind="stable")
+    label, score = label[order], score[order]
+    last = np.concatenate((score[1:] != score[:-1], [True]))
+    tp, n = np.cumsum(label)[last], np.flatnonzero(last) + 1
+    return float((np.diff(np.concatenate(([0], tp))) / label.sum() * tp / n).sum())
+
+
+def test_grid_search_equals_single_fits(spark):
+    df, _, _ = small_frame(spark)
+    settings = replace(SMALL, grid_c=[0.01, 1.0, 10.0], grid_weights=["balanced", None], folds=3)
+    found = dict(tuning.grid_search(df, settings))
+    folded = tuning.assign_folds(df, "label", "row_key", 3, settings.seed).cache()
+    for c in settings.grid_c:
+        for weighting in settings.grid_weights:
+            scores = []
+            for fold in range(3):
+                part, rest = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+                weighted = training.with_weights(part, training.class_weights(part, weighting))
+                total = weighted.agg(F.sum("weight")).first()[0]
+                single = training.logistic(c, 500, total).setTol(1e-12).fit(weighted)
+                rows = training.score(single, rest).select("y_true", "y_proba").toPandas()
+                scores.append(plain_average_precision(*rows.to_numpy().T))
+            got = found[tuning.Candidate(c, settings.grid_iterations[-1], weighting)]
+            assert got == pytest.approx(sum(scores) / 3, abs=1e-6)
+
+
+def newton_rows(spark, x, y, folds):
+    rows = [([float(v) for v in a], float(b), int(f)) for a, b, f in zip(x, y, folds)]
+    return spark.createDataFrame(rows, "features array<double>, label double, fold int")
+
+
+def test_problems_fitted_together(spark, monkeypatch):
+    """Against Newton steps in plain numpy; with badly scaled rows, one class and no rows."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3)) * [1, 30, 0.01]
+    y = (x[:, 0] + rng.normal(size=300) > 0.7).astype(float)
+    folds = rng.integers(0, 3, 300)
+    y[folds != 2] = np.where(rng.random((folds != 2).sum()) < 0.5, 0.0, y[folds != 2])
+    rows = newton_rows(spark, x, y, folds).repartition(5)
+    problems = [newton.Problem(0.1, (1.0, 4.0), 0), newton.Problem(10.0, left_out=1),
+                newton.Problem(1e-4), newton.Problem(1.0, penalize_intercept=True)]
+    counts = {
+        f: {c: int(((y == c) & ((folds != f) if f is not None else True)).sum()) for c in (0.0, 1.0)}
+        for f in (0, 1, 2, None)
+    }
+    passes = []
+    one_pass = newton._pass
+    monkeypatch.setattr(newton, "_pass", lambda *a: passes.append(1) or one_pass(*a))
+    fits = newton.fit_together(rows, problems, 3, counts)
+    assert len(passes) <= 15
+    for problem, fit in zip(problems, fits):
+        used = folds != problem.left_out if problem.left_out is not None else folds >= 0
+        w = np.where(y[used] == 1, problem.weights[1], problem.weights[0])
+        xb = np.hstack([x[used], np.ones((used.sum(), 1))])
+        ridge = np.diag([problem.penalty] * 3 + [problem.penalty * problem.penalize_intercept])
+        beta = np.zeros(4)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-xb @ beta))
+            grad = xb.T @ (w * (p - y[used])) + ridge @ beta
+            beta -= np.linalg.solve((xb * (w * p * (1 - p))[:, None]).T @ xb + ridge, grad)
+        assert fit.converged and fit.path[-1] == pytest.approx(beta, rel=1e-6, abs=1e-6)
+    one, none = newton.fit_together(
+        rows, [newton.Problem(1.0), newton.Problem(1.0, left_out=0)], 3,
+        {None: {1.0: 300}, 0: {}})
+    assert list(one.path[-1]) == [0, 0, 0, np.inf] and list(none.path[-1]) == [0, 0, 0, 0]
+
+
+def test_step_that_raises_the_loss_is_halved(spark):
+    """From a far start plain Newton steps diverge on separable rows with a small penalty."""
+    x = np.array([[v] for v in (-3.0, -2.0, -1.0, 1.0, 2.0, 50.0)])
+    y = np.array([0.0, 0, 0, 1, 1, 1])
+    rows = newton_rows(spark, x, y, [0] * 6)
+    fit, = newton.fit_together(rows, [newton.Problem(1e-3)], 1, {None: {0.0: 3, 1.0: 3}})
+    beta = fit.path[-1]
+    p = 1 / (1 + np.exp(-(x[:, 0] * beta[0] + beta[1])))
+    assert fit.converged
+    assert abs(x[:, 0] @ (p - y) + 1e-3 * beta[0]) < 1e-5 and abs((p - y).sum()) < 1e-5
+
+
+def test_thresholds_and_areas_by_group(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(g), float(rng.random() < 0.3), float(rng.integers(0, 15)) / 15)
+            for g in rng.choice([0, 1, 2], 400, p=[0.8, 0.15, 0.05])]
+    df = spark.createDataFrame(rows, "problem int, label double, score double")
+    got = {r.problem: r for r in curve_areas(
+        threshold_table(df, "label", "score", ["problem"]), ["problem"]).collect()}
+    for g in (0, 1, 2):
+        alone = curve_areas(threshold_table(df.where(F.col("problem") == g), "label", "score")).first()
+        for name in ("roc_auc", "prc_auc", "average_precision"):
+            assert got[g][name] == pytest.approx(alone[name], abs=1e-12)
+
+
 def test_preprocessor_scales_and_names(spark):
     base = {c: "cast(id * id % 17 as double)" for c in SETTINGS.numeric + SETTINGS.payment_numeric}
     df = spark.range(40).selectExpr(
