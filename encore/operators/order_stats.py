@@ -1,17 +1,19 @@
 """Exact order statistics and running totals that never sort a whole column in one task.
 
-Ranks are found by counting, level by level. The rows between the smallest and the largest value
-are counted in bins of equal width straight from the table, so the counts are combined before the
-shuffle and no value travels. Bins that hold a wanted rank are kept; the next level cuts each of
-them between its own smallest and largest value. It ends when those are equal. Edges come from
-the data at every level, so values that lie close together cost a level more, never a full bin.
+A rank is bracketed, then counted. The first scan takes the number of rows, both ends and a grid
+of approximate quantiles, which gives a bracket of a few thousandths of the rows around every
+wanted rank. The second scan counts the rows below each bracket and those inside by value; both
+are combined before the shuffle. What is inside is ordered: on the driver while it is small, else
+by cutting stored counts into bins, level by level, between the smallest and largest value left.
+The counts prove which bracket holds a rank; one that misses its rank (approximations may) is
+replaced by the gap that holds it. So results are exact, and no value is hot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,9 @@ from pyspark.sql.window import Window
 from encore.session import stored
 
 BINS = 1024
+#: Approximate quantiles that the first scan takes, at even steps; rows counted per value that
+#: the driver orders itself.
+GRID, SMALL = 1000, 50_000
 #: Groups (labels, column names) whose statistics are found together.
 MAX_GROUPS = 10_000
 
@@ -70,6 +75,79 @@ def _bin(kind: T.DataType) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class _Open:
+    """Ranks {rank: names} of a group whose values lie between lo and hi, after ``before`` rows."""
+
+    group: tuple
+    lo: float | int | Decimal
+    hi: float | int | Decimal
+    before: int
+    wanted: dict[int, list[str]]
+
+
+def _widened(lo, hi, kind: T.DataType):
+    """A bracket whose ends went through doubles, with room for their rounding."""
+    if isinstance(kind, T.DoubleType):
+        return lo, hi
+    if isinstance(kind, T.LongType):
+        return lo - abs(lo) // 2**50 - 1, hi + abs(hi) // 2**50 + 1
+    with localcontext() as context:
+        context.prec = 60
+        unit = Decimal(1).scaleb(-kind.scale)
+        return (
+            (lo - abs(lo) / 2**50 - unit).quantize(unit),
+            (hi + abs(hi) / 2**50 + unit).quantize(unit),
+        )
+
+
+def _brackets(row, wanted: dict[int, list[str]], kind: T.DataType) -> list[tuple]:
+    """Disjoint intervals, in order, that should hold the wanted ranks of a group."""
+    found: list[tuple] = []
+    for k in sorted(wanted):
+        step = (k - 1) / max(1, row.n - 1) * GRID
+        lo, hi = row.grid[max(0, int(step) - 1)], row.grid[min(GRID, -int(-step // 1) + 1)]
+        if lo is None or hi is None:
+            lo, hi = row.lo, row.hi
+        lo, hi = _widened(lo, hi, kind)
+        lo = row.lo if step <= 1 else max(lo, row.lo)
+        hi = row.hi if step >= GRID - 1 else min(hi, row.hi)
+        if found and lo <= found[-1][1]:
+            lo, hi = found[-1][0], max(hi, found.pop()[1])
+        found.append((lo, hi))
+    return found
+
+
+def _zoned(
+    rows: DataFrame, brackets: Mapping[tuple, list[tuple]], by: Sequence[str], kind: T.DataType
+) -> DataFrame:
+    """Rows (by, _zone, _v, _n): zone 2 i + 1 is the i-th bracket of a group, with a row per
+    value; zone 2 i is the gap before it, one row without value."""
+    v = F.col("_v")
+    if by:
+        arrays = T.ArrayType(kind)
+        fields = [T.StructField(c, rows.schema[c].dataType) for c in by]
+        fields += [T.StructField("_lows", arrays), T.StructField("_highs", arrays)]
+        ends = [
+            (*group, [lo for lo, _ in found], [hi for _, hi in found])
+            for group, found in brackets.items()
+        ]
+        bounds = rows.sparkSession.createDataFrame(ends, T.StructType(fields))
+        rows = rows.join(F.broadcast(bounds), list(by))  # a row per group
+        zone = F.size(F.filter("_lows", lambda x: x <= v))
+        zone = zone + F.size(F.filter("_highs", lambda x: x < v))
+    else:
+        zone = F.lit(0)
+        for lo, hi in brackets[()]:
+            zone = zone + (v >= F.lit(lo).cast(kind)).cast("int")
+            zone = zone + (v > F.lit(hi).cast(kind)).cast("int")
+    placed = rows.withColumn("_zone", zone)
+    inside = F.when(F.col("_zone") % 2 == 1, v).cast(kind)
+    return placed.groupBy(*by, "_zone", inside.alias("_inside")).agg(
+        F.count("*").alias("_n")
+    ).select(*by, "_zone", F.col("_inside").alias("_v"), "_n")
+
+
 def order_statistics(
     df: DataFrame,
     value: str | Column,
@@ -82,21 +160,22 @@ def order_statistics(
     value None. Null and NaN are left out; a group without values has no entry. Values keep
     their type: bigint and decimal are compared exactly, other numbers as doubles. ``by`` must be
     non-null columns with few distinct values (a label, a column name); more than MAX_GROUPS
-    raise. Runs a job per level: a scan of the columns used, with bins combined before the
-    shuffle.
+    raise. Two scans of the columns used, whatever the distribution.
     """
-    spark = df.sparkSession
     rows, kind = _typed(df, value, by)
+    grid = F.percentile_approx("_v", [i / GRID for i in range(GRID + 1)], 10 * GRID)
     whole = (
         rows.groupBy(*by)
-        .agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        .agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+             grid.alias("grid"))
         .where("n > 0").limit(MAX_GROUPS + 1).collect()
     )
     if len(whole) > MAX_GROUPS:
         raise ValueError(f"order statistics in more than {MAX_GROUPS} groups")
     result: dict[tuple, dict[str, Found]] = {}
     sizes: dict[tuple, int] = {}
-    open_bins: list[tuple] = []  # group, lo, hi, rows before, rows inside, {rank: names}
+    wanted_of: dict[tuple, dict[int, list[str]]] = {}
+    brackets: dict[tuple, list[tuple]] = {}
     for row in whole:
         group = tuple(row[c] for c in by)
         sizes[group] = row.n
@@ -104,30 +183,95 @@ def order_statistics(
         result[group] = {}
         for name, rank in ranks.items():
             k = int(rank(row.n))
-            if 1 <= k <= row.n:
-                wanted.setdefault(k, []).append(name)
-            else:
+            if not 1 <= k <= row.n:
                 result[group][name] = Found(None, 0, 0, row.n)
+            elif row.lo == row.hi:
+                result[group][name] = Found(row.lo, 0, row.n, row.n)
+            else:
+                wanted.setdefault(k, []).append(name)
         if wanted:
-            open_bins.append((group, row.lo, row.hi, 0, row.n, wanted))
+            wanted_of[group] = wanted
+            brackets[group] = _brackets(row, wanted, kind)
+    if not brackets:
+        return result
+
+    def settle(group, names, found) -> None:
+        for name in names:
+            result[group][name] = found
+
+    few = sum(sizes[g] * 3 * len(b) // GRID for g, b in brackets.items()) <= SMALL
+    zoned = _zoned(rows, brackets, by, kind)
+    counted = zoned.limit(2 * SMALL + 1).collect() if few else []
+    if few and len(counted) <= 2 * SMALL:
+        totals: dict[tuple, dict[int, int]] = {}
+        values: dict[tuple, list[tuple]] = {}
+        for r in counted:
+            key = tuple(r[c] for c in by)
+            totals.setdefault(key, {}).setdefault(r["_zone"], 0)
+            totals[key][r["_zone"]] += r["_n"]
+            if r["_zone"] % 2:
+                values.setdefault((*key, r["_zone"]), []).append((r["_v"], r["_n"]))
+        inside = None
+    else:
+        inside = stored(zoned, "inside")
+        values, totals = {}, {}
+        for r in inside.groupBy(*by, "_zone").agg(F.sum("_n").alias("n")).collect():
+            totals.setdefault(tuple(r[c] for c in by), {})[r["_zone"]] = r["n"]
+    ends = {tuple(row[c] for c in by): (row.lo, row.hi) for row in whole}
+    held, missed = [], []
+    for group, wanted in wanted_of.items():
+        before = 0
+        for zone in range(2 * len(brackets[group]) + 1):
+            size = totals[group].get(zone, 0)
+            here = {k: names for k, names in wanted.items() if before < k <= before + size}
+            if here and zone % 2 and inside is None:
+                below = before
+                for v, n in sorted(values[(*group, zone)]):
+                    for k, names in here.items():
+                        if below < k <= below + n:
+                            settle(group, names, Found(v, below, n, sizes[group]))
+                    below += n
+            elif here and zone % 2:
+                held.append(_Open(group, *brackets[group][zone // 2], before, here))
+            elif here:  # the bracket missed: what lies between its neighbours
+                left = brackets[group][zone // 2 - 1][1] if zone else ends[group][0]
+                after = brackets[group][zone // 2:]
+                right = after[0][0] if after else ends[group][1]
+                # rows on the ends belong to the brackets
+                less = _rows_at(rows, group, by, left) if zone else 0
+                missed.append(_Open(group, left, right, before - less, here))
+            before += size
+    once = rows.withColumn("_n", F.lit(1).cast("long"))
+    for table, open_ in ((inside, held), (once, missed)):
+        if open_:
+            for group, names, found in _by_levels(table, kind, by, open_, sizes):
+                settle(group, names, found)
+    return result
+
+
+def _rows_at(rows: DataFrame, group: tuple, by: Sequence[str], value) -> int:
+    """Rows of a group that equal a value."""
+    here = F.col("_v") == F.lit(value)
+    for c, own in zip(by, group):
+        here = here & (F.col(c) == F.lit(own))
+    return rows.where(here).count()
+
+
+def _by_levels(
+    rows: DataFrame, kind: T.DataType, by: Sequence[str], todo: list[_Open],
+    sizes: Mapping[tuple, int],
+):
+    """Cut the rows (by, _v, _n) between lo and hi into bins, again and again, until the bin of a
+    wanted rank holds one value. Yields (group, names, Found)."""
+    spark = rows.sparkSession
     fields = [T.StructField(c, rows.schema[c].dataType) for c in by]
     fields += [T.StructField("_id", T.IntegerType()), T.StructField("_lo", kind),
                T.StructField("_hi", kind), T.StructField("_ranks", T.ArrayType(T.LongType()))]
-    while open_bins:
-        still = []
-        for group, lo, hi, before, inside, wanted in open_bins:
-            if lo == hi:
-                for names in wanted.values():
-                    for name in names:
-                        result[group][name] = Found(lo, before, inside, sizes[group])
-            else:
-                still.append((group, lo, hi, before, inside, wanted))
-        open_bins = []
-        if not still:
-            break
+    rows = rows.where("_v is not null")
+    while todo:
         bounds = spark.createDataFrame(
-            [(*g, i, lo, hi, [k - before for k in wanted])
-             for i, (g, lo, hi, before, _, wanted) in enumerate(still)],
+            [(*x.group, i, x.lo, x.hi, [k - x.before for k in x.wanted])
+             for i, x in enumerate(todo)],
             T.StructType(fields),
         )  # at most one row per group and rank
         if by:
@@ -136,16 +280,17 @@ def order_statistics(
         else:
             cases = F.lit(None).cast("int")
             low, high = F.lit(None).cast(kind), F.lit(None).cast(kind)
-            for i, (_, lo, hi, *_) in enumerate(still):  # disjoint, at most one per rank
-                here = F.col("_v").between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+            for i, x in enumerate(todo):  # disjoint, at most one per rank
+                here = F.col("_v").between(F.lit(x.lo).cast(kind), F.lit(x.hi).cast(kind))
                 cases = F.when(here, i).otherwise(cases)
-                low = F.when(here, F.lit(lo).cast(kind)).otherwise(low)
-                high = F.when(here, F.lit(hi).cast(kind)).otherwise(high)
-            placed = rows.select("_v", cases.alias("_id"), low.alias("_lo"), high.alias("_hi"))
+                low = F.when(here, F.lit(x.lo).cast(kind)).otherwise(low)
+                high = F.when(here, F.lit(x.hi).cast(kind)).otherwise(high)
+            placed = rows.select("_v", "_n", cases.alias("_id"), low.alias("_lo"),
+                                 high.alias("_hi"))
             placed = placed.where("_id is not null")
             counted = placed.groupBy("_id", _bin(kind).alias("_bin"))
         counted = counted.agg(
-            F.count("*").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+            F.sum("_n").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
         )
         if not by:
             counted = counted.join(F.broadcast(bounds.select("_id", "_ranks")), "_id")
@@ -155,12 +300,17 @@ def order_statistics(
                 "_ranks", lambda k: (k <= F.col("_upto")) & (k > F.col("_upto") - F.col("_n"))
             )
         )
+        following = []
         for row in hit.collect():
-            group, _, _, before, _, wanted = still[row["_id"]]
-            start = before + row["_upto"] - row["_n"]
-            here = {k: v for k, v in wanted.items() if start < k <= before + row["_upto"]}
-            open_bins.append((group, row["_from"], row["_to"], start, row["_n"], here))
-    return result
+            x = todo[row["_id"]]
+            start = x.before + row["_upto"] - row["_n"]
+            here = {k: v for k, v in x.wanted.items() if start < k <= x.before + row["_upto"]}
+            if row["_from"] == row["_to"]:
+                for names in here.values():
+                    yield x.group, names, Found(row["_from"], start, row["_n"], sizes[x.group])
+            else:
+                following.append(_Open(x.group, row["_from"], row["_to"], start, here))
+        todo = following
 
 
 def _interpolated(found: dict[str, Found], name: str, p: float) -> float | None:

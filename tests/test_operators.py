@@ -288,3 +288,46 @@ def test_histogram_equals_numpy(spark):
     want, _ = np.histogram([3.0, 3.0], bins=5)
     got = {r.bin: r.n for r in profile.histogram(same, "v", 5).collect()}
     assert [got.get(i, 0) for i in range(5)] == want.tolist()
+
+
+@pytest.mark.parametrize("shift,small", [(0, 50_000), (0, 0), (5, 50_000), (-7, 0)])
+def test_brackets_that_miss_their_rank(spark, monkeypatch, shift, small):
+    """Exact ranks when approximate quantiles are off, and when the inside is ordered by levels."""
+    rng = random.Random(shift)
+    values = [float(rng.choice([rng.gauss(0, 1), 0.25, -1e9, rng.randrange(50)])) for _ in range(3000)]
+    rows = [(rng.choice("aab"), v) for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    honest = order_stats._brackets
+
+    def moved(row, wanted, kind):
+        found = honest(row, wanted, kind)
+        return [(lo + shift, hi + shift) for lo, hi in found]
+
+    monkeypatch.setattr(order_stats, "_brackets", moved)
+    monkeypatch.setattr(order_stats, "SMALL", small)
+    ranks = {"one": lambda n: 1, "low": lambda n: n // 100 + 1, "mid": lambda n: n // 2,
+             "next": lambda n: n // 2 + 1, "high": lambda n: n - 20, "last": lambda n: n,
+             "none": lambda n: n + 1}
+    for by in ([], ["g"]):
+        got = order_stats.order_statistics(df, "v", ranks, by)
+        for group in {tuple(r[:1]) if by else () for r in rows}:
+            own = sorted(v for g, v in rows if not by or (g,) == group)
+            for name, rank in ranks.items():
+                k, found = rank(len(own)), got[group][name]
+                if name == "none":
+                    assert found.value is None
+                    continue
+                assert found.value == own[k - 1] and found.n == len(own)
+                assert found.below == sum(v < own[k - 1] for v in own)
+                assert found.equal == own.count(own[k - 1])
+
+
+def test_ranks_take_two_scans(spark, monkeypatch):
+    """Whatever the distribution: bounds and grid, then counts."""
+    df = spark.range(200_000).selectExpr("case when id % 3 = 0 then 7 else exp(id / 9000) end as v")
+    levels = []
+    monkeypatch.setattr(order_stats, "_by_levels", lambda *a: levels.append(1) or iter(()))
+    got = order_stats.order_statistics(df, "v", {"a": lambda n: n // 2, "b": lambda n: n - 3})[()]
+    assert not levels
+    own = sorted(r.v for r in df.collect())
+    assert (got["a"].value, got["b"].value) == (own[99_999], own[199_996])
