@@ -6,13 +6,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from encore.sources.quoted_lines import read_quoted_csv
 from encore.sources.schemas import RAW, REPORTS
 
 MODELS = [
     "random_forest", "logistic", "boosted_a", "boosted_b", "tuned_logistic", "ssl_logistic",
 ]
 
-# Free text may hold line breaks; only such files are read whole, all others can be split.
+# Free text may hold line breaks; such files are split where records end.
 MULTI_LINE = {"reviews"}
 
 # Name -> (format, path below the base folder).
@@ -48,14 +49,11 @@ TABLES: dict[str, tuple[str, str]] = {
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
 ) -> DataFrame:
-    """Headed CSV; a quote inside quoted text is doubled."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """Headed CSV; a quote inside quoted text is doubled. Files are read by many tasks, also
+    where quoted text may hold line breaks (``multi_line``)."""
+    if multi_line:
+        return read_quoted_csv(spark, path, schema)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
