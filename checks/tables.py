@@ -907,12 +907,33 @@ SCORED = (
                    "else 'neutral' end)")
     + " end as sentiment from fx_reviews"
 )
+
+
+def _words_sql(stems: list[str], negated: bool) -> str:
+    stems_ = f"(?:{'|'.join(stems)})"
+    turned = f"[^\\p{{L}}](?:{'|'.join(sentiment.NEGATIONS)})[ \\t\\r\\n]+{stems_}"
+    count = "len(regexp_extract_all(' ' || " + PLAIN + ", '{}'))"
+    if negated:
+        return count.format(turned)
+    return f"({count.format(f'[^\\p{{L}}]{stems_}')} - {count.format(turned)})"
+
+
+CONTENT, DISCONTENT = (
+    f"({_words_sql(a, False)} + {_words_sql(b, True)})"
+    for a, b in (
+        (sentiment.CONTENT_STEMS, sentiment.DISCONTENT_STEMS),
+        (sentiment.DISCONTENT_STEMS, sentiment.CONTENT_STEMS),
+    )
+)
+LEXICON = (
+    f"(case when {CONTENT} > {DISCONTENT} then 'positive' when {CONTENT} < {DISCONTENT} "
+    "then 'negative' else 'neutral' end)"
+)
 register(
     "sentiment_scoring",
-    lambda f: features.review_sentiment(f.reviews, lambda: delay_is_negative).select(
-        "review_id", "order_id", "sentiment"
-    ),
-    f"select review_id, order_id, sentiment from ({SCORED})",
+    lambda f: features.review_sentiment(f.reviews).select("review_id", "order_id", "sentiment"),
+    f"select review_id, order_id, case when {PLAIN} = '' then 'No comment' else "
+    f"{override_sql(LEXICON)} end as sentiment from fx_reviews",
 )
 register(
     "review_features_sentiment",

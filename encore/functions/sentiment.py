@@ -19,6 +19,19 @@ POSITIVE_KEYWORDS = [
 SHORT_COMMENT_PHRASES = ["tudo certo", "tudo ok", "site confiável", "cumpriu", "conforme"]
 SHORT_COMMENT_WORDS = 5
 
+# Words of the built-in predictor, in plain text: what tells that a buyer is content or not.
+# Beginnings of words, so that endings do not matter.
+CONTENT_STEMS = [
+    "ótim", "otim", "excelent", "perfeit", "maravilh", "adorei", "amei", "gostei", "recomend",
+    "satisfeit", "rápid", "rapid", "bonit", "lind", "qualidade", "parabéns", "bom", "boa", "bem",
+]
+DISCONTENT_STEMS = [
+    "atras", "ruim", "péssim", "pessim", "horríve", "horrive", "defeit", "quebrad", "errad",
+    "falt", "reclam", "devol", "decepcion", "problem", "danific", "demor", "insatisfeit", "pior",
+]
+# A word before them that turns their meaning.
+NEGATIONS = ["não", "nao", "nunca", "sem", "nem"]
+
 NO_COMMENT = "No comment"
 
 
@@ -49,6 +62,26 @@ def keyword_override(plain: Column, sentiment: Column) -> Column:
     return F.when((sentiment == "neutral") & lifted, F.lit("positive")).otherwise(sentiment)
 
 
+def _counted(plain: Column, stems: list[str], negated: bool) -> Column:
+    """Words that begin with a stem, with or without a negation right before them."""
+    words = rf"(?<![\p{{L}}])(?:{'|'.join(stems)})"
+    before = rf"(?<![\p{{L}}])(?:{'|'.join(NEGATIONS)})[ \t\r\n]+(?:{'|'.join(stems)})"
+    turned = F.regexp_count(plain, F.lit(before))
+    return turned if negated else F.regexp_count(plain, F.lit(words)) - turned
+
+
+def lexicon_label(plain: Column) -> Column:
+    """POS, NEU or NEG by the majority of content and discontent words; a negation turns a word.
+
+    ``plain`` is ``plain_text`` of the comment. The built-in predictor, as a column expression.
+    """
+    content = _counted(plain, CONTENT_STEMS, False) + _counted(plain, DISCONTENT_STEMS, True)
+    discontent = _counted(plain, DISCONTENT_STEMS, False) + _counted(plain, CONTENT_STEMS, True)
+    return (
+        F.when(content > discontent, "POS").when(content < discontent, "NEG").otherwise("NEU")
+    )
+
+
 def is_blank(text: Column) -> Column:
     return strip(F.coalesce(text, F.lit(""))) == ""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.ml.base import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from encore.functions.sentiment import (
     blank_label,
     is_blank,
     keyword_override,
+    lexicon_label,
     plain_text,
     sentiment_name,
     verified_rating,
@@ -33,8 +35,8 @@ from encore.operators.ranking import first_per_key, in_top_values
 from encore.plans.cleaning import ITEM_ORDER
 from encore.plans.settings import DEFAULTS, Settings
 
-Predictor = Callable[[pd.Series], pd.Series]
-PredictorFactory = Callable[[], Predictor]
+PredictorFactory = Callable[[], Callable[[pd.Series], pd.Series]]
+Predictor = PredictorFactory | Transformer | None
 
 
 def order_facts(
@@ -125,10 +127,28 @@ def score_texts(
     )
 
 
-def review_sentiment(reviews: DataFrame, predictor: PredictorFactory) -> DataFrame:
+def label_texts(
+    texts: DataFrame, column: str, key: str, predictor: Predictor
+) -> DataFrame:
+    """(key, _plain, model_label) by a predictor of any kind.
+
+    None is the built-in lexicon; a fitted ``PipelineModel`` reads the column ``text`` (plain
+    text) and gives a string column ``label``; both run as column expressions. Anything else is
+    a factory of a function on pandas series, for models that need Python.
+    """
+    if predictor is not None and not isinstance(predictor, Transformer):
+        return score_texts(texts, column, key, predictor)
+    plain = texts.select(key, plain_text(F.col(column)).alias("_plain"))
+    if predictor is None:
+        return plain.withColumn("model_label", lexicon_label(F.col("_plain")))
+    scored = predictor.transform(plain.withColumn("text", F.col("_plain")))
+    return scored.select(key, "_plain", F.col("label").alias("model_label"))
+
+
+def review_sentiment(reviews: DataFrame, predictor: Predictor = None) -> DataFrame:
     """Add ``sentiment``: model label of the comment, lifted by keywords; blank has its own.
 
-    Each distinct comment is scored and looked through once, under a 256-bit digest, so texts
+    Without a predictor the built-in lexicon labels (see ``label_texts`` for others). Each distinct comment is scored and looked through once, under a 256-bit digest, so texts
     are shuffled once and joins carry digests. Blank comments reach neither model nor join.
     """
     comment = "review_comment_message"
@@ -136,7 +156,7 @@ def review_sentiment(reviews: DataFrame, predictor: PredictorFactory) -> DataFra
     blank = is_blank(F.col(comment))
     asked = known.where(~blank).withColumn("_digest", F.sha2(comment, 256))
     texts = asked.groupBy("_digest").agg(F.min(comment).alias(comment))
-    scored = score_texts(texts, comment, "_digest", predictor)
+    scored = label_texts(texts, comment, "_digest", predictor)
     override = keyword_override(F.col("_plain"), sentiment_name(F.col("model_label")))
     decided = scored.select("_digest", blank_label(F.col("_plain"), override).alias("sentiment"))
     labelled = asked.join(splittable(decided, ["_digest"]), "_digest").drop("_digest")
@@ -147,16 +167,15 @@ def review_sentiment(reviews: DataFrame, predictor: PredictorFactory) -> DataFra
 
 
 def review_features(
-    reviews: DataFrame, run_sentiment: bool = False, predictor: PredictorFactory | None = None
+    reviews: DataFrame, run_sentiment: bool = False, predictor: Predictor = None
 ) -> DataFrame:
     """Review scores per order; with sentiment, also whether score and comment agree.
 
-    Without sentiment the comment is just dropped. With it, reviews without a comment go.
+    Without sentiment the comment is just dropped. With it, reviews without a comment go. The
+    default predictor is the built-in lexicon.
     """
     if not run_sentiment:
         return reviews.drop("review_comment_message")
-    if predictor is None:
-        raise ValueError("sentiment needs a predictor factory: () -> (texts -> POS/NEU/NEG)")
     checked = review_sentiment(reviews, predictor).where(F.col("sentiment") != NO_COMMENT)
     return checked.withColumn(
         "is_verified", verified_rating(F.col("sentiment"), F.col("review_score"))

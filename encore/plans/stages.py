@@ -46,7 +46,7 @@ def run_feature_engineering(
     clean: Tables,
     settings: Settings = DEFAULTS,
     catalog: Catalog | None = None,
-    predictor: features.PredictorFactory | None = None,
+    predictor: features.Predictor = None,
 ) -> Tables:
     """Clean tables to the model table."""
     t: Tables = dict(clean)
@@ -156,7 +156,7 @@ def run_all(
     raw: Tables,
     settings: Settings = DEFAULTS,
     catalog: Catalog | None = None,
-    predictor: features.PredictorFactory | None = None,
+    predictor: features.Predictor = None,
 ) -> tuple[Tables, dict[str, Trained]]:
     """Every stage in order: raw tables to models and reports."""
     tables = run_data_engineering(raw, settings, catalog)

@@ -95,3 +95,15 @@ def test_verified_rating_covers_all_pairs(spark):
     assert got == (
         [False, False, False, True, True] + [False, False, True, True, True]
         + [True, True, False, False, False] + [None] * 5)
+
+
+@pytest.mark.parametrize("comment,label", [
+    ("Produto ótimo, recomendo", "POS"), ("chegou atrasado e quebrado", "NEG"),
+    ("não gostei", "NEG"), ("sem defeitos", "POS"), ("não  recomendo, péssimo!", "NEG"),
+    ("entrega no prazo", "NEU"), ("bom produto mas atrasou", "NEU"), ("embora", "NEU"), ("", "NEU"),
+    ("Não, bom", "POS"), ("BOM", "POS"), ("nunca atrasa e nem falta", "POS"),
+])
+def test_lexicon_label(spark, comment, label):
+    df = spark.createDataFrame([(comment,)], "c string")
+    plain = sentiment.plain_text(F.col("c"))
+    assert df.select(sentiment.lexicon_label(plain)).first()[0] == label

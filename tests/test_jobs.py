@@ -159,9 +159,44 @@ def test_review_features(spark):
     got = {r.order_id: (r.sentiment, r.is_verified)
            for r in features.review_features(df, True, lambda: predict).collect()}
     assert got == {1: ("positive", True), 2: ("negative", True), 5: ("negative", False)}
-    with pytest.raises(ValueError):
-        features.review_features(df, True)
+    default = {r.order_id: r.sentiment for r in features.review_features(df, True).collect()}
+    assert default.keys() == got.keys() and set(default.values()) <= {"positive", "neutral", "negative"}
 
 
 def test_defaults_are_usable():
     assert Settings().first_year == 2016 and len(Settings().numeric) == 17
+
+
+def test_sentiment_predictors(spark):
+    """The lexicon by default, a fitted pipeline, or a function on series; each in one label."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, IndexToString, Tokenizer
+
+    rows = [("r1", 5, "Produto ótimo"), ("r2", 1, "chegou quebrado"), ("r3", 3, " "),
+            ("r4", 4, "entrega normal"), ("r5", 2, None), ("r6", 1, "chegou quebrado")]
+    reviews = spark.createDataFrame(
+        rows, "order_id string, review_score int, review_comment_message string")
+
+    def labels(predictor=None):
+        return {r.order_id: r.sentiment
+                for r in features.review_sentiment(reviews, predictor).collect()}
+
+    assert labels() == {"r1": "positive", "r2": "negative", "r3": "No comment", "r4": "neutral",
+                        "r5": "No comment", "r6": "negative"}
+    train = spark.createDataFrame(
+        [("produto ótimo", 0.0), ("chegou quebrado", 1.0), ("entrega normal", 1.0)],
+        "text string, y double")
+    model = Pipeline(stages=[
+        Tokenizer(inputCol="text", outputCol="words"),
+        HashingTF(inputCol="words", outputCol="x", numFeatures=256),
+        LogisticRegression(featuresCol="x", labelCol="y", maxIter=50),
+        IndexToString(inputCol="prediction", outputCol="label", labels=["POS", "NEG"]),
+    ]).fit(train)
+    found = labels(model)
+    assert (found["r1"], found["r2"], found["r4"]) == ("positive", "negative", "negative")
+    plan = features.review_sentiment(reviews, model)._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan
+    checked = features.review_features(reviews, True).collect()
+    assert {(r.order_id, r.is_verified) for r in checked} == {
+        ("r1", True), ("r2", True), ("r4", True), ("r6", True)}
