@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from checks.fixture import SETTINGS, Fixture
 from checks.twins import clipped, days, haversine, stamp
 from encore.functions import sentiment, text, times
 from encore.functions.geo import haversine_km
-from encore.operators import aggregates, caps, filters, joins, order_stats, profile, ranking
+from encore.operators import (
+    aggregates, caps, filters, fitted, joins, order_stats, profile, ranking,
+)
 from encore.plans import cleaning, features
 from encore.session import scratch_folder, stored
 from encore.sources.catalog import Catalog, read_csv, write_csv
@@ -385,6 +388,30 @@ register(
     - epoch_us({stamp('order_delivered_customer_date')}), 0.5)) as bigint) as off from fx_orders)""",
     stamps="delivered estimated",
 )
+
+
+def _fitted_stages(f: Fixture) -> DataFrame:
+    """Caps learned on the items, stored and read back, applied to dearer items."""
+    catalog = Catalog(f.spark, scratch_folder(f.spark, "models"))
+    cap = fitted.PercentileCap(inputCols=["price", "freight_value"], lower=1.0, upper=99.0)
+    catalog.save_model(Pipeline(stages=[cap]).fit(f.items), "caps")
+    dearer = f.items.withColumns(
+        {c: F.col(c).cast("double") * 1.5 for c in ("price", "freight_value")}
+    )
+    return catalog.load_model("caps").transform(dearer).select(
+        "order_id", "order_item_id", "price", "freight_value"
+    )
+
+
+register(
+    "fitted_caps", _fitted_stages,
+    "select order_id, order_item_id, least(greatest(price * 1.5e0, pl), ph) as price, "
+    "least(greatest(freight_value * 1.5e0, fl), fh) as freight_value from fx_items, "
+    "(select quantile_cont(price, 0.01) as pl, quantile_cont(price, 0.99) as ph, "
+    "quantile_cont(freight_value, 0.01) as fl, quantile_cont(freight_value, 0.99) as fh "
+    "from fx_items)",
+    "price freight_value",
+)
 register(
     "flag_iqr_high",
     lambda f: f.items.select(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from encore.operators import (
-    aggregates, caps, filters, joins, order_stats, profile, ranking, scaling, split,
+    aggregates, caps, filters, fitted, joins, order_stats, profile, ranking, scaling, split,
 )
 
 
@@ -331,3 +331,46 @@ def test_ranks_take_two_scans(spark, monkeypatch):
     assert not levels
     own = sorted(r.v for r in df.collect())
     assert (got["a"].value, got["b"].value) == (own[99_999], own[199_996])
+
+
+def test_fitted_stages_are_stored_and_applied_to_new_rows(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    rng = random.Random(9)
+    values = [(float(rng.gauss(10, 5)), None, rng.randrange(100)) for _ in range(500)]
+    schema = "price double, none double, n int"
+    train = spark.createDataFrame(values + [(None, None, None)], schema)
+    cap = fitted.PercentileCap(inputCols=["price", "none", "n"], lower=5.0, upper=99.9)
+    model = Pipeline(stages=[cap]).fit(train)
+    model.write().overwrite().save(str(tmp_path / "caps"))
+    back = PipelineModel.load(str(tmp_path / "caps"))
+    new = spark.createDataFrame(
+        [(1e6, 1e6, 1000), (-1e6, -1e6, -1000), (10.0, None, 50), (None, None, None)], schema)
+    price = np.array([v[0] for v in values])
+    n = np.array([v[2] for v in values])
+    low, high = np.quantile(price, [0.05, 0.999])
+    got = back.transform(new).collect()
+    assert got == model.transform(new).collect()
+    assert [r.price for r in got] == [pytest.approx(high), pytest.approx(low), 10.0, None]
+    assert [r.none for r in got] == [1e6, -1e6, None, None]
+    assert [r.n for r in got] == [
+        pytest.approx(np.quantile(n, 0.999)), pytest.approx(np.quantile(n, 0.05)), 50, None]
+    only_upper = fitted.PercentileCap(inputCols=["n"], upper=50.0).fit(train).transform(new)
+    assert [r.n for r in only_upper.collect()] == [np.quantile(n, 0.5), -1000, min(50, np.quantile(n, 0.5)), None]
+    with pytest.raises(ValueError):
+        fitted.PercentileCap(inputCols=["n"], upper=101.0)
+
+
+def test_fitted_median_offset(spark, tmp_path):
+    days = "timestamp'2020-01-01' + make_interval(0, 0, 0, {})"
+    train = spark.range(7).selectExpr(
+        f"case when id < 5 then {days.format('cast(id as int)')} end as done",
+        f"{days.format('10')} as due")  # due - done: 10, 9, 8, 7, 6 days
+    new = spark.sql("select cast(null as timestamp) as done, timestamp'2021-05-20' as due "
+                    "union all select timestamp'2021-01-01', timestamp'2021-05-20'")
+    model = fitted.MedianOffsetFill(target="done", anchor="due").fit(train)
+    model.write().save(str(tmp_path / "offset"))
+    back = fitted.MedianOffsetFillModel.load(str(tmp_path / "offset"))
+    assert [str(r.done.date()) for r in back.transform(new).collect()] == ["2021-05-12", "2021-01-01"]
+    empty = fitted.MedianOffsetFill(target="done", anchor="due").fit(train.where("done is null"))
+    assert [r.done is None for r in empty.transform(new).collect()] == [True, False]
