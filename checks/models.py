@@ -259,6 +259,65 @@ def _vectors(df: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of the model table, the fractions with a dot after them.
+MODEL_TABLE = (
+    "deli_duration_exp deli_duration_paid deli_cost. free_delivery is_bulk discount item_price. "
+    "high_price credit_card. voucher. debit_card. boleto. total_spent. installment distance_km. "
+    "high_density_customer_area seller_repeat_buyer_rate. review_score product_category_name "
+    "product_name_length product_description_length product_photos_qty product_weight_g. "
+    "product_length_cm. product_height_cm. product_width_cm. is_repeat_buyer"
+).split()
+NUMERIC = [*SETTINGS.numeric, *SETTINGS.payment_numeric]
+REST = ["free_delivery", "is_bulk", "discount", "high_price"]
+
+
+def _key_text(column: str) -> str:
+    name = column.rstrip(".")
+    text = f"cast(round({name} * 1000000) as decimal(38,0))" if name != column else name
+    return f"coalesce(cast({text} as varchar), '\\N')"
+
+
+#: Rows of the model table with key, part and, for numeric columns, the moments of the train part.
+PREPARED = (
+    "with keyed as (select *, cast('0x' || substr(md5(concat_ws(chr(31), "
+    + ", ".join(map(_key_text, MODEL_TABLE))
+    + ")), 1, 15) as bigint) as row_key from tw_model_inputs), "
+    "parts as (select *, row_number() over (partition by is_repeat_buyer order by "
+    "md5(concat(cast(row_key as varchar), '|42'))) <= "
+    "round(count(*) over (partition by is_repeat_buyer) * 0.2) as test from keyed), "
+    "moments as (select "
+    + ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in NUMERIC)
+    + " from parts where not test), "
+    "categories as (select distinct product_category_name as category from parts where not test)"
+)
+VECTOR_SUM = " + ".join(
+    [f"coalesce(({c} - m_{c}) / nullif(s_{c}, 0), 0)" for c in NUMERIC]
+    + ["cast(category is not null as integer)"]
+    + [f"cast({c} as integer)" for c in REST]
+)
+
+
+def _vectors_sql(part: str) -> str:
+    return (
+        f"{PREPARED} select row_key, cast(is_repeat_buyer as double) as label, "
+        f"cast({len(NUMERIC) + len(REST)} + (select count(*) from categories) as integer) "
+        f"as n_features, {VECTOR_SUM} as feature_sum from moments, parts "
+        f"left join categories on product_category_name = category where {part}"
+    )
+
+
+NAMES_SQL = (
+    f"{PREPARED}, names as (select 0 as block, row_number() over () as place, name from (select "
+    f"unnest([{', '.join(repr(f'num__{c}') for c in NUMERIC)}]) as name) "
+    "union all select 1, row_number() over (order by category), "
+    "'cat__product_category_name_' || category from categories "
+    "union all select 2, row_number() over (), name from (select "
+    f"unnest([{', '.join(repr(f'remainder__{c}') for c in REST)}]) as name)) "
+    "select cast(row_number() over (order by block, place) - 1 as integer) as position, name "
+    "from names"
+)
+
+
 def _importance(f: Fixture) -> DataFrame:
     p = _prepared(f)
     trained = training.train_logistic(p.train, p.test, p.names, SETTINGS)
@@ -307,13 +366,16 @@ def _retrained(f: Fixture) -> DataFrame:
 
 Fixture.pseudo_labelled = property(_pseudo)
 
-register("fit_transform_train", lambda f: _vectors(_prepared(f).train))
-register("transform_test", lambda f: _vectors(_prepared(f).test))
+register("fit_transform_train", lambda f: _vectors(_prepared(f).train),
+         _vectors_sql("not test"), "feature_sum")
+register("transform_test", lambda f: _vectors(_prepared(f).test), _vectors_sql("test"),
+         "feature_sum")
 register(
     "feature_names",
     lambda f: f.spark.createDataFrame(list(enumerate(_prepared(f).names)), "position int, name string"),
+    f"select * from ({NAMES_SQL})",
 )
-register("model_save_load", _saved_model)
+register("model_save_load", _saved_model, _vectors_sql("test"), "feature_sum")
 register("train_generic", _generic)
 for _name in training.TRAINERS:
     register(f"train_{_name}", _train(_name))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.operators.ranking import (
     Cut,
@@ -21,8 +22,19 @@ MAX_LABELS = 100
 
 
 def content_key(df: DataFrame) -> Column:
-    """Text of a whole row, as key for tables without an id."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    """Text of a whole row, as key for tables without an id.
+
+    Fractions count in millionths, so that the key does not depend on how an engine prints or
+    sums them in the last digits. Null, NaN and infinite values have texts of their own.
+    """
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(field.name)
+        text = c.cast("string")
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            whole = F.round(c.cast("double") * 1_000_000).cast("decimal(38,0)").cast("string")
+            text = F.when(F.abs(c) < 1e30, whole).otherwise(text)
+        parts.append(F.coalesce(text, F.lit("\\N")))
     return F.concat_ws("\x1f", *parts)
 
 
