@@ -75,6 +75,66 @@ def _parquet_round_trip(f: Fixture) -> DataFrame:
     return catalog.save(f.clean_items, "clean_items")
 
 
+ORDER_LAYERS = {
+    "clean_orders": "clean_orders", "clean_items": "clean_items",
+    "clean_payments": "clean_payments", "mega_id_labels": "labels",
+}
+
+
+def _bucketed_facts(f: Fixture) -> DataFrame:
+    """What items take from their orders, from layers in buckets by order."""
+    catalog = Catalog(f.spark, scratch_folder(f.spark, "buckets"), buckets=16)
+    layers = {name: catalog.save(f.stored(view), name) for name, view in ORDER_LAYERS.items()}
+    facts = features.order_facts(
+        layers["clean_orders"], layers["clean_payments"], layers["mega_id_labels"], SETTINGS
+    )
+    return layers["clean_items"].select("order_id", "order_item_id").join(facts, "order_id").select(
+        "order_id", "order_item_id", "customer_id", "deli_duration_exp", "deli_duration_paid",
+        "is_repeat_buyer", "total_spent",
+    )
+
+
+register(
+    "bucketed_layers", _bucketed_facts,
+    f"""select i.order_id, i.order_item_id, l.customer_id,
+ {days('o.order_delivered_customer_date', 'o.order_estimated_delivery_date')} as deli_duration_exp,
+ {days('o.order_delivered_customer_date', 'o.order_approved_at')} as deli_duration_paid,
+ l.is_repeat_buyer, p.total_spent
+ from tw_clean_items i join tw_clean_orders o on i.order_id = o.order_id
+ join tw_labels l on i.order_id = l.order_id join tw_order_payments p on i.order_id = p.order_id""",
+    "total_spent",
+)
+
+
+def _layer_summary(f: Fixture) -> DataFrame:
+    """Counts and extremes taken while a layer is written."""
+    catalog = Catalog(f.spark, scratch_folder(f.spark, "layers"), summaries=True)
+    catalog.save(f.clean_items.select("order_id", "order_item_id", "seller_id"), "clean_items")
+    catalog.save(f.reviews, "clean_reviews")
+    found = [
+        catalog.summary(name).select(F.lit(name).alias("layer"), "*")
+        for name in ("clean_items", "clean_reviews")
+    ]
+    return found[0].unionByName(found[1]).where(
+        F.col("column").isin("order_id", "order_item_id", "seller_id", "review_score",
+                             "review_comment_message")
+    ).select("layer", "column", "non_null", "nulls", "minimum", "maximum", "n_rows")
+
+
+register(
+    "layer_summary", _layer_summary,
+    " union all ".join(
+        f"select '{layer}' as layer, '{c}' as \"column\", count({c}) as non_null, "
+        f"count(*) - count({c}) as nulls, cast(min({c}) as varchar) as minimum, "
+        f"cast(max({c}) as varchar) as maximum, count(*) as n_rows from {view}"
+        for layer, view, columns in [
+            ("clean_items", "tw_clean_items", ["order_id", "order_item_id", "seller_id"]),
+            ("clean_reviews", "fx_reviews",
+             ["order_id", "review_score", "review_comment_message"]),
+        ]
+        for c in columns
+    ),
+)
 register("sink_parquet", _parquet_round_trip, "select * from tw_clean_items",
          "price freight_value")
 register(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +106,54 @@ def table_info(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
+_ORDERED = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
+            T.TimestampNTZType)
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The table with counts and extremes that are taken while it is next written.
+
+    The result belongs to a new session with the same settings: where a session has observed
+    anything, Spark 4.1.2 cannot send a logistic model fitted in it to tasks.
+    """
+    spark = df.sparkSession
+    apart = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            apart.conf.set(key, value)
+    view = f"observed_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    rows = apart.table(f"global_temp.{view}")
+    spark.catalog.dropGlobalTempView(view)
+    wanted = [F.count(F.lit(1)).alias("rows")]
+    for i, field in enumerate(df.schema.fields):
+        column = F.col(f"`{field.name}`")
+        wanted.append(F.count(column).alias(f"n{i}"))
+        if isinstance(field.dataType, _ORDERED):
+            wanted += [F.min(column).cast("string").alias(f"lo{i}"),
+                       F.max(column).cast("string").alias(f"hi{i}")]
+    seen = Observation()
+    return rows.observe(seen, *wanted), seen
+
+
+def observed_info(df: DataFrame, seen: Observation) -> DataFrame:
+    """One row per column of a written table: type, values, nulls, extremes as text, rows.
+
+    Columns without an order, as arrays, have no extremes; nor have columns without values.
+    """
+    found = seen.get
+    rows = found["rows"]
+    return df.sparkSession.createDataFrame(
+        [
+            (i, name, dtype, found[f"n{i}"], rows - found[f"n{i}"], found.get(f"lo{i}"),
+             found.get(f"hi{i}"), rows)
+            for i, (name, dtype) in enumerate(df.dtypes)
+        ],
+        "position int, column string, type string, non_null long, nulls long, minimum string, "
+        "maximum string, n_rows long",
+    )
+
+
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width counts between minimum and maximum: (bin, lower, upper, n, density).
 

@@ -148,8 +148,9 @@ def label_texts(
 def review_sentiment(reviews: DataFrame, predictor: Predictor = None) -> DataFrame:
     """Add ``sentiment``: model label of the comment, lifted by keywords; blank has its own.
 
-    Without a predictor the built-in lexicon labels (see ``label_texts`` for others). Each distinct comment is scored and looked through once, under a 256-bit digest, so texts
-    are shuffled once and joins carry digests. Blank comments reach neither model nor join.
+    Without a predictor the built-in lexicon labels (see ``label_texts`` for others). Each
+    distinct comment is scored and looked through once, under a 256-bit digest, so texts are
+    shuffled once and joins carry digests. Blank comments reach neither model nor join.
     """
     comment = "review_comment_message"
     known = reviews.withColumn(comment, F.coalesce(F.col(comment), F.lit("")))
@@ -247,6 +248,7 @@ def distance_seller_stats(order_distances: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the model table.
 MODEL_COLUMNS = [
     "deli_duration_exp", "deli_duration_paid", "deli_cost", "free_delivery",
     "is_bulk", "discount", "item_price", "high_price",
@@ -271,14 +273,20 @@ def model_inputs(
 
     An item gets a distance only if it is its order's first (same product and seller). Rows
     with a missing value are dropped in the end, so every join may be inner; several reviews
-    of an order still multiply its rows.
+    of an order still multiply its rows. All joins by order come first and have the order as
+    their only key, so layers in buckets of it need no shuffle; the other keys are compared as
+    ranges, which Spark leaves to the join's condition.
     """
-    keys = ["order_id", "product_id", "seller_id", "customer_id", "customer_unique_id"]
+    same = ["product_id", "seller_id", "customer_id", "customer_unique_id"]
     columns = MODEL_COLUMNS + (["is_verified"] if "is_verified" in reviews.columns else [])
     review_columns = [c for c in ("review_score", "is_verified") if c in reviews.columns]
-    joined = (
-        transactions.join(seller_stats.drop("num_orders", "is_repeat_buyer"), keys)
-        .join(products, "product_id")
-        .join(reviews.select("order_id", *review_columns), "order_id")
+    distances = seller_stats.drop("num_orders", "is_repeat_buyer").withColumnsRenamed(
+        {c: f"_{c}" for c in same}
+    )
+    joined = transactions.join(distances, "order_id")
+    for c in same:
+        joined = joined.where(F.col(c).between(F.col(f"_{c}"), F.col(f"_{c}")))
+    joined = joined.join(reviews.select("order_id", *review_columns), "order_id").join(
+        products, "product_id"
     )
     return joined.select(*columns).na.drop().distinct()
