@@ -59,6 +59,9 @@ class Settings:
     tree_depth: int = 10
     logistic_c: float = 1.0
     logistic_iterations: int = 500
+    logistic_tolerance: float = 1e-6
+    # For all logistic models, also those of the grid.
+    penalize_intercept: bool = False
     boosted_a_rounds: int = 100
     boosted_a_rate: float = 0.1
     boosted_a_depth: int = 6

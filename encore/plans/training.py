@@ -23,6 +23,7 @@ from encore.operators.metrics import (
     threshold_table,
 )
 from encore.operators.ranking import top_share
+from encore.operators.ridge import RidgeLogistic
 from encore.operators.split import MAX_LABELS
 from encore.plans.preprocessing import FEATURES, KEY, LABEL
 from encore.plans.settings import DEFAULTS, Settings
@@ -83,10 +84,24 @@ def logistic_penalty(c: float, weight_sum: float) -> float:
     return 1.0 / (c * weight_sum)
 
 
-def logistic(c: float, iterations: int, weight_sum: float) -> LogisticRegression:
+def logistic(
+    c: float, iterations: int, weight_sum: float, penalize_intercept: bool = False,
+    tolerance: float = DEFAULTS.logistic_tolerance,
+) -> Estimator:
+    """Minimizes the weighted log loss plus |coefficients|^2 / (2 c).
+
+    Spark's solver never penalizes the intercept (and gives a constant feature no weight), so
+    that option fits by the Newton steps of the grid search.
+    """
+    if penalize_intercept:
+        return RidgeLogistic(
+            featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=iterations,
+            penalty=1.0 / c,
+        )
     return LogisticRegression(
         featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=iterations,
         regParam=logistic_penalty(c, weight_sum), elasticNetParam=0.0, standardization=False,
+        tol=tolerance,
     )
 
 
@@ -244,7 +259,10 @@ def train_random_forest(train, test, names, settings: Settings = DEFAULTS) -> Tr
 def train_logistic(train, test, names, settings: Settings = DEFAULTS) -> Trained:
     return train_classifier(
         train, test,
-        lambda total: logistic(settings.logistic_c, settings.logistic_iterations, total),
+        lambda total: logistic(
+            settings.logistic_c, settings.logistic_iterations, total,
+            settings.penalize_intercept, settings.logistic_tolerance,
+        ),
         names, partitions=settings.train_partitions, skip="logistic" in settings.skip,
     )
 

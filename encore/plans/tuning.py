@@ -5,8 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,14 +37,17 @@ class Candidate:
 
 
 def _fit(
-    part: DataFrame, candidate: Candidate, sizes: dict[float, int]
-) -> LogisticRegressionModel:
+    part: DataFrame, candidate: Candidate, sizes: dict[float, int], settings: Settings
+) -> Model:
     """Fit on rows of known class sizes, so that weights cost no job."""
     weights = dict.fromkeys(sizes, 1.0)
     if candidate.weighting == "balanced":
         weights = balanced(sizes)
     total = sum(weights[c] * size for c, size in sizes.items())
-    return logistic(candidate.c, candidate.iterations, total).fit(with_weights(part, weights))
+    return logistic(
+        candidate.c, candidate.iterations, total, settings.penalize_intercept,
+        settings.logistic_tolerance,
+    ).fit(with_weights(part, weights))
 
 
 def grid_search(
@@ -83,7 +85,8 @@ def _grid_scores(folded: DataFrame, settings: Settings) -> list[tuple[Candidate,
             for fold, own in sizes.items():
                 weights = balanced(own) if weighting == "balanced" else {}
                 problems[c, weighting, fold] = Problem(
-                    1.0 / c, (weights.get(0.0, 1.0), weights.get(1.0, 1.0)), fold
+                    1.0 / c, (weights.get(0.0, 1.0), weights.get(1.0, 1.0)), fold,
+                    settings.penalize_intercept,
                 )
     fits = dict(
         zip(problems, fit_together(
@@ -142,7 +145,7 @@ def tune_logistic(
     ranking = grid_search(train, settings)
     best, best_score = ranking[0]
     rows = spread(train, settings.train_partitions).select(FEATURES, LABEL)
-    model = _fit(rows, best, class_sizes(rows))
+    model = _fit(rows, best, class_sizes(rows), settings)
     tuned = at_best_threshold(model, test, names, settings)
     tuned.metrics["best_params"] = {
         "C": best.c, "max_iter": best.iterations, "class_weight": best.weighting,

@@ -64,7 +64,10 @@ def retrain(labelled: DataFrame, settings: Settings = DEFAULTS) -> Trained:
     )
     try:
         total = weighted.agg(F.sum("weight")).first()[0]
-        model = logistic(1.0, settings.retrain_iterations, total).fit(weighted)
+        model = logistic(
+            1.0, settings.retrain_iterations, total, settings.penalize_intercept,
+            settings.logistic_tolerance,
+        ).fit(weighted)
     finally:
         weighted.unpersist()
     trained = at_best_threshold(

@@ -4,8 +4,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import functions as F
 
 from encore.operators import metrics
+from encore.operators.evaluator import RankingEvaluator
 
 
 def frame(spark, pairs):
@@ -82,3 +87,46 @@ def test_top_share_precision(spark):
     df = frame(spark, pairs)
     assert metrics.top_share_precision(df, "y", "s", "id").first()[0] == 1.0
     assert metrics.top_share_precision(df.limit(9), "y", "s", "id").first()[0] is None
+
+
+@pytest.mark.parametrize("levels", [2, 1000])
+def test_evaluator_equals_curve_areas(spark, levels, tmp_path):
+    rng = random.Random(levels + 1)
+    pairs = [(int(rng.random() < 0.3), rng.randint(0, levels) / levels) for _ in range(200)]
+    df = frame(spark, pairs)
+    vectors = df.withColumn("probability", array_to_vector(F.array(1 - F.col("s"), F.col("s"))))
+    for name, value in zip(("roc_auc", "prc_auc", "average_precision"), brute(pairs)):
+        plain = RankingEvaluator(labelCol="y", scoreCol="s", metricName=name)
+        assert plain.evaluate(df) == pytest.approx(value, rel=1e-12)
+        vector = RankingEvaluator(labelCol="y", metricName=name)
+        assert vector.evaluate(vectors) == pytest.approx(value, rel=1e-12)
+    plain.write().overwrite().save(str(tmp_path / "e"))
+    again = RankingEvaluator.load(str(tmp_path / "e"))
+    assert again.evaluate(df) == plain.evaluate(df) and again.isLargerBetter()
+    assert plain.evaluate(df.where("y = 0")) == 0.0 and plain.evaluate(df.limit(0)) == 0.0
+    with pytest.raises(ValueError):
+        RankingEvaluator(metricName="f1")
+
+
+def test_evaluator_selects_over_given_folds(spark):
+    """A grid search over a fold column; means equal those of single fits."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(240, 2))
+    y = (x[:, 0] + rng.normal(size=240) > 0.4).astype(float)
+    df = spark.createDataFrame(
+        [(float(y[i]), i % 3, [float(v) for v in x[i]]) for i in range(240)],
+        "label double, fold int, a array<double>").withColumn("features", array_to_vector("a"))
+    model = LogisticRegression(standardization=False)
+    grid = ParamGridBuilder().addGrid(model.regParam, [0.01, 5.0]).addGrid(
+        model.maxIter, [1, 30]).build()
+    search = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=RankingEvaluator(),
+                            numFolds=3, foldCol="fold", parallelism=2)
+    got = search.fit(df).avgMetrics
+    for params, mean in zip(grid, got):
+        scores = []
+        for fold in range(3):
+            fitted = model.copy(params).fit(df.where(F.col("fold") != fold))
+            scored = fitted.transform(df.where(F.col("fold") == fold))
+            pairs = [(int(r.label), float(r.probability[1])) for r in scored.collect()]
+            scores.append(brute(pairs)[2])
+        assert mean == pytest.approx(sum(scores) / 3, abs=1e-9)

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.fixture import SETTINGS, Fixture
-from encore.operators import newton
+from encore.operators import newton, ridge
 from encore.operators.metrics import curve_areas, threshold_table
 from encore.plans import preprocessing, stages, training, tuning, weak_labels
 from encore.sources.catalog import Catalog
@@ -95,6 +95,49 @@ def test_logistic_equals_newton_solution(spark):
     assert list(trained.importance) == ["b", "a", "c"]
 
 
+def test_penalized_intercept_equals_newton_solution(spark, tmp_path):
+    """Stored, scored and searched like the free one."""
+    df, x, y = small_frame(spark)
+    settings = replace(SMALL, penalize_intercept=True, logistic_c=0.05)
+    trained = training.train_logistic(df, df, ["a", "b", "c"], settings)
+    w = np.where(y == 1, 200 / (2 * y.sum()), 200 / (2 * (200 - y.sum())))
+    xb = np.hstack([x, np.ones((200, 1))])
+    beta = np.zeros(4)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-xb @ beta))
+        grad = xb.T @ (w * (p - y)) + beta / 0.05
+        beta -= np.linalg.solve((xb * (w * p * (1 - p))[:, None]).T @ xb + np.eye(4) / 0.05, grad)
+    fitted = trained.model.stages[0]
+    assert fitted.coefficients.toArray() == pytest.approx(beta[:3], abs=1e-6)
+    assert fitted.getOrDefault("intercept") == pytest.approx(beta[3], abs=1e-6)
+    assert list(trained.importance) == ["b", "a", "c"]
+    catalog = Catalog(spark, str(tmp_path))
+    catalog.save_model(trained.model, "logistic")
+    loaded = catalog.load_model("logistic").transform(df)
+    got = {r.row_key: r.probability[1] for r in loaded.select("row_key", "probability").collect()}
+    assert [got[i] for i in range(200)] == pytest.approx(list(1 / (1 + np.exp(-xb @ beta))), abs=1e-6)
+    assert trained.predictions.columns == ["row_key", "features", "y_true", "y_pred", "y_proba"]
+    settings = replace(settings, grid_c=[0.05], grid_iterations=[200])
+    tuned = tuning.tune_logistic(df, df, ["a", "b", "c"], settings)
+    again = tuned.model.stages[0].coefficients.toArray()
+    assert again == pytest.approx(beta[:3], abs=1e-6)
+
+
+def test_ridge_edges(spark):
+    df, _, _ = small_frame(spark)
+    one = ridge.RidgeLogistic().fit(df.where("label = 1"))
+    assert {r.prediction for r in one.transform(df).collect()} == {1.0}
+    none = ridge.RidgeLogistic().fit(df.limit(0)).transform(df.limit(0))
+    assert none.count() == 0 and "probability" in none.columns
+    plain = ridge.RidgeLogistic(penalty=0.5).fit(df)
+    with_null = df.unionByName(df.limit(1).withColumn("label", F.lit(None).cast("double")))
+    assert ridge.RidgeLogistic(penalty=0.5).fit(with_null).coefficients == plain.coefficients
+    with pytest.raises(ValueError):
+        ridge.RidgeLogistic(weightCol="w").fit(df.withColumn("w", F.col("row_key") * 1.0))
+    with pytest.raises(ValueError):
+        ridge.RidgeLogistic().fit(df.withColumn("label", F.col("label") + 1))
+
+
 def test_same_seed_same_result_and_skip(spark):
     df, _, _ = small_frame(spark)
     a, b = (training.train_random_forest(df, df, ["a", "b", "c"], SMALL).metrics for _ in range(2))
