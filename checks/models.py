@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.fixture import SETTINGS, Fixture
 from checks.tables import register
-from encore.operators import metrics, scaling, split
+from encore.operators import metrics, ridge, scaling, split
 from encore.plans import preprocessing, stages, training, tuning, weak_labels
 from encore.session import scratch_folder
 from encore.sources.catalog import Catalog
@@ -390,6 +391,98 @@ register("pseudo_label", lambda f: _pseudo(f).select("item_price", "review_score
 register("retrain_on_pseudo", _retrained)
 
 
+#: Features of the model that SQL fits, too: balanced classes, penalty 1, intercept penalized.
+FEW = ["review_score", "distance_km"]
+STEPS = 12
+
+
+def _ridge(f: Fixture) -> DataFrame:
+    """Test rows scored by a logistic model of two features with a penalized intercept."""
+    p = _prepared(f)
+    slicer = VectorSlicer(
+        inputCol="features", outputCol="few", indices=[p.names.index(f"num__{c}") for c in FEW]
+    )
+    train = slicer.transform(p.train)
+    train = training.with_weights(train, training.class_weights(train, "balanced"))
+    model = ridge.RidgeLogistic(featuresCol="few", weightCol=training.WEIGHT).fit(train)
+    return model.transform(slicer.transform(p.test)).select(
+        "row_key", F.col("label").cast("int").alias("y_true"),
+        vector_to_array("probability")[1].alias("y_proba"), "prediction",
+    )
+
+
+def _newton_step(i: int) -> str:
+    """Coefficients after step i + 1 from those after step i, by Cramer's rule."""
+    x = ["1.0e0", "x1", "x2"]
+    sums = [f"sum(w * (p - y) * {x[j]}) + max(b{j}) as g{j}" for j in range(3)]
+    sums += [
+        f"sum(w * p * (1 - p) * {x[j]} * {x[k]}){' + 1' if j == k else ''} as h{j}{k}"
+        for j in range(3) for k in range(j, 3)
+    ]
+    return (
+        f"s{i} as materialized (select {', '.join(sums)}, max(b0) as b0, max(b1) as b1, "
+        "max(b2) as b2 from (select *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) as p "
+        f"from fitted, c{i})), "
+        f"d{i} as (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) "
+        f"+ h02 * (h01 * h12 - h11 * h02) as det from s{i}), "
+        f"c{i + 1} as materialized (select "
+        "b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) "
+        "+ h02 * (g1 * h12 - h11 * g2)) / det as b0, "
+        "b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) "
+        "+ h02 * (h01 * g2 - g1 * h02)) / det as b1, "
+        "b2 - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - h02 * g1) "
+        f"+ g0 * (h01 * h12 - h11 * h02)) / det as b2 from d{i})"
+    )
+
+
+RIDGE_SQL = (
+    f"{PREPARED}, scaled as materialized (select row_key, test, "
+    "cast(is_repeat_buyer as integer) as y, "
+    + ", ".join(f"({c} - m_{c}) / s_{c} as x{i}" for i, c in enumerate(FEW, 1))
+    + " from moments, parts), fitted as materialized (select *, "
+    "count(*) over () / (2.0e0 * count(*) over (partition by y)) as w from scaled where not test), "
+    "c0 as (select 0.0e0 as b0, 0.0e0 as b1, 0.0e0 as b2), "
+    + ", ".join(map(_newton_step, range(STEPS)))
+    + " select row_key, y as y_true, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) as y_proba, "
+    "case when b0 + b1 * x1 + b2 * x2 > 0 then 1.0e0 else 0.0e0 end as prediction "
+    f"from scaled, c{STEPS} where test"
+)
+register("ridge_scores", _ridge, RIDGE_SQL, "y_proba")
+
+
+def _scored_rows(name: str):
+    """What of a scored test part does not depend on the solver."""
+
+    def query(f: Fixture) -> DataFrame:
+        p = _prepared(f)
+        trained = training.TRAINERS[name](p.train, p.test, p.names, SETTINGS)
+        support = trained.metrics["classification_report"]
+        return trained.predictions.select(
+            "row_key", "y_true", F.col("y_proba").between(0, 1).alias("is_share"),
+            ((F.col("y_proba") > 0.5) == (F.col("y_pred") == 1)).alias("is_majority"),
+            F.lit(support[0]["support"]).alias("negatives"),
+            F.lit(support[1]["support"]).alias("positives"),
+        )
+
+    return query
+
+
+for _name in ("logistic", "random_forest"):
+    register(
+        f"scored_rows_{_name}", _scored_rows(_name),
+        f"select * from ({PREPARED} select row_key, cast(is_repeat_buyer as integer) as y_true, "
+        "true as is_share, true as is_majority, "
+        "cast(sum(cast(not is_repeat_buyer as integer)) over () as bigint) as negatives, "
+        "cast(sum(cast(is_repeat_buyer as integer)) over () as bigint) as positives "
+        "from parts where test)",
+    )
+register(
+    "importance_names",
+    lambda f: _importance(f).select("feature", (F.col("importance") >= 0).alias("is_weight")),
+    f"select name as feature, true as is_weight from ({NAMES_SQL})",
+)
+
+
 def _stages(f: Fixture) -> DataFrame:
     """Raw tables to model table through the stage functions and a catalog."""
     raw = {
