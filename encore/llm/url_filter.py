@@ -6,8 +6,9 @@ branch only if its labelled pages differ: branches whose share of bad pages is s
 similar to that of their siblings are merged into the wildcard. A template is rejected if its
 share of bad pages, smoothed towards that of its host and of all pages, reaches ``reject``.
 
-A page is labelled by the row of the label table that has its id: bad if its quality is 0 or it
-is toxic.
+A page is labelled by the label of the document that it shows: bad if its quality is 0 or it is
+toxic. That document is the one whose number ends the path, as in ``/en/4033`` or
+``/en/4033.html``; other ways to name it can be given.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import itertools
 import string
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from encore.operators.joins import splittable
 #: Levels that are always written; wildcards after them and after the last branch are one ``**``.
 LEVELS = 4
 #: A branch of its own needs so many pages; no share of its parent's is asked for.
-LEAST_PAGES, LEAST_SHARE = 20, 0.0
+LEAST_PAGES = 20
 #: Branches differ if the shares of bad pages differ by so many standard errors.
 DIFFERENT = 2.58
 #: Smoothing: so many pages with the parent's share are added.
@@ -64,6 +66,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def document_number(path: Column) -> Column:
+    """The number that ends a path, before a suffix such as ``.html``; null if there is none."""
+    digits = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[A-Za-z0-9]+)?/?$", 1)
+    return F.when(digits != "", digits).cast("long")
+
+
 def _longest_rule(rules: tuple[Rule, ...]) -> Column:
     ordered = sorted(rules, key=lambda r: (len(r.text), r.text), reverse=True)
     found = F.lit(None).cast("string")
@@ -80,29 +88,51 @@ def _bad_share(bad: str, labelled: str, prior: Column) -> Column:
     return (F.col(bad) + F.lit(SMOOTHING) * prior) / (F.col(labelled) + F.lit(SMOOTHING))
 
 
+def _may_split() -> Column:
+    """Parents below which a branch can still get a template of its own: enough pages, good and
+    bad ones among the labelled, and paths that are not all the same from here on."""
+    return (
+        (F.col("pn") >= LEAST_PAGES)
+        & (F.col("pb") > 0)
+        & (F.col("pb") < F.col("pl"))
+        & (F.col("first") != F.col("last"))
+    )
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """Adds ``template`` to (page_id, host, path, labelled, bad)."""
+    """Adds ``template`` to (page_id, host, path, labelled, bad).
+
+    After the first LEVELS levels only pages below parents that may still split are taken on.
+    """
     rows = pages.withColumn(
         "segments", F.filter(F.split("path", "/"), lambda s: s != "")
     ).withColumn("template", F.lit(""))
-    sums = [F.count("*").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b")]
     rows = rows.withColumn("written", F.lit("")).withColumn("depth", F.lit(LEVELS))
+    finished: list[DataFrame] = []
     for level in itertools.count():
-        if level >= LEVELS:
-            rows = stored(rows, "levels")
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
+        rest = F.slice("segments", F.lit(level + 1), F.greatest(F.size("segments"), F.lit(1)))
         branches = stored(
-            rows.where("segment is not null").groupBy("host", "template", "segment").agg(*sums),
+            rows.where("segment is not null").groupBy("host", "template", "segment").agg(
+                F.count("*").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b"),
+                F.min(rest).alias("first"), F.max(rest).alias("last"),
+            ),
             "branches",
         )
         parents = branches.groupBy("host", "template").agg(
-            F.sum("n").alias("pn"), F.sum("l").alias("pl"), F.sum("b").alias("pb")
-        )
+            F.sum("n").alias("pn"), F.sum("l").alias("pl"), F.sum("b").alias("pb"),
+            F.min("first").alias("first"), F.max("last").alias("last"),
+        ).where(_may_split()).select("host", "template", "pn", "pl", "pb")
         key = ["host", "template"]
-        able = (F.col("pn") >= LEAST_PAGES) & (F.col("pl") > 0)
-        if level >= LEVELS and parents.where(able).isEmpty():
-            break  # branches below have fewer pages still
-        compared = branches.join(splittable(parents, key), key).where(
+        if level >= LEVELS:
+            open_ = splittable(parents, key).select(*key, F.lit(True).alias("open"))
+            rows = stored(rows.join(open_, key, "left"), "levels")
+            ends = F.col("open").isNull() | F.col("segment").isNull()
+            finished.append(rows.where(ends).drop("open", "segment"))
+            rows = rows.where(~ends).drop("open")
+            if rows.isEmpty():
+                break
+        compared = branches.drop("first", "last").join(splittable(parents, key), key).where(
             F.col("n") >= LEAST_PAGES
         )
         rest_l, rest_b = F.col("pl") - F.col("l"), F.col("pb") - F.col("b")
@@ -132,27 +162,37 @@ def templates(pages: DataFrame) -> DataFrame:
             )
         rows = rows.drop("own", "segment")
     deeper = F.size("segments") > F.col("depth")
-    return rows.withColumn(
+    return reduce(DataFrame.unionByName, finished).withColumn(
         "template", F.when(deeper, F.concat("written", F.lit("/**"))).otherwise(F.col("written"))
-    ).drop("segments", "segment", "written", "depth")
+    ).drop("segments", "written", "depth")
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(
+    pages: DataFrame,
+    labels: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    document: Column | None = None,
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, bad_share), one row per row of ``pages``.
 
     The longest fitting rule decides, else the template: block if its smoothed share of bad
     pages is at least 0.5, else allow. Null urls and urls without ``://`` have empty host and
-    path and share one template. A page with several labels is bad if one of them is; null
-    labels count as good. Without labels the share is 0. An empty table gives no rows; other
-    columns are ignored.
+    path and share one template. ``document`` names the document whose labels a page has, by
+    columns of ``pages``; without it the number that ends the path does. A page with several
+    labels is bad if one of them is; null labels count as good. Without labels the share is 0.
+    An empty table gives no rows; other columns are ignored.
     """
     host, path = host_and_path(F.col("url"))
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
     marked = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
         F.max(F.coalesce(bad, F.lit(0))).alias("_bad")
     )
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rows = rows.join(splittable(marked, ["_id"]), F.col("page_id") == F.col("_id"), "left")
+    if document is None:
+        document = document_number(path)
+    rows = pages.select(
+        "page_id", host.alias("host"), path.alias("path"), document.alias("_document")
+    )
+    rows = rows.join(splittable(marked, ["_id"]), F.col("_document") == F.col("_id"), "left")
     rows = stored(
         rows.select(
             "page_id", "host", "path",

@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from encore.llm import extraction, url_filter
 
@@ -86,7 +87,7 @@ def brute_templates(pages, bad):
             branches = tree[host, found[i]]
             n, l, b = branches[segments[i][level]]
             pn, pl, pb = (sum(x[k] for x in branches.values()) for k in range(3))
-            own = n >= url_filter.LEAST_PAGES and n >= url_filter.LEAST_SHARE * pn and l and pl > l
+            own = n >= url_filter.LEAST_PAGES and l and pl > l
             if own:
                 m = pb / pl
                 error = (m * (1 - m) * (1 / l + 1 / (pl - l))) ** 0.5
@@ -113,7 +114,8 @@ def test_url_filter(spark):
         [(i, u, "x") for i, u in enumerate(urls)] + [(None, "http://z.net/", "x"), (0, urls[0], "x")],
         "page_id long, url string, template string")
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    got = url_filter.judge(pages, table).collect()
+    own_id = F.col("page_id")
+    got = url_filter.judge(pages, table, document=own_id).collect()
     assert len(got) == len(urls) + 2
     bad = {}
     for i, q, t in labels:
@@ -131,6 +133,19 @@ def test_url_filter(spark):
             assert r.verdict == rule.verdict
         elif r.host == "www.site.net":
             assert r.verdict == ("block" if r.path.startswith("/spam") else "allow")
+    groups = defaultdict(lambda: [0, 0])
+    for i, (host, _), template in zip(ids, parts, want):
+        for name in ((host, template), host, None):
+            groups[name][0] += i in bad
+            groups[name][1] += bool(bad.get(i))
+    for r in got:  # the smoothed shares, and the verdicts that follow
+        share = groups[None][1] / groups[None][0]
+        for name in (r.host, (r.host, r.template)):
+            share = (groups[name][1] + url_filter.SMOOTHING * share) / (
+                groups[name][0] + url_filter.SMOOTHING)
+        assert r.bad_share == pytest.approx(share, abs=1e-12)
+        if not r.rule:
+            assert r.verdict == ("block" if share >= url_filter.REJECT else "allow")
     assert url_filter.judge(pages.limit(0), table).count() == 0
     assert url_filter.judge(pages, table.limit(0)).where("rule is null and verdict = 'block'").count() == 0
 
@@ -142,5 +157,48 @@ def test_small_and_deep_sections_are_judged(spark):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     labels = spark.createDataFrame([(i, int(not b), 0) for i, b in enumerate(bad)],
                                    "doc_id long, quality int, toxic int")
-    for r in url_filter.judge(pages, labels).collect():
+    for r in url_filter.judge(pages, labels, document=F.col("page_id")).collect():
         assert (r.verdict == "block") == bad[r.page_id]
+
+
+def test_a_page_has_the_labels_of_the_document_in_its_path(spark):
+    """Urls as in the given pages; ids of pages and documents differ, and one section is bad."""
+    urls, labels = [], []
+    for i in range(300):
+        document = 10_000 - 7 * i
+        kind = ("spam", "en", "pt")[i % 3]
+        tail = ("", ".html", "?utm_source=feed", "#top", ".html?page=2&ref=x")[i % 5]
+        urls.append(f"https://www.site.net/{kind}/{document}{tail}")
+        labels += [(document, int(kind != "spam"), 0), (i, int(i % 2), 0)]  # misleading ids
+    urls += ["https://www.site.net/en/about", "https://www.site.net/en/12x", "http://h.net/1" + "0" * 30]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = [row for row in dict((r[0], r) for r in reversed(labels)).values()]
+    got = url_filter.judge(pages, spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int")).collect()
+    assert {r.template for r in got if r.path.startswith("/spam")} == {"/spam/*"}
+    for r in got:
+        if r.host == "www.site.net":
+            assert r.verdict == ("block" if r.path.startswith("/spam") else "allow")
+    host, path = url_filter.host_and_path(F.col("url"))
+    found = [r[0] for r in pages.orderBy("page_id").select(url_filter.document_number(path)).collect()]
+    assert found[:300] == [10_000 - 7 * i for i in range(300)] and found[300:] == [None] * 3
+
+
+@pytest.mark.parametrize("depth", [5, 40])
+def test_tables_written_do_not_grow_with_depth(spark, monkeypatch, depth):
+    written = []
+    keep = url_filter.stored
+    monkeypatch.setattr(url_filter, "stored", lambda df, name: written.append(name) or keep(df, name))
+    same = "/".join("abcdefgh"[i % 8] for i in range(depth))
+    pages = spark.createDataFrame(
+        [(i, f"http://a.net/{same}") for i in range(40)]
+        + [(i, f"http://b.net/{same}/{i}") for i in range(40, 80)]
+        + [(i, "http://c.net/s{}/x/y/z/{}/{}".format(i % 2, i % 2, i)) for i in range(80, 160)],
+        "page_id long, url string")
+    labels = spark.createDataFrame(
+        [(i, int(i < 80 or i % 2), 0) for i in range(10, 160)], "doc_id long, quality int, toxic int")
+    got = url_filter.judge(pages, labels, document=F.col("page_id")).collect()
+    assert len(got) == 160 and len(written) <= 9
+    assert {r.template for r in got if r.host == "c.net"} == {"/s0/*/*/*/**", "/s1/*/*/*/**"}
+    assert {r.verdict for r in got if "/s0/" in r.path} == {"block"}
+    assert {r.verdict for r in got if "/s0/" not in r.path} == {"allow"}
