@@ -2,7 +2,8 @@
 
 Markup is stripped so that every block element becomes a line. Lines in menus, headers, footers,
 sidebars, notices, adverts, forms and comments, told by element, role, class or id, weigh nothing;
-with an article (or main) element, so do lines outside of it. The weights of three lines in a row
+with an article (or main) element, so do lines outside of it, unless the text outside surges twice
+as much. The weights of three lines in a row
 are summed. Where that sum surges above a threshold the text begins, where it dives to nothing it
 ends; all lines between, other than those left out by their element, are kept.
 """
@@ -21,16 +22,18 @@ WINDOW = 3
 #: Without article or main, a surge needs this many characters in a window, or this share of the
 #: largest window if that is less.
 SURGE_CHARS, SURGE_SHARE = 80, 0.25
+#: An article or main element is not the story if windows outside it surge so many times as much.
+OUTSIDE = 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^'\">]*(?:(?:\"[^\"]*\"|'[^']*')[^'\">]*)*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>]*+))*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(
-    r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.DOTALL
+    r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.DOTALL
 )
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp",
         "noembed", "noframes"}
@@ -55,10 +58,18 @@ _NAMES = re.compile(
 )
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?:$|[\s_-])", re.I)
 _ROOTS = {"html", "body", "main", "article"}
+#: Elements whose id is an anchor of the article's own parts, but for those of a tool.
+_PARTS = {"section", "h1", "h2", "h3", "h4", "h5", "h6", "p"}
+_TOOLS = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor|sponsored|promo|newsletter|subscribe|"
+    r"signup|share|sharing|related|recommended|recommendations|comments?|commentlist|respond|"
+    r"disqus|repl(?:y|ies)|cookies?|consent|widget|sidebar|footer)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
 _CLOSED_BY_NEXT = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
 
-def _is_left_out(tag: str, attributes: str, inside: bool) -> bool:
+def _is_left_out(tag: str, attributes: str, inside: bool, in_line: bool) -> bool:
     if tag in _LEFT_OUT:
         return tag != "header" or not inside
     if not attributes.strip():
@@ -70,11 +81,13 @@ def _is_left_out(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none", named.get("style", ""), re.IGNORECASE):
         return True
-    if tag == "html" or tag == "body" or tag == "main":
-        return False
+    if tag == "html" or tag == "body" or tag == "main" or in_line and tag in _INLINE:
+        return False  # words within a sentence belong to it
     if named.get("role", "").lower() in _ROLES:
         return True
-    names = f"{named.get('class', '')} {named.get('id', '')}"
+    names, own = named.get("class", ""), named.get("id", "")
+    if not (inside and tag in _PARTS) or _TOOLS.search(own):
+        names = f"{names} {own}"
     if tag == "article":  # only comments come as articles of their own
         return bool(re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", names, re.I))
     return bool(_NAMES.search(names)) or (not inside and bool(_HEADER_NAME.search(names)))
@@ -149,7 +162,9 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             elif tag == "main":
                 mains = max(0, mains - 1)
             continue
-        if tag not in _VOID and _is_left_out(tag, attributes, articles > 0):
+        if tag not in _VOID and _is_left_out(
+            tag, attributes, articles > 0, bool("".join(text).strip())
+        ):
             flush()
             skipped, depth = tag, 1
             continue
@@ -163,20 +178,36 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     return [(line[0], line[1], marked and line[place]) for line in out], marked
 
 
+def _window_sums(weights: list[int]) -> list[int]:
+    """Sums of WINDOW lines in a row; the one with number i ends with line i."""
+    sums, total = [], 0
+    for i in range(len(weights) + WINDOW - 1):
+        total += weights[i] if i < len(weights) else 0
+        total -= weights[i - WINDOW] if i >= WINDOW else 0
+        sums.append(total)
+    return sums
+
+
+def _surging(weights: list[int]) -> int:
+    """Characters in windows above SURGE_CHARS; overlapping windows count each."""
+    return sum(total for total in _window_sums(weights) if total > SURGE_CHARS)
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found, marked = lines(page)
     if marked and not any(text and inside for text, _, inside in found):
         marked = False  # an empty article
+    if marked and _surging([0 if inside else plain for _, plain, inside in found]) > (
+        OUTSIDE * _surging([plain if inside else 0 for _, plain, inside in found])
+    ):
+        marked = False  # a teaser: the windows surge elsewhere
+        found = [("", 0, False) if inside else (text, plain, False) for text, plain, inside in found]
     weights = [
         (len(text) if inside else 0) if marked else plain for text, plain, inside in found
     ]
-    sums, total = [], 0
-    for i in range(len(weights) + WINDOW - 1):  # window i ends with line i
-        total += weights[i] if i < len(weights) else 0
-        total -= weights[i - WINDOW] if i >= WINDOW else 0
-        sums.append(total)
+    sums = _window_sums(weights)
     threshold = 0 if marked else min(SURGE_CHARS, SURGE_SHARE * max(sums, default=0))
     kept: list[str] = []
     i = 0

@@ -1,5 +1,7 @@
 """Main text of pages and the URL filter."""
 
+import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -33,6 +35,52 @@ def test_main_text(page, text):
     assert extraction.main_text(page) == text
 
 
+STORY = "<p>" + "A long sentence of the story that goes on. " * 6 + "</p>"
+STORY_TEXT = ("A long sentence of the story that goes on. " * 6).strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    # an apostrophe in an unquoted value does not open a quote
+    ("<article><p title=it's>First one here.</p><p title=it's>Second one.</p></article>",
+     "First one here. Second one."),
+    ("<article><p title = 'a>b' data-x=\"c'>\" y=z/>One.</p><p a='>Two.</p></article>", "One. Two."),
+    # the story in a div, a teaser in an article
+    (f"<article class=teaser><p>Read our offer.</p></article><div>{STORY * 3}</div>",
+     " ".join([STORY_TEXT] * 3)),
+    (f"<div><p>Read our offer of this week.</p></div><article>{STORY}<p>End.</p></article>",
+     f"{STORY_TEXT} End."),
+    # words of a sentence, and parts of an article, whatever they are called
+    ("<article><p>The <span class='social'>social</span> life of <b id=search>search</b>.</p>"
+     "<section id='search'><h2 id=menu>Search</h2><p>How it works.</p></section>"
+     "<div class=related>Other stories</div><span class='share'>Share this</span></article>",
+     "The social life of search. Search How it works."),
+])
+def test_text_is_not_lost(page, text):
+    assert extraction.main_text(page) == text
+
+
+def brute_surging(weights):
+    sums = [sum(weights[max(0, i - extraction.WINDOW + 1) : i + 1])
+            for i in range(len(weights) + extraction.WINDOW - 1)]
+    return sums, sum(s for s in sums if s > extraction.SURGE_CHARS)
+
+
+def test_window_sums_equal_brute_force():
+    rng = random.Random(5)
+    for n in [0, 1, 2, 3, 50]:
+        weights = [rng.choice([0, 0, 5, 40, 200]) for _ in range(n)]
+        sums, surging = brute_surging(weights)
+        assert extraction._window_sums(weights) == sums
+        assert extraction._surging(weights) == surging
+
+
+def test_unclosed_quotes_are_read_fast():
+    page = "<article>" + "<p title='x=y z=" * 2000 + "<p>" + "word " * 1000
+    start = time.perf_counter()
+    extraction.main_text(page)
+    assert time.perf_counter() - start < 5
+
+
 def test_long_page_is_linear():
     page = "<article>" + "<p>word &amp; word</p>" * 50_000 + "</article>"
     assert extraction.main_text(page) == " ".join(["word & word"] * 50_000)
