@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.local import own_scratch_folder
 from checks.twins import FIRST_YEAR, LAST_YEAR
 from checks.views import BASE_TABLES, FIXTURE, with_views
 from encore.plans import cleaning, features
 from encore.plans.settings import Settings
-from encore.session import configure, own_scratch_folder, scratch_folder
+from encore.session import configure, scratch_folder
 
 SETTINGS = Settings(first_year=FIRST_YEAR, last_year=LAST_YEAR)
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from encore.session import local_session  # noqa: E402
+from checks.local import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
