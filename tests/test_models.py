@@ -284,3 +284,19 @@ def test_bias_report_rounds_half_even_and_handles_none(spark):
     assert tuple(got) == (8, 1, 12.5)
     none = weak_labels.bias_report(df.where("is_repeat_buyer = 0"), SETTINGS).first()
     assert tuple(none) == (0, 0, 0.0)
+
+
+def test_parts_are_read_from_files_and_make_the_key_once(spark):
+    n = 400
+    df = spark.range(n).selectExpr(
+        "cast(id % 7 as double) / 3 as item_price", "id % 5 = 0 as is_repeat_buyer",
+        "if(id % 9 = 0, null, 'c' || id % 3) as product_category_name")
+    df = df.union(df.limit(50))  # equal rows share a key and are dealt out by number
+    train, test = preprocessing.split_train_test(df, SETTINGS)
+    for part in (train, test):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5" not in plan and "conv(" not in plan
+    assert train.unionByName(test).select(df.columns).exceptAll(df).count() == 0
+    assert train.count() + test.count() == df.count()
+    expected = {r.label: int(r["count"] * 0.2 + 0.5) for r in train.union(test).groupBy("label").count().collect()}
+    assert {r.label: r["count"] for r in test.groupBy("label").count().collect()} == expected
