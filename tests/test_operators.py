@@ -374,3 +374,32 @@ def test_fitted_median_offset(spark, tmp_path):
     assert [str(r.done.date()) for r in back.transform(new).collect()] == ["2021-05-12", "2021-01-01"]
     empty = fitted.MedianOffsetFill(target="done", anchor="due").fit(train.where("done is null"))
     assert [r.done is None for r in empty.transform(new).collect()] == [True, False]
+
+
+def test_rank_groups_by_literals_and_by_join_agree(spark, monkeypatch):
+    df = spark.range(6000).selectExpr(
+        "concat('c', id % 3) as g", "if(id % 11 = 0, null, id * 7919 % 5003) as whole",
+        "if(id % 13 = 0, double('nan'), if(id % 7 = 0, null, id % 911 / 3)) as part",
+        "cast(if(id % 7 = 0, null, id % 911) as decimal(12,2)) as money")
+    ranks = {"low": lambda n: n // 10, "mid": lambda n: n // 2, "none": lambda n: n + 1}
+    for column in ("whole", "part", "money"):
+        values = df.select("g", column).dropna().collect()
+        found = order_stats.order_statistics(df, column, ranks, ["g"])
+        for group in ("c0", "c1", "c2"):
+            own = sorted(r[1] for r in values if r.g == group)
+            got = found[group,]
+            assert got["none"].value is None and got["mid"].n == len(own)
+            assert got["mid"].value == own[len(own) // 2 - 1] and got["low"].value == own[len(own) // 10 - 1]
+        monkeypatch.setattr(order_stats, "MAX_LITERALS", 0)
+        assert order_stats.order_statistics(df, column, ranks, ["g"]) == found
+        monkeypatch.undo()
+
+
+def test_folds_make_the_keys_of_a_row_once(spark):
+    df = spark.range(3000).selectExpr("id", "id % 4 = 0 as y")
+    folded = split.assign_folds(df, "y", "id")
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") <= 3  # one per key, not one per fold and label
+    assert folded.columns == ["id", "y", "fold"]
+    sizes = {(r.y, r.fold): r["count"] for r in folded.groupBy("y", "fold").count().collect()}
+    assert sizes == {(y, i): n for y, n in ((True, 150), (False, 450)) for i in range(5)}
