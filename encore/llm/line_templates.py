@@ -72,9 +72,9 @@ def recurring_lines(
         leaves.select("leaf"), ["leaf"]
     )
     texts = parsed.select("leaf", "line", "masked").join(chosen, "leaf", "left_semi")
-    distinct = stored(
-        texts.groupBy("leaf", "line").agg(F.max("masked").alias("masked")), "distinct"
-    ).select("leaf", "line", F.split("masked", SPACE).alias("tokens"))
+    distinct = stored(_once(texts), "distinct").select(
+        "leaf", "line", F.split("masked", SPACE).alias("tokens")
+    )
     weights = narrow.join(splittable(leaves.select("leaf"), ["leaf"]), "leaf", "left_semi")
     weights = weights.select("leaf", "line", "text_key").distinct().groupBy("leaf", "line").agg(
         F.count("*").alias("weight")
@@ -129,6 +129,16 @@ def recurring_lines(
     return narrow, recurring.union(alone).distinct()
 
 
+def _once(texts: DataFrame) -> DataFrame:
+    """A row per (leaf, line) with its text, the greatest one where hashes collide.
+
+    The maximum of a text sorts its rows, so equal ones are first made one by hashing. They are
+    counted, as the optimizer takes a plain ``distinct`` below a maximum away.
+    """
+    once = texts.groupBy("leaf", "line", "masked").agg(F.count("*").alias("_n")).where("_n > 0")
+    return once.groupBy("leaf", "line").agg(F.max("masked").alias("masked"))
+
+
 def _placed(tokens: DataFrame, sizes: DataFrame, constant: float) -> DataFrame:
     """(part, leaf, line, weight, n, same, next) of all lines of ``tokens``.
 

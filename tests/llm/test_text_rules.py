@@ -275,3 +275,14 @@ def test_line_of_enough_texts_goes(spark, docs_of):
     for r in line_templates.dropped_lines(docs_of(rows)).collect():
         often = {k for k, x in enumerate(dict(rows)[r.doc_id].split("\n")) if texts[x] >= 10}
         assert often <= set(r.dropped)
+
+
+def test_lines_are_hashed_before_their_texts_are_compared(spark):
+    from encore.llm import line_templates
+
+    rows = [(1, 10, "a b c")] * 5 + [(1, 11, "x"), (1, 11, "y"), (2, 10, "a b c")]
+    once = line_templates._once(spark.createDataFrame(rows, "leaf long, line long, masked string"))
+    assert sorted(map(tuple, once.collect())) == [(1, 10, "a b c"), (1, 11, "y"), (2, 10, "a b c")]
+    plan = once._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    first = [x for x in plan.splitlines() if "Aggregate" in x][-1]  # the one next to the rows
+    assert "HashAggregate" in first and "SortAggregate" not in first
