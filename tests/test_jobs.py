@@ -111,12 +111,62 @@ def test_distance_uses_first_item_with_coordinates(spark):
     assert all(r.distance_km == pytest.approx(111.195, abs=0.01) for r in got)
 
 
+def test_first_located_settles_orders_by_few_rows(spark):
+    items = spark.createDataFrame(
+        [(1, 1, "p", "none"), (1, 2, "p", "far"), (1, 3, "p", "near"), (2, 2, "p", "far"),
+         (2, 1, "p", "near"), (3, 1, "p", "none"), (4, 1, "p", None), (4, 2, "p", "twice")],
+        "order_id int, order_item_id int, product_id string, seller_id string")
+    shops = spark.createDataFrame(
+        [("far", 5.0, 6.0), ("near", 1.0, 2.0), ("twice", 4.0, 1.0), ("twice", 3.0, 9.0)],
+        "seller_id string, seller_lat double, seller_lng double")
+    got = features.first_located(items, shops).collect()
+    assert sorted(map(tuple, got)) == [(1, 5.0, 6.0), (2, 1.0, 2.0), (4, 3.0, 9.0)]
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_items_that_nobody_joins_leave_early_and_change_nothing(spark, bucketed):
+    items = spark.createDataFrame(
+        [(1, 1, "p", "s", 1.0, 0.0), (1, 2, "p", "t", 3.0, 1.0), (1, 3, "p", "s", 2.0, 1.0),
+         (2, 1, "p", "s", 2.5, 1.0), (2, 2, "q", "s", 7.0, 1.0), (3, 1, "q", "t", 8.0, 2.0)],
+        "order_id int, order_item_id int, product_id string, seller_id string, price double, "
+        "freight_value double")
+    paid = spark.createDataFrame(
+        [(i, "voucher", 1, 5.0) for i in (1, 2, 3)],
+        "order_id int, payment_type string, payment_installments int, payment_value double")
+    _, orders_, _ = shop(spark)
+    some = orders_.limit(1).drop("order_id")
+    orders_ = some.crossJoin(spark.createDataFrame([(1,), (2,), (3,)], "order_id int"))
+    labels = spark.createDataFrame(
+        [(i, i, "x", "p", "s", 1, False) for i in (1, 2, 3)],
+        "order_id int, customer_id int, customer_unique_id string, product_id string, "
+        "seller_id string, num_orders long, is_repeat_buyer boolean")
+    whole = features.transaction_features(orders_, items, paid, labels, bucketed=bucketed)
+    flags = {(r.order_id, r.product_id, r.item_price): (r.is_bulk, r.discount)
+             for r in whole.collect()}
+    assert flags == {  # the mean of p is 2.125, that of q 7.5
+        (1, "p", 1.0): (True, True), (1, "p", 3.0): (True, False), (1, "p", 2.0): (True, True),
+        (2, "p", 2.5): (False, False), (2, "q", 7.0): (False, True), (3, "q", 8.0): (False, False)}
+    wanted = spark.createDataFrame(
+        [(1, "p", "s"), (1, "p", "s"), (2, "p", "s"), (3, "q", "s")],
+        "order_id int, product_id string, seller_id string")
+    few = features.transaction_features(
+        orders_, items, paid, labels, wanted=wanted, bucketed=bucketed)
+    keys = {(1, "p", "s"), (2, "p", "s")}
+    assert sorted(map(str, few.collect())) == sorted(
+        str(r) for r in whole.collect() if (r.order_id, r.product_id, r.seller_id) in keys)
+    assert few.count() == 3
+
+
 def test_seller_rate_counts_people_not_orders(spark):
     df = spark.createDataFrame(
         [("s", "ann", True), ("s", "ann", True), ("s", "bob", False), ("t", "bob", False)],
         "seller_id string, customer_unique_id string, is_repeat_buyer boolean")
     got = {r.seller_id: r.seller_repeat_buyer_rate for r in features.distance_seller_stats(df).collect()}
     assert got == {"s": 0.5, "t": 0.0}
+    lost = df.unionByName(df.limit(1).withColumn("seller_id", F.lit(None).cast("string")))
+    lost = lost.withColumn("order_id", F.lit(1))  # rows of one order may repeat, too
+    wanted = sorted(map(str, features.distance_seller_stats(lost).collect()))
+    assert sorted(map(str, features.distance_seller_stats(lost, True).collect())) == wanted
 
 
 def test_model_inputs_rules(spark):

@@ -72,6 +72,19 @@ def test_joins_by_order_read_buckets_without_a_shuffle(spark, tmp_path, no_broad
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
+def test_items_are_shuffled_whole_only_when_their_layer_is_written(spark, no_broadcast):
+    f = Fixture(spark, SF)
+    assert f.in_buckets("clean_items") and f.in_buckets("distances")
+    for df in (f.transactions, f.model_inputs):
+        moved = re.findall(r"Exchange hashpartitioning.*\n(.*)", plan(df))
+        assert len(moved) > 3 and not [x for x in moved if "seller_id" in x and "price" in x]
+    assert not re.findall(r"Exchange hashpartitioning.*\n.*order_item_id", plan(f.labels))
+    for name in ("labels", "distances"):  # their last join has dealt them out
+        keyed = plan(getattr(f, name).repartition(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), "order_id"))
+        assert "REPARTITION_BY_NUM" not in keyed
+
+
 def test_a_hot_key_makes_a_plain_layer(spark, tmp_path, no_broadcast):
     n = 6000
     orders = spark.range(n).selectExpr(
