@@ -163,8 +163,14 @@ def test_seller_rate_counts_people_not_orders(spark):
         "seller_id string, customer_unique_id string, is_repeat_buyer boolean")
     got = {r.seller_id: r.seller_repeat_buyer_rate for r in features.distance_seller_stats(df).collect()}
     assert got == {"s": 0.5, "t": 0.0}
+
+
+def test_seller_rates_come_back_by_order(spark):
+    df = spark.createDataFrame(
+        [(1, "s", "ann", True), (2, "s", "ann", True), (3, "s", "bob", False), (4, "t", "bob", False)],
+        "order_id int, seller_id string, customer_unique_id string, is_repeat_buyer boolean")
     lost = df.unionByName(df.limit(1).withColumn("seller_id", F.lit(None).cast("string")))
-    lost = lost.withColumn("order_id", F.lit(1))  # rows of one order may repeat, too
+    lost = lost.unionByName(df.limit(1))  # rows may repeat, too
     wanted = sorted(map(str, features.distance_seller_stats(lost).collect()))
     assert sorted(map(str, features.distance_seller_stats(lost, True).collect())) == wanted
 

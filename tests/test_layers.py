@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.fixture import SETTINGS, Fixture
+from checks.tables import QUERIES
 from encore.operators import profile
 from encore.plans import features
 from encore.sources.catalog import Catalog
@@ -85,6 +86,13 @@ def test_items_are_shuffled_whole_only_when_their_layer_is_written(spark, no_bro
         assert "REPARTITION_BY_NUM" not in keyed
 
 
+def test_feature_tables_are_shuffled_by_product_only(spark, no_broadcast):
+    joined = plan(QUERIES["join_feature_tables"](Fixture(spark, SF)))
+    assert not re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, product_id", joined)
+    last = re.findall(r"Exchange hashpartitioning\(\w+#\d+L?, \d+\).*\n(.*item_price.*)", joined)
+    assert len(last) == 1 and "review_score" in last[0]
+
+
 def test_a_hot_key_makes_a_plain_layer(spark, tmp_path, no_broadcast):
     n = 6000
     orders = spark.range(n).selectExpr(
