@@ -10,7 +10,8 @@ from checks.tables import QUERIES
 from encore.operators import profile
 from encore.plans import features
 from encore.sources.catalog import Catalog
-from encore.sources.layers import uneven
+from encore.sources import layers
+from encore.sources.layers import read_buckets, scanned, uneven, write_buckets
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +87,43 @@ def test_items_are_shuffled_whole_only_when_their_layer_is_written(spark, no_bro
         assert "REPARTITION_BY_NUM" not in keyed
 
 
+def test_scanning_tasks_write_the_buckets(spark, tmp_path, no_broadcast, monkeypatch):
+    n = 900
+    raw = spark.range(n, numPartitions=3).selectExpr(
+        "if(id % 50 = 0, null, id % 300) as order_id", "id as order_item_id", "'x' || id as note")
+    raw.write.parquet(str(tmp_path / "raw"))
+    df = spark.read.parquet(str(tmp_path / "raw"))
+    path = str(tmp_path / "lay")
+    assert "Exchange" not in plan(scanned(df, "order_id", 6))
+    write_buckets(scanned(df, "order_id", 6), path, "order_id", 6)
+    files = spark.read.parquet(path)
+    assert len(files.inputFiles()) > 6 and uneven(files, 6) < 4
+    back = read_buckets(spark, path, files, "order_id", 6)
+    joined = back.join(back.groupBy("order_id").agg(F.count("*").alias("n")), "order_id")
+    assert not shuffles(joined, "order_id") and rows(back) == rows(df)
+    known = df.where("order_id is not null")
+    assert rows(joined) == rows(
+        known.join(known.groupBy("order_id").agg(F.count("*").alias("n")), "order_id"))
+    monkeypatch.setattr(layers, "MOST_FILES", 6)
+    assert "REBALANCE" in plan(scanned(df, "order_id", 6))
+
+
+def test_layers_without_rows_are_read(spark, tmp_path):
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{name}.parquet").where("false").write.parquet(
+            str(tmp_path / f"{name}.parquet"))
+    f = Fixture(spark, str(tmp_path))
+    for name in ("clean_orders", "clean_items", "clean_payments"):
+        assert f.stored(name).count() == 0 and f.stored(name).columns == getattr(f, name).columns
+
+
+def test_orders_join_by_order_as_they_lie(spark, no_broadcast):
+    f = Fixture(spark, SF)
+    facts = features.order_facts(
+        f.stored("clean_orders"), f.stored("clean_payments"), f.stored("labels"), SETTINGS)
+    assert not shuffles(facts, "order_id") and facts.count() > 100
+
+
 def test_feature_tables_are_shuffled_by_product_only(spark, no_broadcast):
     joined = plan(QUERIES["join_feature_tables"](Fixture(spark, SF)))
     assert not re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, product_id", joined)
