@@ -8,7 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.fixture import SETTINGS, Fixture
-from encore.operators import newton, ridge
+from encore import session
+from encore.operators import newton, ridge, split
 from encore.operators.metrics import curve_areas, threshold_table
 from encore.plans import preprocessing, stages, training, tuning, weak_labels
 from encore.sources.catalog import Catalog
@@ -300,3 +301,31 @@ def test_parts_are_read_from_files_and_make_the_key_once(spark):
     assert train.count() + test.count() == df.count()
     expected = {r.label: int(r["count"] * 0.2 + 0.5) for r in train.union(test).groupBy("label").count().collect()}
     assert {r.label: r["count"] for r in test.groupBy("label").count().collect()} == expected
+
+
+def model_rows(spark, n):
+    """Rows of a model table, none equal to another."""
+    base = {c: f"cast((id * {i + 3}) % {i + 11} as double)" for i, c in enumerate(
+        SETTINGS.numeric + SETTINGS.payment_numeric)}
+    return spark.range(n).selectExpr(
+        *[f"{e} as {c}" for c, e in base.items()], "id as item_number",
+        "'c' || id % 3 as product_category_name", "(id * id) % 7 < 3 as is_repeat_buyer")
+
+
+def test_parts_are_written_once(spark, monkeypatch):
+    """With their key; where a cut falls between equal rows, again with their part."""
+    written = []
+    for module in (preprocessing, split):
+        monkeypatch.setattr(
+            module, "stored", lambda df, name: written.append(name) or session.stored(df, name))
+    df = model_rows(spark, 301)
+    copies = df.crossJoin(spark.range(7).select()).select(df.columns)
+    for rows, names in ((df, ["keyed"]), (copies, ["keyed", "placed"])):
+        written.clear()
+        train, test = preprocessing.split_train_test(rows.repartition(3), SETTINGS)
+        assert written == names and "md5" not in test._jdf.queryExecution().optimizedPlan().toString()
+        keyed = session.stored(preprocessing.keyed(rows, SETTINGS), "whole")
+        whole = split.stratified_split(keyed, "label", "row_key").orderBy("row_key", "split")
+        got = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+        assert got.columns == whole.columns
+        assert got.orderBy("row_key", "split").collect() == whole.collect()
