@@ -329,3 +329,22 @@ def test_parts_are_written_once(spark, monkeypatch):
         got = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
         assert got.columns == whole.columns
         assert got.orderBy("row_key", "split").collect() == whole.collect()
+
+
+def test_rows_are_spread_for_models_that_draw_them(spark, monkeypatch):
+    """Linear models only add up over rows, so these are not shuffled for them."""
+    def seen(*_):
+        raise AssertionError("spread")
+
+    monkeypatch.setattr(training, "spread", seen)
+    monkeypatch.setattr(weak_labels, "spread", seen, raising=False)
+    df, _, _ = small_frame(spark)
+    for penalized in (False, True):
+        settings = replace(SMALL, penalize_intercept=penalized)
+        found = [training.train_logistic(df.repartition(n), df, ["a", "b", "c"], settings).model.stages[0]
+                 for n in (1, 7)]
+        assert found[0].coefficients.toArray() == pytest.approx(found[1].coefficients.toArray(), abs=1e-9)
+    with pytest.raises(AssertionError, match="spread"):
+        training.train_random_forest(df, df, ["a", "b", "c"], SMALL)
+    labelled = model_rows(spark, 200).withColumn("is_repeat_buyer", F.col("is_repeat_buyer").cast("int"))
+    assert 0 <= weak_labels.retrain(labelled, SMALL).metrics["roc_auc"] <= 1
