@@ -203,6 +203,33 @@ def test_model_inputs_rules(spark):
     assert features.model_inputs(twin, products, verified, stats).columns[-1] == "is_verified"
 
 
+def test_model_inputs_of_products_with_equal_and_repeated_ids(spark):
+    made = features.MODEL_COLUMNS
+    late = [c for c in made if c.startswith("product_")]
+    stat = ["distance_km", "high_density_customer_area", "seller_repeat_buyer_rate"]
+    own = [c for c in made if c not in late + stat + ["review_score"]]
+    same = ["order_id", "product_id", "seller_id", "customer_id", "customer_unique_id"]
+    orders = [(n, p, 1, n, n) for n, p in enumerate([1, 1, 2, 3, 3, 4, 5, None, 9, 6, 7])]
+    orders += [(0, 1, 1, 0, 0), (1, 2, 1, 1, 1), (None, 1, 1, 1, 1)]
+    keys = spark.createDataFrame(orders, ", ".join(f"{c} long" for c in same))
+    twin = keys.select("*", *[F.lit(1.0).alias(c) for c in own])
+    stats = keys.dropDuplicates(["order_id"]).select(
+        "*", F.lit(1).alias("num_orders"), F.lit(False).alias("is_repeat_buyer"),
+        *[F.lit(2.0).alias(c) for c in stat])
+    shapes = [(1, "a", 1.0), (1, "b", 1.0), (2, "a", 1.0), (3, "a", 1.0), (3, "a", 1.0), (4, None, 1.0),
+              (5, "a", float("nan")), (None, "a", 1.0), (6, "a", 0.0), (7, "a", -0.0)]
+    products = spark.createDataFrame(shapes, "product_id long, product_category_name string, w double")
+    products = products.select(
+        "product_id", "product_category_name", *[F.col("w").alias(c) for c in late[1:]])
+    reviews = spark.createDataFrame([(n, n % 2) for n in range(9)] * 2 + [(9, 1), (10, 1)],
+                                    "order_id long, review_score int")
+    plain = (
+        twin.join(stats.drop("num_orders", "is_repeat_buyer"), same)
+        .join(reviews, "order_id").join(products, "product_id").select(*made).na.drop().distinct())
+    got = features.model_inputs(twin, products, reviews, stats).collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain.collect())) and len(got) == 5
+
+
 def test_review_features(spark):
     df = spark.createDataFrame(
         [(1, 5, "Tudo certo"), (2, 1, "ruim"), (3, 4, " "), (4, 4, None), (5, 5, "ruim")],

@@ -11,7 +11,9 @@ from encore.operators import profile
 from encore.plans import features
 from encore.sources.catalog import Catalog
 from encore.sources import layers
-from encore.sources.layers import read_buckets, scanned, uneven, write_buckets
+from encore.sources.layers import (
+    read_buckets, scanned, stored_in_buckets, uneven, write_buckets,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -131,6 +133,36 @@ def test_feature_tables_are_shuffled_by_product_only(spark, no_broadcast):
     assert len(last) == 1 and "review_score" in last[0]
 
 
+def test_prices_and_rows_are_not_shuffled_by_product(spark, no_broadcast):
+    text = plan(Fixture(spark, SF).model_inputs)
+    by_product = r"Exchange hashpartitioning\(product_id#\d+L?, \d+\).*\n"
+    assert not re.search(by_product + ".*partial_sum", text)
+    assert not re.search(by_product + ".*(item_price|total_spent)", text)
+    whole = [
+        keys for keys in re.findall(r"Exchange hashpartitioning\((.*)\), ENSURE", text)
+        if "item_price" in keys
+    ]
+    assert len(whole) == 1 and "product_class" in whole[0] and "category" not in whole[0]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_table_in_buckets_of_a_key(spark, hot):
+    df = spark.range(4000).selectExpr(
+        f"if({str(hot).lower()} or id % 9 = 0, 7, id) as k", "if(id % 5 = 0, null, id) as v")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        back = stored_in_buckets(df, "test", "k")
+        sums = back.groupBy("k").agg(F.sum("v").alias("v"))
+        assert bool(shuffles(sums, "k")) == hot
+        assert rows(back) == rows(df) and rows(sums) == rows(
+            df.groupBy("k").agg(F.sum("v").alias("v")))
+        none = stored_in_buckets(df.limit(0), "test", "k")
+        assert none.count() == 0 and none.dtypes == df.dtypes
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_a_hot_key_makes_a_plain_layer(spark, tmp_path, no_broadcast):
     n = 6000
     orders = spark.range(n).selectExpr(
