@@ -17,6 +17,8 @@ columns. The product is not formed for all pairs of rows:
    be sent; a row with too many of those repeats the cut with another hash function. From its
    size and its unsent blocks follows how many blocks a row shares with any row it links with;
    a row that meets others in fewer goes.
+   Of the others as many of the most common blocks are left out as a linked row shares for sure
+   beyond one, so that passages in many texts do not join rows that are alike in little.
 3. Rows that meet in a block form a family. Families are cut into chunks of bounded weight, each
    pair of chunks is a task: it accumulates the overlap counts through the postings of every
    n-gram, drops pairs below the bound given by their sizes, and returns the links that join
@@ -34,6 +36,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,8 @@ CHUNK_WEIGHT = 1 << 19
 SEEDS = 24
 #: Documents whose blocks are sampled for hot ones, and how often a hot block is in the sample.
 SAMPLE_DOCS, HOT_IN_SAMPLE = 5000, 10
+#: The rows of all blocks are shuffled in so many rounds, each with its share of the hashes.
+ROUNDS = 3
 #: At most this many hot blocks are broadcast; windows that a hot block is dealt to.
 BROADCAST_ROWS, PARTS = 200_000, 1024
 _LARGEST = 10**10
@@ -261,8 +266,8 @@ def _chosen(batch: pa.RecordBatch, bitmap: np.ndarray) -> pa.RecordBatch:
     return batch.take(pa.array(np.flatnonzero((bitmap[slot >> 3] >> (slot & 7)) & 1)))
 
 
-def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray):
-    """The block hashes of the chosen rows, one a row."""
+def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray, turn: int = 0, rounds: int = 1):
+    """The block hashes of the chosen rows that belong to this round, one a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = _bins(similarity)
@@ -272,6 +277,7 @@ def _blocks_sent(n: int, similarity: int, bitmap: np.ndarray):
                 values, starts = _sets(texts, n)
                 steps = _signatures(values, starts, similarity, bins)
                 for step, (blocks, need) in enumerate(steps):
+                    blocks = [x[x % U(rounds) == U(turn)] for x in blocks]
                     counts = np.array([len(x) for x in blocks])
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -390,27 +396,47 @@ def _marked(source: DataFrame, ids: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def _meeting(sent: DataFrame) -> DataFrame:
-    """The rows of blocks that several classes have, with the smallest class of the block.
+    """The rows of blocks that several classes have, with the smallest class of the block and
+    the number of its rows.
 
-    The smallest class is combined before the shuffle, the join can split hot blocks.
+    These are combined before the shuffle, the join can split hot blocks.
     """
     met = (
         sent.groupBy("block")
-        .agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
+        .agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"), F.count("*").alias("rows"))
         .where("pivot < last")
-        .select("block", "pivot")
+        .select("block", "pivot", "rows")
     )
-    return sent.join(splittable(met, ["block"]), "block").select(*_ROW, "pivot")
+    return sent.join(splittable(met, ["block"]), "block").select(*_ROW, "pivot", "rows")
 
 
 _ROW = ["cls", "step", "need", "block"]
 
 
+def _rarest(meeting: DataFrame) -> DataFrame:
+    """Of every row as few of its blocks, the rarest first, as still meet in each linked row.
+
+    Linked rows share at least ``need`` blocks. All but the last ``need - 1`` of a row's blocks, in
+    an order common to all rows, hold the first of those in both rows. Without the common ones
+    (repeated passages) rows that are alike in little do not grow together into one family.
+    """
+    own = Window.partitionBy("cls", "step")
+    return (
+        meeting.withColumn("rank", F.row_number().over(own.orderBy("rows", "block")))
+        .withColumn("last", F.count("*").over(own) - F.min("need").over(own) + 1)
+        .where("rank <= last")
+        .select(*_ROW)
+    )
+
+
 def _first_meeting(
-    marked: DataFrame, classes: int, send: Callable[[DataFrame], DataFrame]
+    marked: DataFrame, classes: int, send: Callable[..., DataFrame], rounds: int = ROUNDS
 ) -> DataFrame:
-    """The same for all rows, most of which meet no other, without the smallest class: one
-    shuffle, and a window per block.
+    """The same for all rows, most of which meet no other, without the smallest class: a
+    window per block.
+
+    There are hundreds of blocks a row, more bytes than the texts. So they are shuffled in rounds:
+    each makes all blocks anew and sends its share of them, and its files go before the next.
 
     Blocks that are hot in a sample of the documents are known to meet: their rows are dealt to
     many windows and all stay, so no window holds a large share of all documents. Which blocks
@@ -427,14 +453,18 @@ def _first_meeting(
         hot = F.broadcast(hot)
     part = F.when(F.col("hot"), F.pmod(F.xxhash64("cls"), F.lit(PARTS))).otherwise(0)
     here = Window.partitionBy("block", "part")
-    return (
-        send(marked)
-        .join(hot, "block", "left")
-        .withColumn("part", part)
-        .withColumn("apart", F.min("cls").over(here) < F.max("cls").over(here))
-        .where("hot or apart")
-        .select(*_ROW)
-    )
+
+    def met(turn: int) -> DataFrame:
+        return (
+            send(marked, turn, rounds)
+            .join(hot, "block", "left")
+            .withColumn("part", part)
+            .withColumn("apart", F.min("cls").over(here) < F.max("cls").over(here))
+            .where("hot or apart")
+            .select(*_ROW)
+        )
+
+    return reduce(DataFrame.union, [stored(met(turn), "meeting") for turn in range(rounds)])
 
 
 def linked_components(
@@ -471,15 +501,13 @@ def linked_components(
         "classes",
     )
     marked, bitmap = _marked(source, classes.select(F.col("cls").alias("id")))
-    meeting = stored(
-        _first_meeting(
-            marked,
-            classes.count(),
-            lambda some: some.mapInArrow(
-                _blocks_sent(n, similarity, bitmap), "cls long, step tinyint, need long, block long"
-            ),
+    meeting = _first_meeting(
+        marked,
+        classes.count(),
+        lambda some, *turn: some.mapInArrow(
+            _blocks_sent(n, similarity, bitmap, *turn),
+            "cls long, step tinyint, need long, block long",
         ),
-        "meeting",
     )
     # Rows that meet too rarely for any link go, then those left alone. Rows that share an id are
     # counted together, against what the least of them needs.
@@ -492,6 +520,7 @@ def linked_components(
         keys_of = ["cls", "step"]
         meeting = meeting.join(splittable(enough, keys_of), keys_of, "left_semi")
         meeting = stored(_meeting(meeting.select(*_ROW)), "meeting")
+    meeting = stored(_meeting(_rarest(meeting)), "meeting")
     families = components(
         meeting.where("cls <> pivot")
         .select(F.col("cls").alias("u"), F.col("pivot").alias("v"))

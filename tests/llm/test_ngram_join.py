@@ -1,10 +1,12 @@
 """N-gram Jaccard join against brute force."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 
-from encore.llm import ngram_join
+from encore.llm import ngram_join, shared
 from encore.llm.components import components
 
 
@@ -136,3 +138,76 @@ def test_very_long_texts_are_hashed_in_pieces():
     hashes, starts = ngram_join._word_hashes(texts)
     whole, begins = ngram_join.hashed_words(texts)
     assert (hashes == whole).all() and (starts == begins).all()
+
+
+def test_a_common_passage_makes_no_family(spark, docs_of, monkeypatch):
+    """Pairs of near copies that hold one passage: a family each, not one with all rows, whose
+    chunks would be compared (and written) pair by pair."""
+    passage = " ".join(f"p{i}" for i in range(150))
+    rows = []
+    for i in range(12):
+        own = " ".join(f"d{i}w{k}" for k in range(300))
+        rows += [(2 * i, f"{own} {passage}"), (2 * i + 1, f"{own} tail {passage}")]
+    families = []
+
+    def spied(edges):
+        families.append(components(edges))
+        return families[-1]
+
+    monkeypatch.setattr(ngram_join, "components", spied)
+    got = ngram_join.linked_components(docs_of(rows), 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+    assert families[0].select("component").distinct().count() == 12
+
+
+def test_rarest_blocks_still_meet(spark):
+    """Every two rows that share as many blocks as both need share one of those that are left."""
+    rng = random.Random(8)
+    sets, need = {}, {}
+    for cls in range(60):
+        group = [f"g{cls // 4}b{k}" for k in range(9)]
+        common = [f"c{k}" for k in range(12)]
+        sets[cls] = set(rng.sample(group, 6)) | set(rng.sample(common, rng.randint(0, 9)))
+        need[cls] = rng.randint(1, 6)
+    number = {b: i for i, b in enumerate(sorted(set().union(*sets.values())))}
+    rows = [(c, 0, need[c], number[b]) for c, blocks in sets.items() for b in blocks]
+    sent = spark.createDataFrame(rows, "cls long, step tinyint, need long, block long")
+    left = {c: set() for c in sets}
+    for r in ngram_join._rarest(ngram_join._meeting(sent)).collect():
+        left[r.cls].add(r.block)
+    for a in sets:
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= max(need[a], need[b]):
+                assert left[a] & left[b], (a, b)
+    assert sum(map(len, left.values())) < len(rows)
+
+
+def test_rounds_send_every_block_once(spark, docs_of):
+    bitmap = np.full(8, 255, np.uint8)
+    marked = docs_of(corpus(5)).selectExpr("doc_id", "text", "cast(doc_id % 64 as long) as slot")
+
+    def sent(*turn):
+        schema = "cls long, step tinyint, need long, block long"
+        found = marked.mapInArrow(ngram_join._blocks_sent(5, 80, bitmap, *turn), schema)
+        return sorted(map(tuple, found.collect()))
+
+    parts = [sent(turn, 3) for turn in range(3)]
+    assert all(parts) and sorted(sum(parts, [])) == sent()
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles().mkString("\n").split("\n")
+        return {f for f in found if "/shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(key)
+    df = spark.range(20_000).repartition(3, "id")
+    kept = shared.stored(df, "test")
+    for _ in range(50):  # the files are dropped by another thread
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(key) == was
+    assert kept.count() == df.count() == 20_000
